@@ -65,8 +65,9 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
         out["spark_cols"], out["duck_cols"] = s_cols, d_cols
         if out["cols_match"]:
             a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
-            out["only_spark"] = [r for r in a if r not in set(b)][:3]
-            out["only_duck"] = [r for r in b if r not in set(a)][:3]
+            sa, sb = set(a), set(b)
+            out["only_spark"] = [r for r in a if r not in sb][:3]
+            out["only_duck"] = [r for r in b if r not in sa][:3]
     return out
 
 

@@ -2,19 +2,18 @@
 
 Per-series tables (one row per series: start, end, step, ...) are small
 compared with the readings, but their size still grows with the number of
-series. They are therefore materialised once in the reliable checkpoint
-folder, counted, and broadcast only under ``BROADCAST_MAX_ROWS``. Above it
+series. They are therefore computed once (persisted), counted, and
+broadcast only under ``BROADCAST_MAX_ROWS``. Above it
 the join is a plain shuffle join; AQE's skew-join rule then splits a hot
 series (one series may hold a third of all readings) over several tasks.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
 # Fixed limits (rows) for a broadcast side; a row of a per-series table is a
 # handful of longs, so 2 M rows stay well under 200 MB.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -31,11 +30,17 @@ class SmallTable:
     def broadcastable(self, limit: int = BROADCAST_MAX_ROWS) -> bool:
         return self.rows <= limit
 
+    def release(self) -> None:
+        self.df.unpersist()
+
 
 def materialise(df: DataFrame) -> SmallTable:
-    """Checkpoint ``df`` (reliable, cuts lineage) and count it once."""
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    """Compute a per-series table once and count it (one job).
+
+    The table stays in the block cache (memory, spilling to disk); a lost
+    block is recomputed from its lineage, so executor loss is survived.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     return SmallTable(df, df.count())
 
 
@@ -63,7 +68,7 @@ def join_keyed(big: DataFrame, small, keys, how: str = "inner",
         right = F.broadcast(right)
     cond = None
     for k in keys:
-        c = big[k].eqNullSafe(right[ren[k]])
+        c = F.col(k).eqNullSafe(F.col(ren[k]))
         cond = c if cond is None else cond & c
     out = big.join(right, cond, how)
     return out.drop(*ren.values())

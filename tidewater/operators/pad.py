@@ -56,11 +56,12 @@ def na_ts_insert(df: DataFrame, keys=(), ts: str | None = None, values=None,
     present = df.filter(any_present(values)).select(
         *keys, ts, *[nan_to_null(v).alias(v) for v in values])
     grid = grid_times(st, keys, ts, is_date, points_per_piece)
-    g = grid.select(*[F.col(c).alias(f"__g_{c}") for c in keys + [ts]])
-    cond = g[f"__g_{ts}"] == present[ts]
+    cols = keys + [ts]
+    g = grid.select(*[F.col(c).alias(f"__g_{c}") for c in cols])
+    p = present.select(*[F.col(c).alias(f"__p_{c}") for c in cols + values])
+    cond = F.col(f"__g_{ts}") == F.col(f"__p_{ts}")
     for k in keys:
-        cond = cond & g[f"__g_{k}"].eqNullSafe(present[k])
-    j = g.join(present, cond, "full")
-    out = j.select(*[F.coalesce(F.col(f"__g_{c}"), present[c]).alias(c) for c in keys + [ts]],
-                   *[present[v] for v in values])
-    return out
+        cond = cond & F.col(f"__g_{k}").eqNullSafe(F.col(f"__p_{k}"))
+    j = g.join(p, cond, "full")
+    return j.select(*[F.coalesce(F.col(f"__g_{c}"), F.col(f"__p_{c}")).alias(c) for c in cols],
+                    *[F.col(f"__p_{v}").alias(v) for v in values])

@@ -377,3 +377,122 @@ def q_drop_any_null(spark, sf):
 def q_trim_ts(spark, sf):
     """padded wide frame without its all-empty rows."""
     return trim_ts(_wide_padded(spark, sf), [], "ts")
+
+
+# ---------------------------------------------------------------- S1-S3, S8, T5, T6, T7
+
+from .fixtures import DEMO_SQL, PLATES, params_dim, plates_dim, render_demo  # noqa: E402
+from .organise import long_table, organise_folder  # noqa: E402
+from ..sources.report_csv import report_csv_scan, report_files  # noqa: E402
+
+_DEMO = "with " + DEMO_SQL
+
+
+def _organised(spark, sf):
+    root = render_demo(spark, sf)
+    return organise_folder(spark, root, params_dim(spark), plates_dim(spark), recursive=True,
+                           glob="*.txt")
+
+
+@register("report_csv_roundtrip",
+          _DEMO + "select d.folder, d.uid, d.\"Parameter\", d.\"Label\", d.\"Plate\", pl.\"Name\", "
+          "pa.\"Unit\", d.\"Description\", d.\"TimeStamp\", " + r6('d."Value"', "Value") +
+          " from demo d left join plates pl using (\"Plate\") left join params pa using (\"Parameter\")")
+def q_report_csv_roundtrip(spark, sf):
+    """Events rendered as report files, read back into the long table."""
+    root = render_demo(spark, sf)
+    long = report_csv_scan(spark, root, params_dim(spark), plates_dim(spark), recursive=True, glob="*.txt")
+    return long.select("folder", "uid", "Parameter", "Label", "Plate", "Name", "Unit",
+                       "Description", "TimeStamp", "Value")
+
+
+@register("report_header_parse",
+          _DEMO + "select distinct folder, uid, \"Parameter\", \"Plate\", \"Label\", "
+          "\"Parameter\" || '.' || \"Label\" || '@' || \"Plate\" as ts_id, \"Description\" from demo")
+def q_report_header_parse(spark, sf):
+    """S3: one row per report file from its description and header lines."""
+    root = render_demo(spark, sf)
+    return report_files(spark, root, recursive=True, glob="*.txt").select(
+        "folder", "uid", "Parameter", "Plate", "Label", "ts_id", "Description")
+
+
+@register("organise_folder",
+          _DEMO + ", l as (select d.*, pl.\"Name\", pa.\"Unit\", d.\"Parameter\" || '.' || d.\"Label\" || '@' || "
+          "d.\"Plate\" as ts_id from demo d left join plates pl using (\"Plate\") "
+          "left join params pa using (\"Parameter\") where d.\"Value\" is not null) "
+          "select folder, \"Name\", ts_id, min(\"Plate\") as \"Plate\", min(\"Description\") as \"Description\", "
+          "min(\"Unit\") as \"Unit\", min(\"TimeStamp\") as \"Start\", max(\"TimeStamp\") as \"End\", "
+          "round(min(\"Value\"), 3) as \"Min\", arg_min(\"TimeStamp\", (\"Value\", \"TimeStamp\")) as \"Time_min\", "
+          "round(max(\"Value\"), 3) as \"Max\", arg_min(\"TimeStamp\", (-\"Value\", \"TimeStamp\")) as \"Time_max\" "
+          "from l group by folder, \"Name\", ts_id, uid")
+def q_organise_folder(spark, sf):
+    """Range summary of every series after the organise plan (file name column dropped)."""
+    return _organised(spark, sf).summary.drop("CSV")
+
+
+@register("long_table_sql",
+          _DEMO + "select d.\"TimeStamp\", " + r6('d."Value"', "Value") + ", pa.\"Unit\", d.\"Parameter\", "
+          "pl.\"Plate\", pl.\"Name\", d.folder, d.uid from demo d "
+          "left join plates pl on d.\"Plate\" = pl.\"Plate\" left join params pa using (\"Parameter\") "
+          "where d.\"Value\" is not null")
+def q_long_table_sql(spark, sf):
+    """SQL-dialect long table (recursive scan, uid from the path, NULLs dropped)."""
+    root = render_demo(spark, sf)
+    long, _ = long_table(spark, root, params_dim(spark), plates_dim(spark), glob="*.txt")
+    return long
+
+
+_GATE_SQL = _DEMO + f""", l as (select d.*, pl."Name", pa."Unit" from demo d left join plates pl using ("Plate")
+                left join params pa using ("Parameter")),
+nf as (select folder, count(distinct uid) as nf, count(distinct "Plate") as np from l group by 1),
+pu as (select distinct folder, "Plate", uid from l),
+dp as (select folder, "Plate" from pu group by 1, 2 having count(*) > 1),
+df as (select pu.folder, count(*) as n_dup_files from pu join dp using (folder, "Plate") group by 1),
+up as (select folder, count(*) as nup from (select distinct folder, "Unit", "Parameter" from l) group by 1),
+nm as (select folder, count(distinct coalesce("Name", "Plate")) as nn, count(distinct "Plate") as np2 from l group by 1),
+tt as (select distinct folder, "TimeStamp" as ts, 0.0 as v from l),
+{step_ctes('st', 'tt', ['folder'], 'ts', 'v is not null')},
+mid as (select folder, bool_and(epoch_us(ts) % 86400000000 = 0) as m from tt group by 1),
+g as (select folder, case when np < nf then 'duplicate_site' when nup > 1 then 'mixed_unit_or_parameter'
+               when step_us is null then 'insufficient_data'
+               when step_us = -1 or step_us > 86400000000 then 'irregular_or_coarse'
+               when nn < np2 then 'name_collision' end as reason,
+             coalesce(n_dup_files, 0) as n_dup_files,
+             case when step_us > 0 then step_us // 1000000 else step_us end as step_s,
+             coalesce(step_us = 86400000000 and m, false) as is_daily
+      from nf join up using (folder) join nm using (folder) join st using (folder) join mid using (folder)
+      left join df using (folder))
+select folder, reason is null as eligible, reason, n_dup_files, step_s, is_daily from g"""
+
+
+@register("wide_eligibility", _GATE_SQL)
+def q_wide_eligibility(spark, sf):
+    """T5: per-folder verdict (each reason appears once in the demo folders)."""
+    gate = _organised(spark, sf).gate
+    return gate.select("folder", "eligible", "reason", F.size("dup_files").alias("n_dup_files"),
+                       "step_s", "is_daily")
+
+
+def _wide_sql(folder: str, tcol: str, daily: bool) -> str:
+    names = [b for a, b in PLATES if not a.endswith("_N")]
+    cols = ", ".join(f"max(\"Value\") filter (where \"Name\" = '{n}') as \"{n}\"" for n in names)
+    tsel = "cast(\"TimeStamp\" as date)" if daily else "\"TimeStamp\""
+    anyv = "coalesce(" + ", ".join(f'"{n}"' for n in names) + ")"
+    fmt = f"strftime({tcol}, '%Y-%m-%d')" if daily else tcol
+    return (_DEMO + f", l as (select d.*, pl.\"Name\" from demo d left join plates pl using (\"Plate\") "
+            f"where folder = '{folder}'), w as (select 1 as f, {tsel} as {tcol}, {cols} from l group by 2), "
+            f"{step_ctes('st', 'w', ['f'], tcol, anyv + ' is not null', daily)}, "
+            f"{pad_ctes('p', 'w', 'st', ['f'], tcol, [chr(34) + n + chr(34) for n in names], anyv + ' is not null', daily)} "
+            f"select {fmt} as {tcol}, " + ", ".join(r6(f'"{n}"', n) for n in names) + " from p")
+
+
+@register("wide_table_hourly", _wide_sql("hourly", "Time", False))
+def q_wide_table_hourly(spark, sf):
+    """R1 + R6 + T4: the eligible hourly folder as a padded wide table."""
+    return _organised(spark, sf).wide("hourly")
+
+
+@register("wide_table_daily", _wide_sql("daily", "Date", True))
+def q_wide_table_daily(spark, sf):
+    """R1 + R6 + T4: the eligible daily folder (DATE column ``Date``)."""
+    return _organised(spark, sf).wide("daily")
