@@ -496,3 +496,211 @@ def q_wide_table_hourly(spark, sf):
 def q_wide_table_daily(spark, sf):
     """R1 + R6 + T4: the eligible daily folder (DATE column ``Date``)."""
     return _organised(spark, sf).wide("daily")
+
+
+# ---------------------------------------------------------------- T1
+
+from ..operators.validate import ts_validate  # noqa: E402
+
+
+@register("ts_validate_dups",
+          "select o_orderpriority, 'duplicate_times' as \"check\", count(*) as n from "
+          "(select o_orderpriority, o_orderdate from orders group by 1, 2 having count(*) > 1) group by 1 "
+          "union all select o_orderpriority, 'out_of_order', count(*) from "
+          "(select o_orderpriority, o_orderdate, lag(o_orderdate) over "
+          "(partition by o_orderpriority order by o_orderkey) as p from orders) where o_orderdate < p group by 1")
+def q_ts_validate_dups(spark, sf):
+    """Order dates per priority repeat, and are unordered by order key."""
+    o = table(spark, sf, "orders").select("o_orderpriority", "o_orderdate", "o_totalprice", "o_orderkey")
+    return ts_validate(o, ["o_orderpriority"], "o_orderdate", seq="o_orderkey")
+
+
+# ---------------------------------------------------------------- J1/J2, S4-S6, K5
+
+from ..operators.joins import enrich  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sinks.writers import write_dim_json  # noqa: E402
+from ..sources.dims import dim_from_catalog, dim_from_json_map  # noqa: E402
+
+
+@register("enrich_left_lookup",
+          "select c_custkey, c_name, n_name from customer left join nation on c_nationkey = n_nationkey")
+def q_enrich_left_lookup(spark, sf):
+    """Customers tagged with their nation name (broadcast lookup)."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("n_nationkey"))
+    dim = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    return enrich(c, dim, "n_nationkey").select("c_custkey", "c_name", "n_name")
+
+
+@register("enrich_unmatched",
+          "select s_suppkey, s_name, n_name from supplier left join "
+          "(select * from nation where n_regionkey <= 2) on s_nationkey = n_nationkey")
+def q_enrich_unmatched(spark, sf):
+    """Lookup against a partial dictionary; unmatched rows keep NULL."""
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("n_nationkey"))
+    dim = table(spark, sf, "nation").filter("n_regionkey <= 2").select("n_nationkey", "n_name")
+    return enrich(s, dim, "n_nationkey").select("s_suppkey", "s_name", "n_name")
+
+
+def _nation_region(spark, sf):
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "n_regionkey", "r_name")
+
+
+@register("dim_json_map",
+          "select n_name as \"Plate\", r_name as \"Name\" from nation join region on n_regionkey = r_regionkey")
+def q_dim_json_map(spark, sf):
+    """S4 + K5: a dictionary written as one JSON object and read back."""
+    path = scratch_path(spark, "dim-json")
+    write_dim_json(_nation_region(spark, sf), "n_name", "r_name", path)
+    return dim_from_json_map(spark, path, "Plate", "Name")
+
+
+def _catalog(spark, sf):
+    path = scratch_path(spark, "catalog")
+    n = table(spark, sf, "nation")
+    items = F.sort_array(F.collect_list(F.struct(
+        F.col("n_nationkey").alias("k"), F.col("n_regionkey").cast("string").alias("Identifier"),
+        F.col("n_name").alias("Name"))))
+    doc = n.agg(F.to_json(F.struct(F.transform(items, lambda x: F.struct(
+        x["Identifier"].alias("Identifier"), x["Name"].alias("Name"))).alias("LocationDescriptions"))).alias("value"))
+    doc.coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+@register("dim_catalog_flatten",
+          "select distinct cast(n_regionkey as varchar) as \"Identifier\", n_name as \"Name\" from nation")
+def q_dim_catalog_flatten(spark, sf):
+    """Catalogue payload flattened; duplicate ids keep every distinct pair."""
+    return dim_from_catalog(spark, _catalog(spark, sf), "LocationDescriptions", "Identifier", "Name")
+
+
+@register("dim_catalog_last",
+          "select cast(n_regionkey as varchar) as \"Identifier\", arg_max(n_name, n_nationkey) as \"Name\" "
+          "from nation group by 1")
+def q_dim_catalog_last(spark, sf):
+    """Catalogue payload flattened; per id the value listed last wins."""
+    return dim_from_catalog(spark, _catalog(spark, sf), "LocationDescriptions", "Identifier", "Name",
+                            keep="last")
+
+
+# ---------------------------------------------------------------- S7, M1, M2
+
+from ..sources.spec import render_spec, report_spec_scan  # noqa: E402
+from .extract import extract_job, long_record_filter  # noqa: E402
+
+# The report specs of the reference workload (title, StatType, Period).
+SPECS = [("hourly_mean", "Mean", "Hourly"), ("hourly_sum", "Sum", "Hourly"),
+         ("daily_mean", "Mean", "Daily"), ("daily_sum", "Sum", "Daily"),
+         ("monthly_mean", "Mean", "Monthly"), ("monthly_sum", "Sum", "Monthly"),
+         ("raw", None, None)]
+
+
+def _specs(spark):
+    path = scratch_path(spark, "specs")
+    render_spec(spark, SPECS, path)
+    return report_spec_scan(spark, path)
+
+
+_SPEC_UNIT = {"Hourly": "hour", "Daily": "day", "Monthly": "month"}
+_SPEC_FN = {"Mean": "avg", "Sum": "sum"}
+
+
+def _spec_sql():
+    parts = []
+    for title, stat, period in SPECS:
+        if stat is None:
+            parts.append(f"select '{title}' as spec, event_type, ts, {r6(nn('value'), 'value')} from events")
+        else:
+            parts.append(f"select '{title}' as spec, event_type, date_trunc('{_SPEC_UNIT[period]}', ts) as ts, "
+                         f"{r6(_SPEC_FN[stat] + '(' + nn('value') + ')', 'value')} from events group by all")
+    return " union all ".join(parts)
+
+
+@register("report_spec_resample", _spec_sql())
+def q_report_spec_resample(spark, sf):
+    """S7 + A2-A8: every report spec's process chain applied to every event type."""
+    specs = _specs(spark)
+    ev = events(spark, sf)
+    out = None
+    from ..operators.resample import apply_process_chain
+    for r in specs.select("spec", "ProcessChain").collect():
+        part = apply_process_chain(ev, r["ProcessChain"], ["event_type"], "ts", "value").select(
+            F.lit(r["spec"]).alias("spec"), "event_type", "ts", "value")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_MANIFEST_SQL = (
+    "with m as (select cast(s_suppkey as varchar) as uid, case when n_regionkey <= 1 then 'daily_sum' "
+    "when n_regionkey <= 3 then 'monthly_mean' else 'raw' end as spec, n_name as folder "
+    "from supplier join nation on s_nationkey = n_nationkey), "
+    f"r as (select cast(l_suppkey as varchar) as uid, l_shipdate as ts, {nn('l_quantity')} as v from lineitem) "
+    "select folder, uid, date_trunc('day', ts) as \"TimeStamp\", " + r6("sum(v)", "Value") +
+    " from r join m using (uid) where spec = 'daily_sum' group by all union all "
+    "select folder, uid, date_trunc('month', ts), " + r6("avg(v)", "Value") +
+    " from r join m using (uid) where spec = 'monthly_mean' group by all union all "
+    "select folder, uid, ts, " + r6("v", "Value") + " from r join m using (uid) where spec = 'raw'")
+
+
+@register("extract_manifest", _MANIFEST_SQL)
+def q_extract_manifest(spark, sf):
+    """M1 + J5: every supplier's shipments under its nation folder, with the spec of its region."""
+    sup = table(spark, sf, "supplier")
+    nat = table(spark, sf, "nation")
+    manifest = sup.join(nat, sup["s_nationkey"] == nat["n_nationkey"]).select(
+        F.col("s_suppkey").cast("string").alias("uid"),
+        F.when(F.col("n_regionkey") <= 1, "daily_sum").when(F.col("n_regionkey") <= 3, "monthly_mean")
+         .otherwise("raw").alias("spec"), F.col("n_name").alias("folder"))
+    readings = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("uid"), F.col("l_shipdate").alias("TimeStamp"),
+        F.col("l_quantity").alias("Value"))
+    return extract_job(readings, manifest, _specs(spark))
+
+
+@register("long_record_filter",
+          f"with d as (select p_brand, date_trunc('day', l_shipdate) as ts, sum({nn('l_quantity')}) as v "
+          "from lineitem join part on l_partkey = p_partkey group by all), "
+          f"{step_ctes('st', 'd', ['p_brand'], 'ts', 'v is not null')}, "
+          "n as (select p_brand, count(v) as n from d group by 1), "
+          "x as (select p_brand, n, step_us // 1000000 as step_s, n * step_us / (86400e6 * 365.2422) as ny "
+          "from st join n using (p_brand) where step_us > 0) "
+          "select p_brand, n, step_s, " + r6("ny", "net_years") + " from x where ny >= 4.0")
+def q_long_record_filter(spark, sf):
+    """M2: part brands whose daily shipment series has at least 4 net years."""
+    li = table(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_quantity")
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    daily = resample(li.join(part, "l_partkey"), ["p_brand"], "l_shipdate", "l_quantity", "day", "sum")
+    return long_record_filter(daily, ["p_brand"], "l_shipdate", ["l_quantity"], min_years=4.0)
+
+
+# ---------------------------------------------------------------- S3 scalars
+
+from ..functions.names import compact_uid, series_id, split_series_name  # noqa: E402
+
+
+@register("split_series_name",
+          "with t as (select p_partkey, p_type || ' @ ' || p_name || '@' || p_brand as token from part) "
+          "select p_partkey, token, regexp_extract(token, '^(.*)@([^@]*)$', 1) as \"Parameter\", "
+          "regexp_extract(token, '^(.*)@([^@]*)$', 2) as \"Plate\" from t")
+def q_split_series_name(spark, sf):
+    """S3 scalar: ``Parameter@Plate`` split at the last ``@`` (inner ``@`` kept)."""
+    p = table(spark, sf, "part").select(
+        "p_partkey", F.concat("p_type", F.lit(" @ "), "p_name", F.lit("@"), "p_brand").alias("token"))
+    param, plate = split_series_name("token")
+    return p.select("p_partkey", "token", param.alias("Parameter"), plate.alias("Plate"))
+
+
+@register("series_id_build",
+          "select p_partkey, p_name || '.' || 'Size ' || p_size || '@' || p_brand as ts_id, "
+          "md5(p_name || p_brand) as uid from part")
+def q_series_id_build(spark, sf):
+    """P1 scalars: ``Parameter.Label@Plate`` ids and hyphen-free unique ids."""
+    p = table(spark, sf, "part")
+    h = F.md5(F.concat("p_name", "p_brand"))
+    hyph = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
+                       F.substring(h, 17, 4), F.substring(h, 21, 12))
+    return p.select("p_partkey",
+                    series_id("p_name", F.concat(F.lit("Size "), F.col("p_size").cast("string")), "p_brand")
+                    .alias("ts_id"), compact_uid(hyph).alias("uid"))

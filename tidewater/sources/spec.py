@@ -19,7 +19,7 @@ INPUT_SCHEMA = (
 
 
 def report_spec_scan(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("multiLine", True).json(path)
+    raw = spark.read.option("multiLine", True).option("recursiveFileLookup", "true").json(path)
     raw = raw.withColumn("__file", F.col("_metadata.file_name"))
     inner = F.from_json(F.col("Parameters.Input1.Value"), INPUT_SCHEMA)
     return raw.select(
@@ -57,7 +57,8 @@ def render_spec(spark: SparkSession, rows, path: str, mode: str = "overwrite") -
                  F.struct(F.lit("Input1").alias("Name"), inner.alias("Value")).alias("Input1")).alias("Parameters"),
         F.lit("PT12H").alias("UtcOffset"), F.lit("Csv").alias("OutputType"),
         F.struct(F.lit("Location").alias("Name"), F.lit("SITE").alias("Identifier")).alias("LocationInput")))
-    df.select(doc.alias("value")).repartition(len(data)).write.mode(mode).text(path)
+    # one spec per file (a multi-line JSON file holds one document)
+    df.select("title", doc.alias("value")).write.mode(mode).partitionBy("title").text(path)
 
 
 def spec_steps(specs: DataFrame) -> DataFrame:
