@@ -124,3 +124,34 @@ def discover_roles(df: DataFrame, keys=(), ts: str | None = None,
 
 def dtype_of(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
+
+
+# ---- SQL-text forms (one JVM call per expression when building plans)
+
+EPOCH_SQL = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def q(name: str) -> str:
+    """Back-quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def micros_sql(ts: str) -> str:
+    """Micros since the epoch of a temporal column (DATE and TIMESTAMP too)."""
+    return f"timestampdiff(MICROSECOND, {EPOCH_SQL}, CAST({q(ts)} AS TIMESTAMP_NTZ))"
+
+
+def from_micros_sql(expr: str) -> str:
+    return f"timestampadd(MICROSECOND, {expr}, {EPOCH_SQL})"
+
+
+def nan_to_null_sql(c: str) -> str:
+    return f"CASE WHEN NOT isnan({q(c)}) THEN {q(c)} END"
+
+
+def present_sql(values) -> str:
+    """At least one value column holds a real (non-NaN) number."""
+    values = [values] if isinstance(values, str) else list(values)
+    if not values:
+        return "true"
+    return "coalesce(" + ", ".join(nan_to_null_sql(v) for v in values) + ") IS NOT NULL"

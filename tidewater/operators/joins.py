@@ -62,15 +62,12 @@ def join_keyed(big: DataFrame, small, keys, how: str = "inner",
         # A frame-wide table has one row: a cross product with one row.
         right = F.broadcast(right) if hinted else right
         return big.crossJoin(right) if how == "inner" else big.join(right, how=how)
-    ren = {k: f"__r_{k}" for k in keys}
-    right = right.select(*[F.col(c).alias(ren.get(c, c)) for c in right.columns])
+    ren = {k: f"__r_{i}" for i, k in enumerate(keys)}
+    right = right.selectExpr(*[f"`{c}` AS `{ren.get(c, c)}`" for c in right.columns])
     if hinted:
         right = F.broadcast(right)
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(ren[k]))
-        cond = c if cond is None else cond & c
-    out = big.join(right, cond, how)
+    cond = " AND ".join(f"`{k}` <=> `{ren[k]}`" for k in keys)
+    out = big.join(right, F.expr(cond), how)
     return out.drop(*ren.values())
 
 

@@ -14,32 +14,35 @@ Plan, built for a series that may hold a third of all readings: consecutive
 gaps need an order, but ordering a whole series in one task does not scale.
 Each series is cut into time chunks whose width adapts to its density
 (about ``max(rows_per_chunk, sqrt(n))`` readings per chunk), gaps are taken
-with ``lag`` inside ``(series, chunk)`` windows, and chunk edges are
-stitched with a second window over the (small) per-chunk table. Distinct
-gaps per chunk are kept, so the divisibility check never revisits the
-readings. The only wide exchange is ``hashpartitioning(keys, chunk)``.
+with ``lag`` inside ``(series, chunk)`` windows and reduced to one row per
+chunk (bounds, smallest gap, distinct gaps). Chunk edges are stitched and
+divisibility is checked on that small per-chunk table, so the readings are
+read twice and shuffled once (``hashpartitioning(keys, chunk)``).
+
+Expressions are written as SQL text: one JVM call per expression keeps
+plan construction cheap on the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timecols import (US_PER_DAY, US_PER_SECOND, any_present,
-                                  as_ntz, discover_roles, dtype_of, micros)
+from ..functions.timecols import (US_PER_DAY, US_PER_SECOND, discover_roles,
+                                  present_sql, q, micros_sql)
 from .joins import SmallTable, join_keyed, materialise
 
 ROWS_PER_CHUNK = 50_000
 
-_T, _C, _D = "__t", "__chunk", "__gap"
+
+def _kq(keys) -> list[str]:
+    return [q(k) for k in keys]
 
 
 def present_times(df: DataFrame, keys, ts: str, values) -> DataFrame:
     """(keys, __t) for every row holding at least one real value."""
-    keys = list(keys)
-    t = as_ntz(ts, dtype_of(df, ts))
-    return df.filter(any_present(values)).select(*keys, micros(t).alias(_T))
+    return df.filter(present_sql(values)).selectExpr(*_kq(keys), f"{micros_sql(ts)} AS __t")
 
 
 def series_extent(df: DataFrame, keys, ts: str, values) -> DataFrame:
@@ -48,65 +51,77 @@ def series_extent(df: DataFrame, keys, ts: str, values) -> DataFrame:
     Series whose values are all missing stay, with n = 0 and NULL bounds.
     """
     keys = list(keys)
-    t = micros(as_ntz(ts, dtype_of(df, ts)))
-    p = any_present(values)
-    agg = [F.count_if(p).alias("n"), F.min(F.when(p, t)).alias("t0"),
-           F.max(F.when(p, t)).alias("t1")]
-    return (df.groupBy(*keys).agg(*agg) if keys else df.agg(*agg))
+    p, t = present_sql(values), micros_sql(ts)
+    aggs = [F.expr(f"count_if({p}) AS n"), F.expr(f"min(CASE WHEN {p} THEN {t} END) AS t0"),
+            F.expr(f"max(CASE WHEN {p} THEN {t} END) AS t1")]
+    return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
 def _with_chunk(times: DataFrame, ext: SmallTable, keys, rows_per_chunk: int) -> DataFrame:
-    n = F.col("n")
-    chunks = F.greatest(F.lit(1), F.floor(n / F.greatest(F.lit(rows_per_chunk), F.sqrt(n))))
-    width = F.greatest(F.lit(1), F.ceil((F.col("t1") - F.col("t0") + 1) / chunks)).cast("long")
-    # the division is on integers: chunk ids only have to be monotone in time
-    sizes = ext.df.filter(n > 0).select(*keys, F.col("t0").alias("__t0"), width.alias("__w"))
-    small = SmallTable(sizes, ext.rows)
-    joined = join_keyed(times, small, keys)
-    return joined.withColumn(_C, F.expr(f"({_T} - __t0) div __w")).drop("__t0", "__w")
+    width = (f"CAST(greatest(1, ceil((t1 - t0 + 1) / greatest(1, floor(n / greatest({rows_per_chunk}, "
+             f"sqrt(n)))))) AS BIGINT)")
+    sizes = ext.df.filter("n > 0").selectExpr(*_kq(keys), "t0 AS __t0", f"{width} AS __w")
+    joined = join_keyed(times, SmallTable(sizes, ext.rows), keys)
+    # integer division: chunk ids only have to be monotone in time
+    return joined.selectExpr(*_kq(keys), "__t", "(__t - __t0) div __w AS __chunk")
 
 
 def step_table(df: DataFrame, keys=(), ts: str | None = None, values=None,
                min_step_s: int = 60, ignore_subthreshold: bool = False,
                rows_per_chunk: int = ROWS_PER_CHUNK) -> SmallTable:
-    """Materialised per-series table: keys, n, t0, t1, m_us, step_us, step_s."""
+    """Materialised per-series table: keys, n, t0, t1, m_us, step_us, step_s.
+
+    The readings are scanned twice (extent, then one windowed pass) and
+    shuffled once; every later step runs on the per-chunk summary, whose
+    size is bounded by the number of chunks.
+    """
     keys = list(keys)
     ts, values = discover_roles(df, keys, ts, values)
     thr = int(min_step_s) * US_PER_SECOND
+    K = ", ".join(_kq(keys))
     ext = materialise(series_extent(df, keys, ts, values))
     times = _with_chunk(present_times(df, keys, ts, values), ext, keys, rows_per_chunk)
 
-    w = Window.partitionBy(*keys, _C).orderBy(_T)
-    gaps = times.withColumn(_D, F.col(_T) - F.lag(_T).over(w))
-    # distinct gaps per chunk; same hash partitioning, no new exchange
-    dd = gaps.groupBy(*keys, _C, _D).agg(F.min(_T).alias("__lo"), F.max(_T).alias("__hi"))
-    ch = dd.groupBy(*keys, _C).agg(F.min("__lo").alias("__cmin"), F.max("__hi").alias("__cmax"))
-    wc = Window.partitionBy(*keys).orderBy(_C) if keys else Window.orderBy(_C)
-    edges = ch.select(*keys, (F.col("__cmin") - F.lag("__cmax").over(wc)).alias(_D))
-    every_gap = dd.select(*keys, _D).unionByName(edges).filter(F.col(_D) > 0)
+    part = f"PARTITION BY {K + ', ' if K else ''}__chunk ORDER BY __t"
+    gap = f"__t - lag(__t) OVER ({part})"
+    keep = f"{gap} > 0" + (f" AND {gap} >= {thr}" if ignore_subthreshold else "")
+    gaps = times.selectExpr(*_kq(keys), "__chunk", "__t", f"CASE WHEN {keep} THEN {gap} END AS __gap")
+    # Per chunk: bounds, smallest gap and the distinct gaps. A chunk whose
+    # smallest gap is under the threshold already makes its series
+    # irregular, so its gap set is dropped (it only serves the check of
+    # divisibility by the series' smallest gap).
+    per_chunk = gaps.groupBy(*keys, "__chunk").agg(
+        F.expr("min(__t) AS cmin"), F.expr("max(__t) AS cmax"), F.expr("min(__gap) AS gmin"),
+        F.expr("collect_set(__gap) AS gaps"))
+    per_chunk = per_chunk.selectExpr(
+        *_kq(keys), "__chunk", "cmin", "cmax", "gmin",
+        f"CASE WHEN coalesce(gmin, {thr}) >= {thr} THEN gaps END AS gaps")
+    ch = materialise(per_chunk)
+
+    wk = f"PARTITION BY {K} ORDER BY __chunk" if K else "ORDER BY __chunk"
+    edge = f"cmin - lag(cmax) OVER ({wk})"
     if ignore_subthreshold:
-        every_gap = every_gap.filter(F.col(_D) >= thr)
-
-    def by_key(d, *aggs):
-        return d.groupBy(*keys).agg(*aggs) if keys else d.agg(*aggs)
-
-    mins = by_key(every_gap, F.min(_D).alias("m_us"))
-    cand = SmallTable(mins.filter(F.col("m_us") >= thr), ext.rows)
-    bad = by_key(
-        join_keyed(every_gap, cand, keys).filter(F.pmod(F.col(_D), F.col("m_us")) != 0),
-        F.count(F.lit(1)).alias("__bad"))
-    mins_t = SmallTable(mins, ext.rows)
-    bad_t = SmallTable(bad, ext.rows)
-    out = join_keyed(join_keyed(ext.df, mins_t, keys, "left"), bad_t, keys, "left")
-    m = F.col("m_us")
-    step_us = (F.when(m.isNull(), F.lit(None).cast("long"))
-               .when((m < thr) | (F.coalesce(F.col("__bad"), F.lit(0)) > 0), F.lit(-1))
-               .otherwise(m))
-    out = out.select(*keys, "n", "t0", "t1", "m_us", step_us.alias("step_us"))
-    out = out.withColumn("step_s", F.when(F.col("step_us") > 0,
-                                          F.expr(f"step_us div {US_PER_SECOND}"))
-                         .otherwise(F.col("step_us")))
-    return materialise(out)
+        edge = f"CASE WHEN {edge} >= {thr} THEN {edge} END"
+    c2 = ch.df.selectExpr(*_kq(keys), "gmin", "gaps", f"{edge} AS edge")
+
+    def by_key(frame, *aggs):
+        aggs = [F.expr(a) for a in aggs]
+        return frame.groupBy(*keys).agg(*aggs) if keys else frame.agg(*aggs)
+
+    mins = by_key(c2, "least(min(gmin), min(edge)) AS m_us")
+    c3 = join_keyed(c2, SmallTable(mins, ext.rows), keys).selectExpr(
+        *_kq(keys), "m_us",
+        "forall(coalesce(gaps, array()), x -> pmod(x, m_us) = 0) "
+        "AND coalesce(pmod(edge, m_us) = 0, true) AS __okc")
+    checks = by_key(c3, "min(m_us) AS m_us", "bool_and(__okc) AS __ok")
+    out = join_keyed(ext.df, SmallTable(checks, ext.rows), keys, "left")
+    step = (f"CASE WHEN m_us IS NULL THEN CAST(NULL AS BIGINT) "
+            f"WHEN m_us < {thr} OR NOT coalesce(__ok, false) THEN CAST(-1 AS BIGINT) ELSE m_us END")
+    out = out.selectExpr(*_kq(keys), "n", "t0", "t1", "m_us", f"{step} AS step_us").selectExpr(
+        "*", f"CASE WHEN step_us > 0 THEN step_us div {US_PER_SECOND} ELSE step_us END AS step_s")
+    res = materialise(out)
+    ch.release()
+    return res
 
 
 def ts_step(df: DataFrame, keys=(), ts: str | None = None, values=None,
@@ -121,13 +136,11 @@ def is_ts_daily(df: DataFrame, keys=(), ts: str | None = None, values=None) -> D
     """A DATE series is daily; otherwise step 86400 s and all times at 00:00:00."""
     keys = list(keys)
     ts, values = discover_roles(df, keys, ts, values)
-    if isinstance(dtype_of(df, ts), T.DateType):
+    if isinstance(df.schema[ts].dataType, T.DateType):
         base = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
         return base.withColumn("is_daily", F.lit(True))
     st = step_table(df, keys, ts, values)
-    mid = F.bool_and(F.pmod(micros(as_ntz(ts, dtype_of(df, ts))), F.lit(US_PER_DAY)) == 0)
-    at_midnight = (df.groupBy(*keys).agg(mid.alias("__mid")) if keys
-                   else df.agg(mid.alias("__mid")))
+    mid = F.expr(f"bool_and(pmod({micros_sql(ts)}, {US_PER_DAY}) = 0) AS __mid")
+    at_midnight = df.groupBy(*keys).agg(mid) if keys else df.agg(mid)
     out = join_keyed(st.df.select(*keys, "step_s"), SmallTable(at_midnight, st.rows), keys, "left")
-    return out.select(*keys, (F.coalesce(F.col("step_s") == 86400, F.lit(False))
-                              & F.coalesce(F.col("__mid"), F.lit(False))).alias("is_daily"))
+    return out.selectExpr(*_kq(keys), "coalesce(step_s = 86400, false) AND coalesce(__mid, false) AS is_daily")
