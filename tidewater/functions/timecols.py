@@ -155,3 +155,20 @@ def present_sql(values) -> str:
     if not values:
         return "true"
     return "coalesce(" + ", ".join(nan_to_null_sql(v) for v in values) + ") IS NOT NULL"
+
+
+def bucket_sql(ts: str, period: str, label: str = "start") -> str:
+    """SQL text of :func:`bucket_start` / :func:`bucket_end`."""
+    t = f"CAST({q(ts)} AS TIMESTAMP_NTZ)"
+    if period == "hour":
+        m = micros_sql(ts)
+        start = from_micros_sql(f"({m} - pmod({m}, {US_PER_HOUR}))")
+        return start if label == "start" else f"timestampadd(HOUR, 1, {start})"
+    if period == "day":
+        start = f"CAST(to_date({t}) AS TIMESTAMP_NTZ)"
+        return start if label == "start" else f"timestampadd(DAY, 1, {start})"
+    if period == "month":
+        d = f"trunc(to_date({t}), 'month')"
+        return (f"CAST({d} AS TIMESTAMP_NTZ)" if label == "start"
+                else f"CAST(add_months({d}, 1) AS TIMESTAMP_NTZ)")
+    raise ValueError(f"unknown period {period!r}; use hour, day or month")

@@ -1,8 +1,8 @@
 """A9 ``hourly_2_daily`` with the X1 aggregate surface.
 
 An hourly reading is labelled by the end of its hour, so a 00:00 value
-belongs to the previous day; ``day_starts_at`` moves the day boundary
-(day D runs from D h+1 exclusive... i.e. ``Date = date(ts - (1 + h) hours)``).
+belongs to the previous day; ``day_starts_at = h`` moves the boundary:
+``Date = date(ts - (1 + h) hours)``, i.e. day D covers (D h:00, D+1 h:00].
 A day is kept when its non-missing readings / 24 reach ``prop``; the
 aggregate runs over the non-missing readings, and the daily result is
 padded with :func:`na_ts_insert` (regular daily steps only).
@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import (as_ntz, discover_roles, dtype_of,
-                                  nan_to_null, shift_hours)
+from ..functions.timecols import discover_roles, nan_to_null_sql, q
 from .pad import na_ts_insert
 
 _NAMED = {
@@ -49,14 +48,13 @@ def hourly_2_daily(df: DataFrame, keys=(), ts: str | None = None, value: str | N
     value = values[0]
     name, fn = resolve_agg(agg)
     out_col = f"Agg_{name}"
-    t = as_ntz(ts, dtype_of(df, ts))
-    day = F.to_date(shift_hours(t, -(1 + day_starts_at)))
-    v = nan_to_null(value)
-    base = df.select(*keys, day.alias("Date"), v.alias("__v"))
+    day = (f"to_date(timestampadd(HOUR, {-(1 + day_starts_at)}, "
+           f"CAST({q(ts)} AS TIMESTAMP_NTZ)))")
+    base = df.selectExpr(*[q(k) for k in keys], f"{day} AS Date", f"{nan_to_null_sql(value)} AS __v")
     agg_col: Column = fn(F.col("__v"))
     daily = (base.groupBy(*keys, "Date")
                  .agg(F.count("__v").alias("__n"), agg_col.alias(out_col))
-                 .filter((F.col("__n") > 0) & (F.col("__n") / F.lit(24.0) >= F.lit(float(prop))))
+                 .filter(f"__n > 0 AND __n / 24.0 >= {float(prop)!r}")
                  .drop("__n"))
     if not pad:
         return daily

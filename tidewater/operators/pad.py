@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timecols import (any_present, discover_roles, dtype_of,
-                                  from_micros, nan_to_null)
+from ..functions.timecols import (discover_roles, from_micros_sql, nan_to_null_sql,
+                                  present_sql, q)
 from .joins import SmallTable
 from .step import step_table
 
@@ -31,17 +31,19 @@ def grid_times(steps: SmallTable, keys, ts: str, is_date: bool,
                points_per_piece: int = POINTS_PER_PIECE) -> DataFrame:
     """(keys, ts) of the full regular grid of every regular series."""
     keys = list(keys)
-    reg = steps.df.filter(F.col("step_us") > 0).withColumn(
-        "__npts", F.expr("(t1 - t0) div step_us + 1"))
+    K = [q(k) for k in keys]
     p = int(points_per_piece)
-    pieces = reg.withColumn("__piece", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.expr(f"(__npts - 1) div {p}"))))
+    pieces = steps.df.filter("step_us > 0").selectExpr(
+        *K, "t0", "step_us", "(t1 - t0) div step_us + 1 AS __npts").selectExpr(
+        *K, "t0", "step_us", "__npts", f"explode(sequence(0L, (__npts - 1) div {p})) AS __piece")
+    # spread grid generation: one long series is cut into many pieces
     pieces = pieces.repartition(*keys, "__piece") if keys else pieces.repartition("__piece")
-    k = F.explode(F.sequence(F.col("__piece") * p,
-                             F.least(F.col("__npts") - 1, F.col("__piece") * p + (p - 1))))
-    grid = pieces.select(*keys, "t0", "step_us", k.alias("__k"))
-    t = from_micros(F.col("t0") + F.col("__k") * F.col("step_us"))
-    return grid.select(*keys, (t.cast("date") if is_date else t).alias(ts))
+    t = from_micros_sql("t0 + __k * step_us")
+    t = f"CAST({t} AS DATE)" if is_date else t
+    return pieces.selectExpr(
+        *K, "t0", "step_us",
+        f"explode(sequence(__piece * {p}, least(__npts - 1, __piece * {p} + {p - 1}))) AS __k"
+    ).selectExpr(*K, f"{t} AS {q(ts)}")
 
 
 def na_ts_insert(df: DataFrame, keys=(), ts: str | None = None, values=None,
@@ -50,18 +52,16 @@ def na_ts_insert(df: DataFrame, keys=(), ts: str | None = None, values=None,
     """Padded series: columns ``keys + [ts] + values``."""
     keys = list(keys)
     ts, values = discover_roles(df, keys, ts, values)
-    dt = dtype_of(df, ts)
-    is_date = isinstance(dt, T.DateType)
+    is_date = isinstance(df.schema[ts].dataType, T.DateType)
     st = steps or step_table(df, keys, ts, values, min_step_s)
-    present = df.filter(any_present(values)).select(
-        *keys, ts, *[nan_to_null(v).alias(v) for v in values])
-    grid = grid_times(st, keys, ts, is_date, points_per_piece)
     cols = keys + [ts]
-    g = grid.select(*[F.col(c).alias(f"__g_{c}") for c in cols])
-    p = present.select(*[F.col(c).alias(f"__p_{c}") for c in cols + values])
-    cond = F.col(f"__g_{ts}") == F.col(f"__p_{ts}")
-    for k in keys:
-        cond = cond & F.col(f"__g_{k}").eqNullSafe(F.col(f"__p_{k}"))
-    j = g.join(p, cond, "full")
-    return j.select(*[F.coalesce(F.col(f"__g_{c}"), F.col(f"__p_{c}")).alias(c) for c in cols],
-                    *[F.col(f"__p_{v}").alias(v) for v in values])
+    g = grid_times(st, keys, ts, is_date, points_per_piece).selectExpr(
+        *[f"{q(c)} AS __g{i}" for i, c in enumerate(cols)])
+    p = df.filter(present_sql(values)).selectExpr(
+        *[f"{q(c)} AS __p{i}" for i, c in enumerate(cols)],
+        *[f"{nan_to_null_sql(v)} AS __v{j}" for j, v in enumerate(values)])
+    n = len(cols)
+    cond = " AND ".join([f"__g{n - 1} = __p{n - 1}"] + [f"__g{i} <=> __p{i}" for i in range(n - 1)])
+    j = g.join(p, F.expr(cond), "full")
+    return j.selectExpr(*[f"coalesce(__g{i}, __p{i}) AS {q(c)}" for i, c in enumerate(cols)],
+                        *[f"__v{j} AS {q(v)}" for j, v in enumerate(values)])

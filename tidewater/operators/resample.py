@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import (as_ntz, bucket_end, bucket_start,
-                                  discover_roles, dtype_of, nan_to_null)
+from ..functions.timecols import (as_ntz, bucket_sql, discover_roles, dtype_of,
+                                  nan_to_null, nan_to_null_sql, q)
 
 # Fixed vocabulary of the report specs (StatType / Period values).
 STAT_TYPES = {"Mean": "mean", "Sum": "sum"}
@@ -36,9 +36,8 @@ def resample(df: DataFrame, keys=(), ts: str | None = None, value: str | None =
         raise ValueError(f"stat must be one of {sorted(_STATS)}, got {stat!r}")
     if label not in ("start", "end"):
         raise ValueError("label must be 'start' or 'end'")
-    t = as_ntz(ts, dtype_of(df, ts))
-    b = bucket_start(t, period) if label == "start" else bucket_end(t, period)
-    return (df.select(*keys, b.alias(ts), nan_to_null(value).alias(value))
+    b = bucket_sql(ts, period, label)
+    return (df.selectExpr(*[q(k) for k in keys], f"{b} AS {q(ts)}", f"{nan_to_null_sql(value)} AS {q(value)}")
               .groupBy(*keys, ts).agg(_STATS[stat](value).alias(value)))
 
 
