@@ -34,6 +34,10 @@ def resolve_agg(agg):
     raise TypeError("agg must be a name or a callable Column -> Column")
 
 
+def _is_pandas_agg(agg) -> bool:
+    return getattr(agg, "evalType", None) is not None
+
+
 def hourly_2_daily(df: DataFrame, keys=(), ts: str | None = None, value: str | None = None,
                    day_starts_at: int = 0, agg="mean", prop: float = 1.0,
                    pad: bool = True) -> DataFrame:
@@ -52,10 +56,18 @@ def hourly_2_daily(df: DataFrame, keys=(), ts: str | None = None, value: str | N
            f"CAST({q(ts)} AS TIMESTAMP_NTZ)))")
     base = df.selectExpr(*[q(k) for k in keys], f"{day} AS Date", f"{nan_to_null_sql(value)} AS __v")
     agg_col: Column = fn(F.col("__v"))
-    daily = (base.groupBy(*keys, "Date")
-                 .agg(F.count("__v").alias("__n"), agg_col.alias(out_col))
-                 .filter(f"__n > 0 AND __n / 24.0 >= {float(prop)!r}")
-                 .drop("__n"))
+    keep = f"__n > 0 AND __n / 24.0 >= {float(prop)!r}"
+    if _is_pandas_agg(agg):
+        # a pandas aggregate cannot share an aggregation with count():
+        # find the covered days first, then aggregate only those
+        covered = base.groupBy(*keys, "Date").agg(F.count("__v").alias("__n")).filter(keep)
+        daily = (base.filter("__v IS NOT NULL")
+                     .join(covered.drop("__n"), [*keys, "Date"], "left_semi")
+                     .groupBy(*keys, "Date").agg(agg_col.alias(out_col)))
+    else:
+        daily = (base.groupBy(*keys, "Date")
+                     .agg(F.count("__v").alias("__n"), agg_col.alias(out_col))
+                     .filter(keep).drop("__n"))
     if not pad:
         return daily
     return na_ts_insert(daily, keys, "Date", [out_col])

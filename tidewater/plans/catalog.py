@@ -704,3 +704,15 @@ def q_series_id_build(spark, sf):
     return p.select("p_partkey",
                     series_id("p_name", F.concat(F.lit("Size "), F.col("p_size").cast("string")), "p_brand")
                     .alias("ts_id"), compact_uid(hyph).alias("uid"))
+
+
+# ---------------------------------------------------------------- X1 with a pandas aggregate
+
+from ..functions.udafs import spread  # noqa: E402
+
+@register("hourly_2_daily_udaf", _h2d_sql(0, "(max(value) - min(value)) + 0 * ", "spread", 0.75)
+          .replace("(max(value) - min(value)) + 0 * (value)", "(max(value) - min(value))"))
+def q_hourly_2_daily_udaf(spark, sf):
+    """A Python (pandas, Arrow-batched) aggregate as the daily statistic."""
+    return hourly_2_daily(hourly_events(spark, sf), ["event_type"], "ts", "value",
+                          agg=spread, prop=0.75)

@@ -22,7 +22,7 @@ from ..operators.pad import na_ts_insert
 from ..operators.reshape import daily_normalise, pivot_names, to_wide
 from ..operators.summary import data_range_summary
 from ..sinks import writers
-from ..sources.report_csv import long_table_scan, report_csv_scan, report_files
+from ..sources.report_csv import long_table_scan, report_csv_scan
 
 
 @dataclass
@@ -60,8 +60,7 @@ def organise_folder(spark: SparkSession, root: str, params: DataFrame | None = N
                     plates: DataFrame | None = None, out: str | None = None,
                     recursive: bool = False, glob: str | None = None,
                     summary_null_rule: str = "value") -> Organised:
-    long = report_csv_scan(spark, root, params, plates, recursive, glob)
-    files = report_files(spark, root, recursive, glob)
+    long, files = report_csv_scan(spark, root, params, plates, recursive, glob, with_files=True)
     gate = wide_eligibility(long, files.select("folder", "CSV"))
     summary = data_range_summary(long, ["folder", "Name", "ts_id", "CSV"],
                                  attrs=("Plate", "Description", "Unit"), null_rule=summary_null_rule)

@@ -104,18 +104,19 @@ LONG_COLUMNS = ["TimeStamp", "Value", "Unit", "ts_id", "Parameter", "Label", "Pl
 
 def report_csv_scan(spark: SparkSession, root: str, params: DataFrame | None = None,
                     plates: DataFrame | None = None, recursive: bool = False,
-                    glob: str | None = None) -> DataFrame:
+                    glob: str | None = None, with_files: bool = False):
     """D2 long frame of all report files under ``root`` (NULL readings kept).
 
     ``params`` is a (Parameter, Unit) and ``plates`` a (Plate, Name)
-    dimension; unmatched lookups give NULL.
+    dimension; unmatched lookups give NULL. ``with_files=True`` also
+    returns the per-file header table (files without data rows included).
     """
     lines = scan_lines(spark, root, recursive, glob)
     heads = materialise(report_headers(lines))
     long = join_keyed(report_readings(lines).withColumnRenamed("path", "__path"),
                       _rename(heads, "path", "__path"), ["__path"])
-    long = _attach_dims(long, params, plates)
-    return long.select(*LONG_COLUMNS)
+    long = _attach_dims(long, params, plates).select(*LONG_COLUMNS)
+    return (long, heads.df) if with_files else long
 
 
 def report_files(spark: SparkSession, root: str, recursive: bool = False,
