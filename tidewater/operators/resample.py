@@ -69,3 +69,55 @@ def apply_process_chain(df: DataFrame, chain, keys=(), ts: str | None = None,
             raise ValueError("only the default bin anchor is supported")
         out = resample(out, keys, ts, value, PERIODS[step["Period"]], STAT_TYPES[step["StatType"]])
     return out
+
+
+def _chain_step(chain):
+    """(stat, period) of a one-step chain, or None for the raw (empty) chain."""
+    steps = [s.asDict() if hasattr(s, "asDict") else dict(s) for s in (chain or [])]
+    if not steps:
+        return None
+    if len(steps) > 1:
+        raise ValueError("multi-step chains: use apply_process_chain per spec")
+    st = steps[0]
+    if (st.get("ProcessType") != "Statistic" or st.get("StatType") not in STAT_TYPES
+            or st.get("Period") not in PERIODS or int(st.get("PeriodCount") or 1) != 1
+            or (st.get("BinAnchorOffsetPeriod") or "00-00 00:00") != "00-00 00:00"):
+        raise ValueError(f"unsupported statistic {st!r}")
+    return STAT_TYPES[st["StatType"]], PERIODS[st["Period"]]
+
+
+def apply_specs(tagged: DataFrame, chains: dict, keys=(), ts: str = "TimeStamp",
+                value: str = "Value", spec_col: str = "spec") -> DataFrame:
+    """Apply many report specs at once to readings tagged with their spec.
+
+    All aggregating specs share one ``groupBy`` (the bucket is a per-row
+    ``CASE`` on the spec), raw specs pass through: the readings are read at
+    most twice, however many specs there are.
+    """
+    keys = list(keys)
+    parsed = {name: _chain_step(c) for name, c in chains.items()}
+    agg_specs = {k: v for k, v in parsed.items() if v is not None}
+    raw_specs = [k for k, v in parsed.items() if v is None]
+    S, V = q(spec_col), nan_to_null_sql(value)
+    parts = []
+    if agg_specs:
+        def lit(x):
+            return "'" + x.replace("'", "''") + "'"
+        bucket = "CASE " + " ".join(f"WHEN {S} = {lit(k)} THEN {bucket_sql(ts, p)}"
+                                     for k, (_, p) in agg_specs.items()) + " END"
+        sums = [k for k, (s, _) in agg_specs.items() if s == "sum"]
+        pick = (f"CASE WHEN {S} IN ({', '.join(lit(k) for k in sums)}) THEN __sum ELSE __avg END"
+                if sums else "__avg")
+        a = (tagged.filter(F.col(spec_col).isin(list(agg_specs)))
+                   .selectExpr(*[q(k) for k in keys], S, f"{bucket} AS {q(ts)}", f"{V} AS __v")
+                   .groupBy(*keys, spec_col, ts)
+                   .agg(F.sum("__v").alias("__sum"), F.avg("__v").alias("__avg"))
+                   .selectExpr(*[q(k) for k in keys], S, q(ts), f"{pick} AS {q(value)}"))
+        parts.append(a)
+    if raw_specs:
+        parts.append(tagged.filter(F.col(spec_col).isin(raw_specs)).selectExpr(
+            *[q(k) for k in keys], S, f"CAST({q(ts)} AS TIMESTAMP_NTZ) AS {q(ts)}", f"{V} AS {q(value)}"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -1,10 +1,9 @@
 """M1 ``extract_job`` and M2 ``long_record_filter``.
 
 M1 replaces "download these series with this report spec into that folder"
-by a selection over readings already in the lake: a broadcast semi join
-with the manifest (bounded list of ids), the spec's process chain, and the
-folder attached. Specs are a handful of config rows, so looping over them
-only builds a union of plans.
+by a selection over readings already in the lake: a broadcast join with the
+manifest (bounded list of ids) tags each reading with its spec and folder,
+and every spec's process chain is applied in one pass (``apply_specs``).
 """
 
 from __future__ import annotations
@@ -13,30 +12,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import US_PER_DAY
-from ..operators.joins import select_listed, sized_broadcast
+from ..operators.joins import sized_broadcast
 from ..operators.info import DAYS_PER_YEAR
-from ..operators.resample import apply_process_chain
+from ..operators.resample import apply_specs
 from ..operators.step import step_table
 
 
 def extract_job(readings: DataFrame, manifest: DataFrame, specs: DataFrame,
                 key: str = "uid", ts: str = "TimeStamp", value: str = "Value") -> DataFrame:
-    """Rows ``folder, key, ts, value`` for every (series, spec, folder) listed."""
+    """Rows ``folder, key, ts, value`` for every (series, spec, folder) listed.
+
+    The manifest (bounded: one row per listed series and spec) is counted
+    and broadcast; readings are tagged with their spec and folder in one
+    map-side join, then all specs are computed together (``apply_specs``).
+    """
     chains = {r["spec"]: r["ProcessChain"] for r in specs.select("spec", "ProcessChain").collect()}
-    wanted = [r["spec"] for r in manifest.select("spec").distinct().collect()]
+    m = manifest.select(key, "spec", "folder").distinct()
+    wanted = [r["spec"] for r in m.select("spec").distinct().collect()]
     missing = sorted(set(wanted) - set(chains))
     if missing:
         raise ValueError(f"manifest names unknown specs: {missing}")
-    parts = []
-    for spec in sorted(wanted):
-        m = manifest.filter(F.col("spec") == spec).select(key, "folder").distinct()
-        sel = select_listed(readings.select(key, ts, value), m, key)
-        res = apply_process_chain(sel, chains[spec], [key], ts, value)
-        parts.append(res.join(sized_broadcast(m), key).select("folder", key, ts, value))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tagged = readings.select(key, ts, value).join(sized_broadcast(m), key)
+    out = apply_specs(tagged, {s: chains[s] for s in wanted}, ["folder", key], ts, value)
+    return out.select("folder", key, ts, value)
 
 
 def long_record_filter(df: DataFrame, keys, ts: str | None = None, values=None,
