@@ -138,3 +138,18 @@ def test_hot_series_plan_uses_chunk_key(spark):
         ._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(site" in plan and "__chunk" in plan.split("hashpartitioning(")[1]
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_validate_order_check_stitches_chunks(spark):
+    from tidewater.operators.validate import ts_validate
+    import random
+    rnd = random.Random(7)
+    base = datetime(2024, 1, 1)
+    rows = [("a", i, base + timedelta(minutes=rnd.randint(0, 500)), 1.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "site string, seq long, t timestamp_ntz, v double")
+    want = sum(1 for (_, _, a, _), (_, _, b, _) in zip(rows, rows[1:]) if b < a)
+
+    def bad(k):
+        out = ts_validate(df, ["site"], "t", seq="seq", seq_per_chunk=k).collect()
+        return {r["check"]: r["n"] for r in out}.get("out_of_order")
+    assert bad(1) == bad(1_000_000) == want

@@ -7,9 +7,9 @@ checks are distributed aggregates. Output: one row per violation,
 * ``duplicate_times``: number of times that occur more than once;
 * ``out_of_order``: rows whose time is earlier than the previous row's, in
   the order of an explicit arrival column ``seq`` (a DataFrame has no
-  intrinsic order). Chunks of ``seq`` are compared inside
-  ``(series, chunk)`` windows and chunk edges are stitched, so a hot series
-  is never sorted in one task.
+  intrinsic order). Ranges of ``seq`` (width adapted to each series) are
+  compared inside ``(series, chunk)`` windows and chunk edges are stitched,
+  so a hot series is never sorted in one task.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timecols import is_numeric, is_temporal
+from ..functions.timecols import is_numeric, is_temporal, q
 
-SEQ_PER_CHUNK = 1 << 20
+SEQ_PER_CHUNK = 50_000
 
 
 def schema_violations(df: DataFrame, keys=(), ts: str | None = None) -> list[str]:
@@ -59,8 +59,17 @@ def ts_validate(df: DataFrame, keys=(), ts: str | None = None, seq: str | None =
               .select(*keys, F.lit("duplicate_times").alias("check"), "n"))
     out = out.unionByName(dups)
     if seq is not None:
-        c = F.floor(F.col(seq) / F.lit(seq_per_chunk)).alias("__c")
-        base = df.select(*keys, F.col(seq), F.col(ts), c)
+        # chunk width adapts to each series' density of arrival numbers,
+        # so both the rows per chunk and the chunks per series stay bounded
+        from .joins import join_keyed, materialise
+        ext = materialise(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                                F.min(seq).alias("__s0"), F.max(seq).alias("__s1"))
+                          if keys else df.agg(F.count(F.lit(1)).alias("__n"),
+                                              F.min(seq).alias("__s0"), F.max(seq).alias("__s1")))
+        width = (f"greatest(1, ceil((__s1 - __s0 + 1) / greatest(1, floor(__n / "
+                 f"greatest({int(seq_per_chunk)}, sqrt(__n))))))")
+        base = join_keyed(df.select(*keys, F.col(seq), F.col(ts)), ext, keys).select(
+            *keys, F.col(seq), F.col(ts), F.expr(f"({q(seq)} - __s0) div {width}").alias("__c"))
         w = Window.partitionBy(*keys, "__c").orderBy(seq)
         inner = (base.withColumn("__prev", F.lag(ts).over(w))
                      .groupBy(*keys, "__c")

@@ -9,15 +9,18 @@ from ..functions.names import DATE_FORMAT, TIME_FORMAT, format_ts
 
 
 def write_long_by_folder(long: DataFrame, path: str, mode: str = "overwrite",
-                         ts: str = "TimeStamp") -> None:
+                         ts: str = "TimeStamp", cluster: bool = False) -> None:
     """K1: one Parquet dataset per folder (``folder=`` directories), time as text.
 
-    Rows are clustered by series and time inside each file so Parquet
-    min/max statistics prune well.
+    No task gathers a folder: every task writes its own rows of each folder,
+    sorted by series and time so Parquet min/max statistics prune well.
+    ``cluster=True`` range-partitions on (folder, uid, time) first: sampled
+    boundaries split even a hot folder evenly, and files do not overlap.
     """
-    out = long.withColumn(ts, format_ts(ts))
-    (out.repartition("folder").sortWithinPartitions("folder", "uid", ts)
-        .write.mode(mode).partitionBy("folder").parquet(path))
+    if cluster:
+        long = long.repartitionByRange("folder", "uid", ts)
+    out = long.sortWithinPartitions("folder", "uid", ts).withColumn(ts, format_ts(ts))
+    out.write.mode(mode).partitionBy("folder").parquet(path)
 
 
 def write_wide(wide: DataFrame, path: str, ts: str, daily: bool, mode: str = "overwrite") -> None:
@@ -64,8 +67,8 @@ def register_tables(spark: SparkSession, tables: dict) -> None:
 
 
 def write_per_site(long: DataFrame, path: str, site: str = "Site", mode: str = "overwrite") -> None:
-    """R5 sink: one folder per site."""
-    long.repartition(site).write.mode(mode).partitionBy(site).parquet(path)
+    """R5 sink: one folder per site (each task writes its rows of each site)."""
+    long.sortWithinPartitions(site).write.mode(mode).partitionBy(site).parquet(path)
 
 
 def _uid_hyphen(uid):
@@ -73,15 +76,24 @@ def _uid_hyphen(uid):
                        F.substring(uid, 17, 4), F.substring(uid, 21, 12))
 
 
-def render_report_files(series: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Write a long frame as report files: one file per (folder, uid, year).
+def render_report_files(series: DataFrame, root: str, mode: str = "overwrite",
+                        rows_per_file: int = 1_000_000) -> None:
+    """Write a long frame as report files, a long series cut into several.
 
     ``series`` columns: folder, uid (32 hex), Parameter, Label, Plate,
-    Description, TimeStamp, Value. Every file gets the preamble, the
+    Description, TimeStamp, Value. Each series is cut into time ranges of
+    about ``rows_per_file`` readings (width from its own extent), so no task
+    writes a whole dense series. Every file gets the preamble, the
     description line (line 8) and the header (line 12); data lines follow
-    in time order. Files land in ``root/folder=F/uid=U/part=Y/``.
+    in time order. Files land in ``root/folder=F/uid=U/part=P/``.
     """
-    base = series.withColumn("part", F.year("TimeStamp").cast("string"))
+    from ..operators.joins import join_keyed, materialise
+    us = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', TimeStamp)"
+    ext = materialise(series.groupBy("folder", "uid").agg(
+        F.expr("count(1) AS __n"), F.expr(f"min({us}) AS __t0"), F.expr(f"max({us}) AS __t1")))
+    width = f"greatest(1, ceil((__t1 - __t0 + 1) / greatest(1, ceil(__n / {int(rows_per_file)}))))"
+    base = join_keyed(series, ext, ["folder", "uid"]).withColumn(
+        "part", F.expr(f"CAST(({us} - __t0) div {width} AS STRING)")).drop("__n", "__t0", "__t1")
     heads = base.select("folder", "uid", "part", "Parameter", "Label", "Plate", "Description").distinct()
     desc = F.concat(F.lit("# "), _uid_hyphen(F.col("uid")), F.lit(" "), F.col("Parameter"), F.lit("."),
                     F.col("Label"), F.lit("@"), F.col("Plate"), F.lit(": "), F.col("Description"))
