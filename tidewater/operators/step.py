@@ -15,9 +15,10 @@ gaps need an order, but ordering a whole series in one task does not scale.
 Each series is cut into time chunks whose width adapts to its density
 (about ``max(rows_per_chunk, sqrt(n))`` readings per chunk), gaps are taken
 with ``lag`` inside ``(series, chunk)`` windows and reduced to one row per
-chunk (bounds, smallest gap, distinct gaps). Chunk edges are stitched and
-divisibility is checked on that small per-chunk table, so the readings are
-read twice and shuffled once (``hashpartitioning(keys, chunk)``).
+chunk (bounds, smallest gap, distinct gaps). Chunk edges, the smallest gap
+per series and the divisibility check come from windows over that small
+per-chunk table, so the readings are read twice (extent, windowed pass) and
+shuffled once (``hashpartitioning(keys, chunk)``); two jobs in all.
 
 Expressions are written as SQL text: one JVM call per expression keeps
 plan construction cheap on the driver.
@@ -96,32 +97,27 @@ def step_table(df: DataFrame, keys=(), ts: str | None = None, values=None,
     per_chunk = per_chunk.selectExpr(
         *_kq(keys), "__chunk", "cmin", "cmax", "gmin",
         f"CASE WHEN coalesce(gmin, {thr}) >= {thr} THEN gaps END AS gaps")
-    ch = materialise(per_chunk)
-
     wk = f"PARTITION BY {K} ORDER BY __chunk" if K else "ORDER BY __chunk"
+    whole = f"PARTITION BY {K}" if K else ""
     edge = f"cmin - lag(cmax) OVER ({wk})"
     if ignore_subthreshold:
         edge = f"CASE WHEN {edge} >= {thr} THEN {edge} END"
-    c2 = ch.df.selectExpr(*_kq(keys), "gmin", "gaps", f"{edge} AS edge")
-
-    def by_key(frame, *aggs):
-        aggs = [F.expr(a) for a in aggs]
-        return frame.groupBy(*keys).agg(*aggs) if keys else frame.agg(*aggs)
-
-    mins = by_key(c2, "least(min(gmin), min(edge)) AS m_us")
-    c3 = join_keyed(c2, SmallTable(mins, ext.rows), keys).selectExpr(
-        *_kq(keys), "m_us",
-        "forall(coalesce(gaps, array()), x -> pmod(x, m_us) = 0) "
-        "AND coalesce(pmod(edge, m_us) = 0, true) AS __okc")
-    checks = by_key(c3, "min(m_us) AS m_us", "bool_and(__okc) AS __ok")
+    # The per-chunk table is small (chunks per series ~ sqrt(n)); a window
+    # over it by series yields the smallest gap without a second read.
+    c2 = per_chunk.selectExpr(*_kq(keys), "gmin", "gaps", f"{edge} AS edge")
+    c3 = c2.selectExpr(*_kq(keys), "gaps", "edge",
+                       f"least(min(gmin) OVER ({whole}), min(edge) OVER ({whole})) AS m_us")
+    c3 = c3.selectExpr(*_kq(keys), "m_us",
+                       "forall(coalesce(gaps, array()), x -> pmod(x, m_us) = 0) "
+                       "AND coalesce(pmod(edge, m_us) = 0, true) AS __okc")
+    aggs = [F.expr("min(m_us) AS m_us"), F.expr("bool_and(__okc) AS __ok")]
+    checks = c3.groupBy(*keys).agg(*aggs) if keys else c3.agg(*aggs)
     out = join_keyed(ext.df, SmallTable(checks, ext.rows), keys, "left")
     step = (f"CASE WHEN m_us IS NULL THEN CAST(NULL AS BIGINT) "
             f"WHEN m_us < {thr} OR NOT coalesce(__ok, false) THEN CAST(-1 AS BIGINT) ELSE m_us END")
     out = out.selectExpr(*_kq(keys), "n", "t0", "t1", "m_us", f"{step} AS step_us").selectExpr(
         "*", f"CASE WHEN step_us > 0 THEN step_us div {US_PER_SECOND} ELSE step_us END AS step_s")
-    res = materialise(out)
-    ch.release()
-    return res
+    return materialise(out)
 
 
 def ts_step(df: DataFrame, keys=(), ts: str | None = None, values=None,

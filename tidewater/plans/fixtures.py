@@ -70,11 +70,20 @@ def demo_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+_RENDERED: dict = {}
+
+
 def render_demo(spark: SparkSession, sf_dir: str) -> str:
-    """Render the demo folders as report files under the shared scratch folder."""
-    root = scratch_path(spark, "reports")
-    render_report_files(demo_series(spark, sf_dir), root)
-    return root
+    """Render the demo folders as report files under the shared scratch folder.
+
+    Rendered once per application and table folder; later calls reuse it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RENDERED:
+        root = scratch_path(spark, "reports")
+        render_report_files(demo_series(spark, sf_dir), root)
+        _RENDERED[key] = root
+    return _RENDERED[key]
 
 
 DEMO_SQL = """
