@@ -12,8 +12,8 @@ Checks in order; the first failure is the reason:
 4. ``name_collision``: the wide columns are named by site name, so two
    plates sharing a name (or several unnamed plates) would merge.
 
-Everything is a ``groupBy(folder)`` aggregate or the step table: one row
-per folder comes out; no folder's readings are gathered anywhere.
+Everything is a ``groupBy`` aggregate or the step table: one row per
+folder comes out; no folder's readings are gathered anywhere.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import SmallTable, join_keyed
+from ..functions.timecols import q
+from .joins import SmallTable, join_keyed, materialise
 from .step import step_table
 
 
@@ -29,41 +30,44 @@ def wide_eligibility(long: DataFrame, files: DataFrame | None = None, folder: st
                      file: str = "CSV", plate: str = "Plate", name: str = "Name",
                      unit: str = "Unit", parameter: str = "Parameter",
                      ts: str = "TimeStamp") -> DataFrame:
-    """Columns: folder, eligible, reason, dup_files (sorted array), step_s, is_daily."""
+    """Columns: folder, eligible, reason, dup_files (sorted array), step_s, is_daily.
+
+    The long table is read once for the per-file attributes (a small table:
+    one row per file and attribute combination, materialised) and twice by
+    the step detection; every check is derived from those small tables.
+    """
+    midnight = (f"bool_and(pmod(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                f"CAST({q(ts)} AS TIMESTAMP_NTZ)), 86400000000) = 0)")
+    attrs = materialise(long.groupBy(folder, file, plate, unit, parameter,
+                                     F.coalesce(F.col(name), F.col(plate)).alias("__nm"))
+                            .agg(F.expr(f"{midnight} AS __mid")))
+    a = attrs.df
     if files is None:
-        files = long.select(folder, file)
+        files = a.select(folder, file)
     n_files = files.select(folder, file).distinct().groupBy(folder).agg(
         F.count(F.lit(1)).alias("__files"))
-    pf = long.select(folder, plate, file).distinct()
-    # plates per folder, NULL counted as one value (as a unique() would)
-    plates = pf.select(folder, plate).distinct().groupBy(folder).agg(
-        F.count(F.lit(1)).alias("__plates"))
-    multi = (pf.groupBy(folder, plate).agg(F.count(file).alias("__nf"),
-                                           F.collect_set(file).alias("__fs"))
-               .filter(F.col("__nf") > 1)
+    pf = a.select(folder, plate, file).distinct()
+    plates = pf.select(folder, plate).distinct().groupBy(folder).agg(F.count(F.lit(1)).alias("__plates"))
+    multi = (pf.groupBy(folder, plate).agg(F.count(file).alias("__nf"), F.collect_set(file).alias("__fs"))
+               .filter("__nf > 1")
                .groupBy(folder).agg(F.sort_array(F.flatten(F.collect_list("__fs"))).alias("dup_files")))
-    up = long.select(folder, unit, parameter).distinct().groupBy(folder).agg(
-        F.count(F.lit(1)).alias("__up"))
-    names = long.select(folder, plate, F.coalesce(F.col(name), F.col(plate)).alias("__nm")).distinct()
-    nm = names.groupBy(folder).agg(F.countDistinct("__nm").alias("__names"),
-                                   F.count(F.lit(1)).alias("__pl2"))
-    times = long.select(folder, F.col(ts).cast("timestamp_ntz").alias(ts), F.lit(0.0).alias("__vv"))
+    up = a.select(folder, unit, parameter).distinct().groupBy(folder).agg(F.count(F.lit(1)).alias("__up"))
+    nm = (a.select(folder, plate, "__nm").distinct().groupBy(folder)
+           .agg(F.countDistinct("__nm").alias("__names"), F.count(F.lit(1)).alias("__pl2")))
+    mid = a.groupBy(folder).agg(F.bool_and("__mid").alias("__mid"))
+    times = long.selectExpr(q(folder), f"CAST({q(ts)} AS TIMESTAMP_NTZ) AS {q(ts)}", "0.0 AS __vv")
     st = step_table(times, [folder], ts, ["__vv"])
-    mid = times.groupBy(folder).agg(F.bool_and(F.pmod(
-        F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts)),
-        F.lit(86_400_000_000)) == 0).alias("__mid"))
 
     g = n_files
     for part in (plates, multi, up, nm, mid):
         g = g.join(part, folder, "left")
     g = join_keyed(g, SmallTable(st.df.select(folder, "step_s"), st.rows), [folder], "left")
-    step = F.col("step_s")
-    reason = (F.when(F.coalesce(F.col("__plates"), F.lit(0)) < F.col("__files"), "duplicate_site")
-               .when(F.col("__up") > 1, "mixed_unit_or_parameter")
-               .when(step.isNull(), "insufficient_data")
-               .when((step == -1) | (step > 86_400), "irregular_or_coarse")
-               .when(F.col("__names") < F.col("__pl2"), "name_collision"))
-    return g.select(
-        folder, reason.isNull().alias("eligible"), reason.alias("reason"),
-        F.coalesce(F.col("dup_files"), F.array().cast("array<string>")).alias("dup_files"),
-        "step_s", ((step == 86_400) & F.coalesce(F.col("__mid"), F.lit(False))).alias("is_daily"))
+    reason = ("CASE WHEN coalesce(__plates, 0) < __files THEN 'duplicate_site' "
+              "WHEN __up > 1 THEN 'mixed_unit_or_parameter' "
+              "WHEN step_s IS NULL THEN 'insufficient_data' "
+              "WHEN step_s = -1 OR step_s > 86400 THEN 'irregular_or_coarse' "
+              "WHEN __names < __pl2 THEN 'name_collision' END")
+    out = g.selectExpr(q(folder), f"{reason} AS reason",
+                       "coalesce(dup_files, CAST(array() AS ARRAY<STRING>)) AS dup_files", "step_s",
+                       "coalesce(step_s = 86400 AND __mid, false) AS is_daily")
+    return out.selectExpr(q(folder), "reason IS NULL AS eligible", "reason", "dup_files", "step_s", "is_daily")
