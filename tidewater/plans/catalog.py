@@ -713,3 +713,42 @@ def q_hourly_2_daily_udaf(spark, sf):
     """A Python (pandas, Arrow-batched) aggregate as the daily statistic."""
     return hourly_2_daily(hourly_events(spark, sf), ["event_type"], "ts", "value",
                           agg=spread, prop=0.75)
+
+
+# ---------------------------------------------------------------- A12, S5, K1
+
+from ..operators.summary import distinct_count  # noqa: E402
+from ..sinks.writers import write_dim_csv, write_long_by_folder  # noqa: E402
+from ..sources.dims import dim_from_csv  # noqa: E402
+from ..functions.timecols import nan_to_null_sql  # noqa: E402
+
+
+@register("distinct_count",
+          "select l_returnflag, count(*) as n from (select distinct l_returnflag, l_linestatus, l_discount "
+          "from lineitem) group by 1")
+def q_distinct_count(spark, sf):
+    """Exact distinct (status, discount) tuples per return flag."""
+    li = table(spark, sf, "lineitem")
+    return distinct_count(li, "l_returnflag", ["l_linestatus", "l_discount"])
+
+
+@register("dim_csv",
+          "select n_name as \"Plate\", r_name as \"Name\" from nation join region on n_regionkey = r_regionkey")
+def q_dim_csv(spark, sf):
+    """S5 + K5: a dictionary written as CSV with header and read back as a lookup."""
+    path = scratch_path(spark, "dim-csv")
+    write_dim_csv(_nation_region(spark, sf).select(F.col("n_name").alias("Plate"),
+                                                    F.col("r_name").alias("Name")), path)
+    return dim_from_csv(spark, path)
+
+
+@register("long_by_folder_roundtrip",
+          f"select l_returnflag as folder, md5(l_returnflag || l_linestatus) as uid, "
+          f"strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as \"TimeStamp\", {r6(nn('l_quantity'), 'Value')} "
+          "from lineitem")
+def q_long_by_folder_roundtrip(spark, sf):
+    """K1: long table written per folder (time as text) and read back."""
+    path = scratch_path(spark, "long-by-folder")
+    long = _lineitem_long(spark, sf).withColumn("Value", F.expr(f"{nan_to_null_sql('Value')}"))
+    write_long_by_folder(long, path)
+    return spark.read.parquet(path).select("folder", "uid", "TimeStamp", "Value")
