@@ -153,3 +153,20 @@ def test_validate_order_check_stitches_chunks(spark):
         out = ts_validate(df, ["site"], "t", seq="seq", seq_per_chunk=k).collect()
         return {r["check"]: r["n"] for r in out}.get("out_of_order")
     assert bad(1) == bad(1_000_000) == want
+
+
+def test_forced_daily_padding_r_dialect(spark):
+    rows = [("a", d("2024-01-01"), 1.0), ("a", d("2024-01-03"), 2.0), ("a", d("2024-01-06"), 3.0)]
+    df = spark.createDataFrame(rows, DSCHEMA)
+    out = na_ts_insert(df, ["site"], "t", ["v"], step_s=86400).collect()
+    assert len(out) == 6 and sum(r["v"] is None for r in out) == 3
+
+
+def test_summary_null_rules(spark):
+    from tidewater.operators.summary import data_range_summary
+    rows = [("a", ts("2024-01-01 00:00"), 1.0, None), ("a", ts("2024-01-01 01:00"), 2.0, "m")]
+    df = spark.createDataFrame(rows, "site string, t timestamp_ntz, v double, Unit string")
+    r_value = data_range_summary(df, ["site"], "t", "v", attrs=("Unit",)).collect()[0]
+    r_any = data_range_summary(df, ["site"], "t", "v", attrs=("Unit",), null_rule="any").collect()[0]
+    assert (r_value["Min"], r_value["Start"]) == (1.0, ts("2024-01-01 00:00"))
+    assert (r_any["Min"], r_any["Start"]) == (2.0, ts("2024-01-01 01:00"))

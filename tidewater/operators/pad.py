@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from ..functions.timecols import (discover_roles, from_micros_sql, nan_to_null_sql,
                                   present_sql, q)
-from .joins import SmallTable
-from .step import step_table
+from ..functions.timecols import US_PER_SECOND
+from .joins import SmallTable, materialise
+from .step import series_extent, step_table
 
 POINTS_PER_PIECE = 100_000
 
@@ -46,13 +47,30 @@ def grid_times(steps: SmallTable, keys, ts: str, is_date: bool,
     ).selectExpr(*K, f"{t} AS {q(ts)}")
 
 
+def fixed_steps(df: DataFrame, keys, ts: str, values, step_s: int) -> SmallTable:
+    """Step table for a known step: every series with two or more present
+    times is padded on ``t0 + k * step`` (no detection pass)."""
+    ext = materialise(series_extent(df, keys, ts, values))
+    us = int(step_s) * US_PER_SECOND
+    t = ext.df.selectExpr(*[q(k) for k in keys], "n", "t0", "t1",
+                          f"CASE WHEN t1 > t0 THEN CAST({us} AS BIGINT) END AS step_us")
+    return SmallTable(t, ext.rows)
+
+
 def na_ts_insert(df: DataFrame, keys=(), ts: str | None = None, values=None,
                  min_step_s: int = 60, steps: SmallTable | None = None,
-                 points_per_piece: int = POINTS_PER_PIECE) -> DataFrame:
-    """Padded series: columns ``keys + [ts] + values``."""
+                 points_per_piece: int = POINTS_PER_PIECE, step_s: int | None = None) -> DataFrame:
+    """Padded series: columns ``keys + [ts] + values``.
+
+    ``step_s`` pads at a known step instead of the detected one (e.g.
+    ``86400`` reproduces the R dialect, where a DATE series is always
+    padded daily); present times off that grid are kept as they are.
+    """
     keys = list(keys)
     ts, values = discover_roles(df, keys, ts, values)
     is_date = isinstance(df.schema[ts].dataType, T.DateType)
+    if steps is None and step_s is not None:
+        steps = fixed_steps(df, keys, ts, values, step_s)
     st = steps or step_table(df, keys, ts, values, min_step_s)
     cols = keys + [ts]
     g = grid_times(st, keys, ts, is_date, points_per_piece).selectExpr(
