@@ -170,3 +170,28 @@ def test_summary_null_rules(spark):
     r_any = data_range_summary(df, ["site"], "t", "v", attrs=("Unit",), null_rule="any").collect()[0]
     assert (r_value["Min"], r_value["Start"]) == (1.0, ts("2024-01-01 00:00"))
     assert (r_any["Min"], r_any["Start"]) == (2.0, ts("2024-01-01 01:00"))
+
+
+def test_hot_series_is_cut_into_bounded_chunks(spark):
+    """A series holding most rows is spread over many (series, chunk) groups."""
+    from pyspark.sql import functions as F
+    from tidewater.operators import step as S
+    from tidewater.operators.joins import materialise
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_type", "ts", "value")
+    hot = (ev.filter("event_type = 'click'")
+             .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(9))))
+             .selectExpr("'hot' AS event_type", "timestampadd(DAY, 31 * copy, ts) AS ts", "value"))
+    data = ev.filter("event_type <> 'click'").unionByName(hot)
+    ext = materialise(S.series_extent(data, ["event_type"], "ts", ["value"]))
+    times = S._with_chunk(S.present_times(data, ["event_type"], "ts", ["value"]), ext,
+                          ["event_type"], rows_per_chunk=1000)
+    sizes = [r["n"] for r in times.filter("event_type = 'hot'").groupBy("__chunk").count()
+             .withColumnRenamed("count", "n").collect()]
+    total = sum(sizes)
+    assert total == hot.count() and len(sizes) >= 15
+    assert max(sizes) <= 3 * 1000
+    # and the detected step is the same as with one chunk per series
+    a = S.step_table(data, ["event_type"], "ts", ["value"], rows_per_chunk=1000).df
+    b = S.step_table(data, ["event_type"], "ts", ["value"], rows_per_chunk=10_000_000).df
+    assert sorted(map(tuple, a.select("event_type", "step_s").collect())) == \
+        sorted(map(tuple, b.select("event_type", "step_s").collect()))
