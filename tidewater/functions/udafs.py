@@ -6,9 +6,11 @@ reads the real ``pd.Series`` hints.
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
-@pandas_udf("double")
+# a type object, not a DDL string: defining the UDF needs no running JVM
+@pandas_udf(DoubleType())
 def spread(v: pd.Series) -> float:
     """Range of the values of a group (max - min)."""
     return float(v.max() - v.min())
