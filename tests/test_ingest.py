@@ -123,3 +123,24 @@ def test_enrich_is_broadcast(spark):
     out = enrich(big, dim, "k")
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     assert out.filter("name IS NULL").count() == 33
+
+
+def test_organise_writes_outputs(spark, root, dims, tmp_path):
+    params, plates = dims
+    out = str(tmp_path / "out")
+    organise_folder(spark, root, params, plates, out=out)
+    long = spark.read.parquet(f"{out}/long")
+    assert dict(long.dtypes)["TimeStamp"] == "string"
+    assert {r["folder"] for r in long.select("folder").distinct().collect()} == {"dFlo", "dQual", "dup"}
+    wide = spark.read.parquet(f"{out}/dFlo_wide")
+    assert wide.columns[0] == "Time" and dict(wide.dtypes)["Time"] == "string" and wide.count() == 3
+    tsv = spark.read.option("sep", "\t").option("header", True).csv(f"{out}/data_range")
+    assert "Time_max" in tsv.columns and tsv.count() == 5
+
+
+def test_long_table_writes_outputs(spark, root, dims, tmp_path):
+    params, plates = dims
+    out = str(tmp_path / "db")
+    long_table(spark, root, params, plates, out=out)
+    df = spark.read.parquet(f"{out}/df_long")
+    assert df.count() == 12 and dict(df.dtypes)["TimeStamp"] == "string"
