@@ -59,9 +59,10 @@ def join_keyed(big: DataFrame, small, keys, how: str = "inner",
     else:
         right, hinted = small, False
     if not keys:
-        # A frame-wide table has one row: a cross product with one row.
+        # A frame-wide table has one row: attach it by a constant key.
+        right = right.withColumn("__one", F.lit(1))
         right = F.broadcast(right) if hinted else right
-        return big.crossJoin(right) if how == "inner" else big.join(right, how=how)
+        return big.withColumn("__one", F.lit(1)).join(right, "__one", how).drop("__one")
     ren = {k: f"__r_{i}" for i, k in enumerate(keys)}
     right = right.selectExpr(*[f"`{c}` AS `{ren.get(c, c)}`" for c in right.columns])
     if hinted:
