@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.timecols import (as_ntz, discover_roles, dtype_of, is_numeric,
                                   nan_to_null)
@@ -77,4 +76,4 @@ def value_columns(df: DataFrame, exclude=()) -> list[str]:
 
 
 __all__ = ["to_wide", "unpivot_long", "ts_melt", "ts_2_list", "daily_normalise",
-           "pivot_names", "value_columns", "T"]
+           "pivot_names", "value_columns"]

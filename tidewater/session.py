@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -77,5 +76,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "local_path",
-           "DEFAULT_CONF", "os"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "DEFAULT_CONF"]

@@ -7,7 +7,7 @@ size-checked broadcast (see ``operators.joins.enrich``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,4 +50,4 @@ def dim_from_catalog(spark: SparkSession, path: str, list_field: str, id_field:
     raise ValueError("keep must be 'distinct' or 'last'")
 
 
-__all__ = ["dim_from_json_map", "dim_from_csv", "dim_from_catalog", "Window"]
+__all__ = ["dim_from_json_map", "dim_from_csv", "dim_from_catalog"]
