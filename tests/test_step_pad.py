@@ -195,3 +195,16 @@ def test_hot_series_is_cut_into_bounded_chunks(spark):
     b = S.step_table(data, ["event_type"], "ts", ["value"], rows_per_chunk=10_000_000).df
     assert sorted(map(tuple, a.select("event_type", "step_s").collect())) == \
         sorted(map(tuple, b.select("event_type", "step_s").collect()))
+
+
+def test_padding_join_is_hashed_on_series_and_time(spark):
+    """The grid join shuffles on (series, time), so a hot series spreads over all tasks."""
+    import re
+    rows = [("a", ts("2024-01-01 00:00"), 1.0), ("a", ts("2024-01-01 02:00"), 2.0)]
+    out = na_ts_insert(spark.createDataFrame(rows, SCHEMA), ["site"], "t", ["v"])
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "FullOuter" in plan or "full" in plan.lower()
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString()
+    parts = re.findall(r"hashpartitioning\(([^)]*)\)", final)
+    assert any("__g0" in p and "__g1" in p for p in parts), parts

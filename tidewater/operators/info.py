@@ -6,6 +6,11 @@
 readings. An irregular frame gets no completion. The step is frame-wide by
 default (as for a wide table: times where any site has a value); use
 ``scope='series'`` for one step per site.
+
+Without ``frame_keys`` the frame's step decides the schema, as in the
+reference: no step (fewer than two times) gives an empty result, an
+irregular frame has no ``Completion_%`` column. With ``frame_keys`` (many
+frames at once) the column is always there and NULL where irregular.
 """
 
 from __future__ import annotations
