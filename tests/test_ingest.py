@@ -144,3 +144,18 @@ def test_long_table_writes_outputs(spark, root, dims, tmp_path):
     long_table(spark, root, params, plates, out=out)
     df = spark.read.parquet(f"{out}/df_long")
     assert df.count() == 12 and dict(df.dtypes)["TimeStamp"] == "string"
+
+
+def test_missing_and_empty_roots(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        report_csv_scan(spark, str(tmp_path / "nope"))
+    (tmp_path / "only_empty" / "f1").mkdir(parents=True)
+    assert report_csv_scan(spark, str(tmp_path / "only_empty")).count() == 0
+
+
+def test_concat_frames_fills_missing_columns(spark):
+    from tidewater.operators.reshape import concat_frames
+    a = spark.createDataFrame([(1, 2.0)], "k int, x double")
+    b = spark.createDataFrame([(2, 3.0)], "k int, y double")
+    rows = sorted(concat_frames(a, b).collect())
+    assert [tuple(r) for r in rows] == [(1, 2.0, None), (2, None, 3.0)]

@@ -70,10 +70,19 @@ def daily_normalise(df: DataFrame, ts: str, daily: bool) -> DataFrame:
     return df.withColumn(ts, as_ntz(ts, dtype_of(df, ts))).withColumnRenamed(ts, "Time")
 
 
+def concat_frames(*frames: DataFrame) -> DataFrame:
+    """Vertical concatenation by column name; columns missing from a
+    frame are NULL (a "diagonal" concat)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def value_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields
             if f.name not in set(exclude) and is_numeric(f.dataType)]
 
 
 __all__ = ["to_wide", "unpivot_long", "ts_melt", "ts_2_list", "daily_normalise",
-           "pivot_names", "value_columns"]
+           "pivot_names", "value_columns", "concat_frames"]

@@ -32,6 +32,12 @@ def scan_lines(spark: SparkSession, root: str, recursive: bool = False,
     ``root`` matching ``glob`` (default ``*.csv``).
     """
     root = root.rstrip("/")
+    pattern = root if recursive else f"{root}/*/*"
+    found = _exists(spark, root, pattern)
+    if found is None:
+        raise FileNotFoundError(f"report folder {root!r} does not exist")
+    if not found:  # only empty folders: nothing to read
+        return spark.createDataFrame([], "path string, line string")
     if recursive:
         reader = spark.read.option("recursiveFileLookup", "true").option(
             "pathGlobFilter", glob or "*.csv")
@@ -42,6 +48,19 @@ def scan_lines(spark: SparkSession, root: str, recursive: bool = False,
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
 
 
+def _exists(spark: SparkSession, root: str, pattern: str):
+    """None if ``root`` is missing, else whether ``pattern`` matches anything
+    (file-system metadata only, as Spark's own file listing does)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rp = jvm.org.apache.hadoop.fs.Path(root)
+    fs = rp.getFileSystem(conf)
+    if not fs.exists(rp):
+        return None
+    matches = fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern))
+    return matches is not None and len(matches) > 0
+
+
 def file_lineage(path="path") -> dict:
     """Folder (parent directory), CSV (file name) and the file stem.
 
