@@ -597,10 +597,17 @@ SPECS = [("hourly_mean", "Mean", "Hourly"), ("hourly_sum", "Sum", "Hourly"),
          ("raw", None, None)]
 
 
+_SPEC_PATHS: dict = {}
+
+
 def _specs(spark):
-    path = scratch_path(spark, "specs")
-    render_spec(spark, SPECS, path)
-    return report_spec_scan(spark, path)
+    """The spec files are config: rendered once per application, then read."""
+    key = spark.sparkContext.applicationId
+    if key not in _SPEC_PATHS:
+        path = scratch_path(spark, "specs")
+        render_spec(spark, SPECS, path)
+        _SPEC_PATHS[key] = path
+    return report_spec_scan(spark, _SPEC_PATHS[key])
 
 
 _SPEC_UNIT = {"Hourly": "hour", "Daily": "day", "Monthly": "month"}
