@@ -469,7 +469,7 @@ select folder, reason is null as eligible, reason, n_dup_files, step_s, is_daily
 def q_wide_eligibility(spark, sf):
     """T5: per-folder verdict (each reason appears once in the demo folders)."""
     gate = _organised(spark, sf).gate
-    return gate.select("folder", "eligible", "reason", F.size("dup_files").alias("n_dup_files"),
+    return gate.select("folder", "eligible", "reason", F.size("dup_files").cast("long").alias("n_dup_files"),
                        "step_s", "is_daily")
 
 
