@@ -44,6 +44,11 @@ def rows_of(columns, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# Spark simple type names -> DuckDB type names, for the schema check
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     import __spark_entry__ as E
     df = E.queries()[name](spark, sf_dir)
@@ -60,6 +65,12 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     d_rows = rel.fetchall()
     out["duck_rows"] = len(d_rows)
     out["cols_match"] = sorted(s_cols) == sorted(d_cols)
+    s_types = {c: TYPE_NAMES.get(t, t) for c, t in df.dtypes}
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out["types_match"] = s_types == d_types
+    if not out["types_match"]:
+        out["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                            if s_types.get(c) != d_types.get(c)}
     out["values_match"] = out["cols_match"] and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
     if not out["values_match"]:
         out["spark_cols"], out["duck_cols"] = s_cols, d_cols

@@ -23,6 +23,7 @@ def test_query_matches_oracle(spark, con, name):
         assert r["spark_rows"] >= 0
         return
     assert r["cols_match"], r
+    assert r["types_match"], r
     assert r["values_match"], r
     spark.catalog.clearCache()
 
