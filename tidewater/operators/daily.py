@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import discover_roles, nan_to_null_sql, q
+from .joins import materialise
 from .pad import na_ts_insert
 
 _NAMED = {
@@ -70,4 +71,8 @@ def hourly_2_daily(df: DataFrame, keys=(), ts: str | None = None, value: str | N
                      .filter(keep).drop("__n"))
     if not pad:
         return daily
+    # The daily table is small (series x days) and padding reads it three
+    # times (extent, gaps, grid join): compute it once so the (large)
+    # hourly input is scanned a single time.
+    daily = materialise(daily).df
     return na_ts_insert(daily, keys, "Date", [out_col])

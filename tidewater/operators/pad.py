@@ -11,6 +11,11 @@ no task builds a long series alone, and it is joined to the readings with
 a full outer join on ``(keys, time)``. Hashing on the time as well spreads
 even a hot series over all tasks; irregular series have no grid rows and
 pass through the same join untouched.
+
+The input is read three times (extent, gaps, join). Raw readings are
+simply re-scanned (columnar, pruned); an input that is an aggregate of
+something much larger (as in ``hourly_2_daily``) is best materialised
+first.
 """
 
 from __future__ import annotations
