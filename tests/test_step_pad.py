@@ -208,3 +208,21 @@ def test_padding_join_is_hashed_on_series_and_time(spark):
     final = out._jdf.queryExecution().executedPlan().toString()
     parts = re.findall(r"hashpartitioning\(([^)]*)\)", final)
     assert any("__g0" in p and "__g1" in p for p in parts), parts
+
+
+def test_burst_chunk_is_split(spark):
+    """A burst (many readings in one short span of a series) is cut into sub-chunks."""
+    from tidewater.operators import step as S
+    from tidewater.operators.joins import materialise
+    base = datetime(2024, 1, 1)
+    sparse = [("a", base + timedelta(hours=h), 1.0) for h in range(0, 24 * 200)]
+    burst = [("a", base + timedelta(days=50, microseconds=7 * i), 2.0) for i in range(1, 20_000)]
+    df = spark.createDataFrame(sparse + burst, SCHEMA)
+    ext = materialise(S.series_extent(df, ["site"], "t", ["v"]))
+    t1 = S._with_chunk(S.present_times(df, ["site"], "t", ["v"]), ext, ["site"], 1000)
+    t2 = S._split_hot_chunks(t1, ["site"])
+    sizes = [r["count"] for r in t2.groupBy("__chunk", "__sub").count().collect()]
+    assert sum(sizes) == len(sparse) + len(burst)
+    assert max(sizes) <= 3 * 1000
+    a = S.step_table(df, ["site"], "t", ["v"], rows_per_chunk=1000).df.collect()[0]["step_s"]
+    assert a == -1  # 7 microsecond gaps

@@ -15,10 +15,12 @@ gaps need an order, but ordering a whole series in one task does not scale.
 Each series is cut into time chunks whose width adapts to its density
 (about ``max(rows_per_chunk, sqrt(n))`` readings per chunk), gaps are taken
 with ``lag`` inside ``(series, chunk)`` windows and reduced to one row per
-chunk (bounds, smallest gap, distinct gaps). Chunk edges, the smallest gap
-per series and the divisibility check come from windows over that small
-per-chunk table, so the readings are read twice (extent, windowed pass) and
-shuffled once (``hashpartitioning(keys, chunk)``); two jobs in all.
+chunk (bounds, smallest gap, distinct gaps). A chunk that holds several
+times its series' target (a burst: a hot time bucket) is first cut into
+sub-chunks, using exact per-chunk counts. Chunk edges, the smallest gap
+per series and the divisibility check come from windows over the small
+per-chunk table. The readings are read three times (extent, chunk counts,
+windowed pass) and shuffled once (``hashpartitioning(keys, chunk, sub)``).
 
 Expressions are written as SQL text: one JVM call per expression keeps
 plan construction cheap on the driver.
@@ -59,12 +61,47 @@ def series_extent(df: DataFrame, keys, ts: str, values) -> DataFrame:
 
 
 def _with_chunk(times: DataFrame, ext: SmallTable, keys, rows_per_chunk: int) -> DataFrame:
-    width = (f"CAST(greatest(1, ceil((t1 - t0 + 1) / greatest(1, floor(n / greatest({rows_per_chunk}, "
-             f"sqrt(n)))))) AS BIGINT)")
-    sizes = ext.df.filter("n > 0").selectExpr(*_kq(keys), "t0 AS __t0", f"{width} AS __w")
+    target = f"greatest({int(rows_per_chunk)}, sqrt(n))"
+    width = f"CAST(greatest(1, ceil((t1 - t0 + 1) / greatest(1, floor(n / {target})))) AS BIGINT)"
+    sizes = ext.df.filter("n > 0").selectExpr(*_kq(keys), "t0 AS __t0", f"{width} AS __w",
+                                              f"CAST(ceil({target}) AS BIGINT) AS __tgt")
     joined = join_keyed(times, SmallTable(sizes, ext.rows), keys)
     # integer division: chunk ids only have to be monotone in time
-    return joined.selectExpr(*_kq(keys), "__t", "(__t - __t0) div __w AS __chunk")
+    return joined.selectExpr(*_kq(keys), "__t", "(__t - __t0) div __w AS __chunk", "__tgt")
+
+
+HOT_CHUNK_FACTOR = 4
+
+
+def _split_hot_chunks(times: DataFrame, keys, max_levels: int = 6) -> DataFrame:
+    """Cut chunks holding more than ``HOT_CHUNK_FACTOR`` times their series'
+    target (bursts, i.e. hot time buckets) into sub-chunks.
+
+    Each level counts readings per (series, chunk, sub) with a partial
+    aggregation; the hot ones form a small table (at most
+    n / (factor x target) rows) that is counted and broadcast, and each is
+    cut evenly into about ``count / target`` pieces. A narrow burst inside a
+    wide chunk needs a few levels (each shrinks the width ~count/target
+    times); levels stop as soon as no chunk is hot. ``__sub`` is an array
+    (one id per level), compared lexicographically, so time order is kept.
+    """
+    k = _kq(keys)
+    times = times.selectExpr(*k, "__t", "__chunk", "__tgt", "CAST(array() AS ARRAY<BIGINT>) AS __sub")
+    for _ in range(max_levels):
+        counts = times.groupBy(*keys, "__chunk", "__sub").agg(
+            F.expr("count(1) AS __cnt"), F.expr("min(__t) AS __lo"), F.expr("max(__t) AS __hi"),
+            F.expr("max(__tgt) AS __tg"))
+        hot = materialise(counts.filter(f"__cnt > {HOT_CHUNK_FACTOR} * __tg AND __hi > __lo").selectExpr(
+            *k, "__chunk", "__sub", "__lo",
+            "greatest(1, ceil((__hi - __lo + 1) / ceil(__cnt / __tg))) AS __w2"))
+        if hot.rows == 0:
+            hot.release()
+            break
+        j = join_keyed(times, hot, list(keys) + ["__chunk", "__sub"], "left")
+        times = j.selectExpr(*k, "__t", "__chunk", "__tgt",
+                             "CASE WHEN __w2 IS NULL THEN __sub "
+                             "ELSE concat(__sub, array(CAST((__t - __lo) div __w2 AS BIGINT))) END AS __sub")
+    return times.drop("__tgt")
 
 
 def step_table(df: DataFrame, keys=(), ts: str | None = None, values=None,
@@ -82,22 +119,23 @@ def step_table(df: DataFrame, keys=(), ts: str | None = None, values=None,
     K = ", ".join(_kq(keys))
     ext = materialise(series_extent(df, keys, ts, values))
     times = _with_chunk(present_times(df, keys, ts, values), ext, keys, rows_per_chunk)
+    times = _split_hot_chunks(times, keys)
 
-    part = f"PARTITION BY {K + ', ' if K else ''}__chunk ORDER BY __t"
+    part = f"PARTITION BY {K + ', ' if K else ''}__chunk, __sub ORDER BY __t"
     gap = f"__t - lag(__t) OVER ({part})"
     keep = f"{gap} > 0" + (f" AND {gap} >= {thr}" if ignore_subthreshold else "")
-    gaps = times.selectExpr(*_kq(keys), "__chunk", "__t", f"CASE WHEN {keep} THEN {gap} END AS __gap")
+    gaps = times.selectExpr(*_kq(keys), "__chunk", "__sub", "__t", f"CASE WHEN {keep} THEN {gap} END AS __gap")
     # Per chunk: bounds, smallest gap and the distinct gaps. A chunk whose
     # smallest gap is under the threshold already makes its series
     # irregular, so its gap set is dropped (it only serves the check of
     # divisibility by the series' smallest gap).
-    per_chunk = gaps.groupBy(*keys, "__chunk").agg(
+    per_chunk = gaps.groupBy(*keys, "__chunk", "__sub").agg(
         F.expr("min(__t) AS cmin"), F.expr("max(__t) AS cmax"), F.expr("min(__gap) AS gmin"),
         F.expr("collect_set(__gap) AS gaps"))
     per_chunk = per_chunk.selectExpr(
-        *_kq(keys), "__chunk", "cmin", "cmax", "gmin",
+        *_kq(keys), "__chunk", "__sub", "cmin", "cmax", "gmin",
         f"CASE WHEN coalesce(gmin, {thr}) >= {thr} THEN gaps END AS gaps")
-    wk = f"PARTITION BY {K} ORDER BY __chunk" if K else "ORDER BY __chunk"
+    wk = f"PARTITION BY {K} ORDER BY __chunk, __sub" if K else "ORDER BY __chunk, __sub"
     whole = f"PARTITION BY {K}" if K else ""
     edge = f"cmin - lag(cmax) OVER ({wk})"
     if ignore_subthreshold:
