@@ -119,7 +119,13 @@ def step_table(df: DataFrame, keys=(), ts: str | None = None, values=None,
     K = ", ".join(_kq(keys))
     ext = materialise(series_extent(df, keys, ts, values))
     times = _with_chunk(present_times(df, keys, ts, values), ext, keys, rows_per_chunk)
-    times = _split_hot_chunks(times, keys)
+    # A chunk can only be hot if its series has more rows than the cap;
+    # the (cached) extent table says exactly whether any series does.
+    cap = f"{HOT_CHUNK_FACTOR} * greatest({int(rows_per_chunk)}, sqrt(n))"
+    if ext.df.filter(f"n > {cap}").limit(1).count() > 0:
+        times = _split_hot_chunks(times, keys)
+    else:
+        times = times.selectExpr(*_kq(keys), "__t", "__chunk", "CAST(array() AS ARRAY<BIGINT>) AS __sub")
 
     part = f"PARTITION BY {K + ', ' if K else ''}__chunk, __sub ORDER BY __t"
     gap = f"__t - lag(__t) OVER ({part})"
