@@ -41,8 +41,13 @@ def _is_pandas_agg(agg) -> bool:
 
 def hourly_2_daily(df: DataFrame, keys=(), ts: str | None = None, value: str | None = None,
                    day_starts_at: int = 0, agg="mean", prop: float = 1.0,
-                   pad: bool = True) -> DataFrame:
-    """Columns ``keys + ['Date', 'Agg_<name>']``; one row per kept or padded day."""
+                   pad: bool = True, pad_step_s: int | None = None) -> DataFrame:
+    """Columns ``keys + ['Date', 'Agg_<name>']``; one row per kept or padded day.
+
+    ``pad_step_s=86400`` pads every series daily between its first and last
+    kept day (the R dialect) instead of at the step detected from the kept
+    days.
+    """
     if not isinstance(day_starts_at, int) or isinstance(day_starts_at, bool) \
             or not 0 <= day_starts_at <= 23:
         raise ValueError("`day_starts_at` must be an integer in [0, 23]")
@@ -75,4 +80,4 @@ def hourly_2_daily(df: DataFrame, keys=(), ts: str | None = None, value: str | N
     # times (extent, gaps, grid join): compute it once so the (large)
     # hourly input is scanned a single time.
     daily = materialise(daily).df
-    return na_ts_insert(daily, keys, "Date", [out_col])
+    return na_ts_insert(daily, keys, "Date", [out_col], step_s=pad_step_s)

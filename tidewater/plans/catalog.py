@@ -759,3 +759,26 @@ def q_long_by_folder_roundtrip(spark, sf):
     long = _lineitem_long(spark, sf).withColumn("Value", F.expr(f"{nan_to_null_sql('Value')}"))
     write_long_by_folder(long, path)
     return spark.read.parquet(path).select("folder", "uid", "TimeStamp", "Value")
+
+
+# ---------------------------------------------------------------- §2.13 #3: always-daily padding
+
+_RPAD_SQL = (f"with {H}, d0 as (select event_type, cast(ts - interval 1 hour as date) as \"Date\", "
+             "avg(value) as \"Agg_mean\" from h where value is not null group by all "
+             "having count(value) / 24.0 >= 1.0), "
+             "b as (select event_type, min(\"Date\") as s, max(\"Date\") as e from d0 group by 1 "
+             "having max(\"Date\") > min(\"Date\")), "
+             "g as (select event_type, cast(unnest(generate_series(cast(s as timestamp), cast(e as timestamp), "
+             "interval 1 day)) as date) as \"Date\" from b), "
+             "p as (select coalesce(g.event_type, d0.event_type) as event_type, coalesce(g.\"Date\", d0.\"Date\") "
+             "as \"Date\", d0.\"Agg_mean\" from g full outer join d0 on g.event_type = d0.event_type "
+             "and g.\"Date\" = d0.\"Date\") "
+             "select event_type, strftime(\"Date\", '%Y-%m-%d') as \"Date\", " + r6('"Agg_mean"', "Agg_mean") +
+             " from p")
+
+
+@register("hourly_2_daily_full_daily_pad", _RPAD_SQL)
+def q_hourly_2_daily_full_daily_pad(spark, sf):
+    """A9, R dialect: fully covered days, padded daily whatever their spacing."""
+    return hourly_2_daily(hourly_events(spark, sf), ["event_type"], "ts", "value", prop=1.0,
+                          pad_step_s=86_400)
