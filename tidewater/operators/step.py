@@ -157,7 +157,9 @@ def step_table(df: DataFrame, keys=(), ts: str | None = None, values=None,
     aggs = [F.expr("min(m_us) AS m_us"), F.expr("bool_and(__okc) AS __ok")]
     checks = c3.groupBy(*keys).agg(*aggs) if keys else c3.agg(*aggs)
     out = join_keyed(ext.df, SmallTable(checks, ext.rows), keys, "left")
-    step = (f"CASE WHEN m_us IS NULL THEN CAST(NULL AS BIGINT) "
+    # no usable gap: NULL for fewer than two times, else -1 (nothing at or
+    # above the threshold to call a step)
+    step = (f"CASE WHEN m_us IS NULL THEN CASE WHEN t1 > t0 THEN CAST(-1 AS BIGINT) END "
             f"WHEN m_us < {thr} OR NOT coalesce(__ok, false) THEN CAST(-1 AS BIGINT) ELSE m_us END")
     out = out.selectExpr(*_kq(keys), "n", "t0", "t1", "m_us", f"{step} AS step_us").selectExpr(
         "*", f"CASE WHEN step_us > 0 THEN step_us div {US_PER_SECOND} ELSE step_us END AS step_s")

@@ -782,3 +782,21 @@ def q_hourly_2_daily_full_daily_pad(spark, sf):
     """A9, R dialect: fully covered days, padded daily whatever their spacing."""
     return hourly_2_daily(hourly_events(spark, sf), ["event_type"], "ts", "value", prop=1.0,
                           pad_step_s=86_400)
+
+
+# ---------------------------------------------------------------- §2.13 #1: R step dialect
+
+_RSTEP_SQL = (
+    f"with e as (select distinct event_type, epoch_us(ts) as u from events where {nn('value')} is not null), "
+    "d as (select event_type, u - lag(u) over (partition by event_type order by u) as d from e), "
+    "m as (select event_type, min(d) filter (where d >= 60000000) as m, count(*) as n from d group by 1), "
+    "b as (select d.event_type, count(*) filter (where d.d >= 60000000 and d.d % m.m <> 0) as bad "
+    "from d join m using (event_type) group by 1) "
+    "select event_type, case when m is null then case when n > 1 then -1 end when bad > 0 then -1 "
+    "else m // 1000000 end as step_s from m join b using (event_type)")
+
+
+@register("ts_step_r_dialect", _RSTEP_SQL)
+def q_ts_step_r_dialect(spark, sf):
+    """T2, R dialect: gaps under the threshold are ignored."""
+    return ts_step(events(spark, sf), ["event_type"], "ts", ["value"], ignore_subthreshold=True)
