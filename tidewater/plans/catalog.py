@@ -800,3 +800,16 @@ _RSTEP_SQL = (
 def q_ts_step_r_dialect(spark, sf):
     """T2, R dialect: gaps under the threshold are ignored."""
     return ts_step(events(spark, sf), ["event_type"], "ts", ["value"], ignore_subthreshold=True)
+
+
+@register("data_range_summary_moments",
+          f"with e as (select event_type, {nn('value')} as v from events) "
+          "select event_type, round(avg(v) + 1e-9, 6) as \"Mean\", round(stddev_samp(v) + 1e-9, 6) as \"Std\" "
+          "from e where v is not null group by 1")
+def q_data_range_summary_moments(spark, sf):
+    """A16, exact part: mean and sample standard deviation.
+
+    Computed at 9 digits and presented like every other double (6 digits),
+    so a mean falling on a rounding tie cannot split the two engines."""
+    return data_range_summary(events(spark, sf), ["event_type"], "ts", "value", attrs=(),
+                              extended=True, digits=9).select("event_type", "Mean", "Std")
