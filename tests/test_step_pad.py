@@ -226,3 +226,21 @@ def test_burst_chunk_is_split(spark):
     assert max(sizes) <= 3 * 1000
     a = S.step_table(df, ["site"], "t", ["v"], rows_per_chunk=1000).df.collect()[0]["step_s"]
     assert a == -1  # 7 microsecond gaps
+
+
+def test_validate_schema_checks(spark):
+    from tidewater.operators.validate import ts_validate
+    bad = spark.createDataFrame([("a", ts("2024-01-01 00:00"), ts("2024-01-02 00:00"), "x")],
+                                "site string, t1 timestamp_ntz, t2 timestamp_ntz, note string")
+    checks = {r["check"] for r in ts_validate(bad, ["site"]).collect()}
+    assert {"many_temporal_columns", "non_numeric_column"} <= checks
+    dup = spark.createDataFrame([("a", ts("2024-01-01 00:00"), 1.0), ("a", ts("2024-01-01 00:00"), 2.0),
+                                 ("b", ts("2024-01-01 00:00"), 1.0)], SCHEMA)
+    got = {(r["site"], r["check"]): r["n"] for r in ts_validate(dup, ["site"], "t").collect()}
+    assert got == {("a", "duplicate_times"): 1}
+
+
+def test_is_ts_daily_on_dates(spark):
+    rows = [("a", d("2024-01-01"), 1.0), ("a", d("2024-01-04"), 1.0)]
+    got = is_ts_daily(spark.createDataFrame(rows, DSCHEMA), ["site"], "t", ["v"]).collect()
+    assert [(r["site"], r["is_daily"]) for r in got] == [("a", True)]
