@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_bpe import bpe_encode, digests
 from .common import table
 from .minhash_dedup import near_duplicates
 
@@ -15,8 +16,15 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.selectExpr("id AS doc_id", "n_shingles", "component AS component_id", "kept")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as vocabulary
+    ranks = vocabulary.path("byte_bpe_50k.tiktoken")
+    return digests(bpe_encode(table(spark, sf_dir, "documents"), ranks, vocabulary.PATTERN))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash_near_dedup,)
+    f.__name__: f for f in (
+        op1_minhash_near_dedup, op2_byte_bpe)
 }
 
 ORACLES: dict[str, str] = {}
