@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import language_id, toxicity
 from .byte_bpe import bpe_encode, digests
 from .common import table
 from .minhash_dedup import near_duplicates
@@ -22,9 +23,25 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(bpe_encode(table(spark, sf_dir, "documents"), ranks, vocabulary.PATTERN))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = "crc32(cast(doc_id AS string)) % 4 = 2"
+    model = language_id.fit(*language_id.training_sample(docs, f"NOT {held_out}"))
+    return language_id.identify(docs, model).selectExpr(
+        "doc_id", f"coalesce({held_out}, false) AS held_out", "lang_pred", "score")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = "crc32(cast(doc_id AS string)) % 5 = 0"
+    model = toxicity.fit(*toxicity.training_sample(docs, labels, f"NOT {held_out}"))
+    return toxicity.toxicity(docs, model).selectExpr(
+        "doc_id", f"coalesce({held_out}, false) AS held_out", "score", "predicted", "sentences")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_minhash_near_dedup, op2_byte_bpe)
+        op1_minhash_near_dedup, op2_byte_bpe, op6_language_id, op9_toxicity)
 }
 
 ORACLES: dict[str, str] = {}

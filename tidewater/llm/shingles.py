@@ -27,29 +27,38 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of every word of a piece of texts, in order.
-
-    Words are runs of bytes other than blank and 0x09-0x0D, A-Z lower-cased;
-    no word reaches from one text into the next.
-    """
-    n = len(data)
+def spans(starts: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of the runs of bytes marked in ``inside``, in order; no
+    run reaches from one text into the next."""
+    n = len(inside)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.zeros(n + 1, bool)
     first[starts] = True
     begin = inside.copy()
     begin[1:] &= ~inside[:-1] | first[1:n]
     end = inside.copy()
     end[:-1] &= ~inside[1:] | first[1:n]
-    ws, we = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    return np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+
+def span_hasher(data: np.ndarray):
+    """A function that hashes spans of ``data``, A-Z lower-cased, all at once."""
+    n = len(data)
     low = data + (((data >= 65) & (data <= 90)) * np.uint8(32))
     power, inverse = _power_tables(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-    h = mix64((total[we] - total[ws]) * inverse[ws])
-    return h, np.searchsorted(starts, ws, "right") - 1
+    return lambda first, end: mix64((total[end] - total[first]) * inverse[first])
+
+
+def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every word of a piece of texts, in order.
+
+    Words are runs of bytes other than blank and 0x09-0x0D.
+    """
+    ws, we = spans(starts, ~((data == 32) | ((data >= 9) & (data <= 13))))
+    return span_hasher(data)(ws, we), np.searchsorted(starts, ws, "right") - 1
 
 
 def _weight(k: int) -> np.uint64:
