@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import language_id, toxicity
 from .byte_bpe import bpe_encode, digests
 from .common import table
+from .decontaminate import ORACLE as LEAKS, contained_items
 from .minhash_dedup import near_duplicates
+from .suffix_dedup import remove_repeats
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +34,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", f"coalesce({held_out}, false) AS held_out", "lang_pred", "score")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) AS kept_sha256")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = "crc32(cast(doc_id AS string)) % 5 = 0"
@@ -39,9 +47,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", f"coalesce({held_out}, false) AS held_out", "score", "predicted", "sentences")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("containment", F.round("containment", 6))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_minhash_near_dedup, op2_byte_bpe, op6_language_id, op9_toxicity)
+        op1_minhash_near_dedup, op2_byte_bpe, op6_language_id, op7_suffix_dedup,
+        op9_toxicity, op10_decontaminate)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_decontaminate": LEAKS}
