@@ -283,9 +283,9 @@ def bpe_encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
     return docs.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, ids array<int>, decoded string")
 
 
-def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts and digests of the output of ``bpe_encode``."""
+def digests(encoded: DataFrame, id_col: str = "doc_id", *more: str) -> DataFrame:
+    """Counts and digests of the output of ``bpe_encode``, with the columns in ``more``."""
     return encoded.select(
-        id_col, F.size("ids").cast("long").alias("n_tokens"),
+        id_col, *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, toxicity
+from . import chat_format, language_id, toxicity
 from .byte_bpe import bpe_encode, digests
 from .common import table
 from .decontaminate import ORACLE as LEAKS, contained_items
+from .embedding_dedup import near_duplicate_vectors
+from .html_extract import extract
 from .minhash_dedup import near_duplicates
 from .suffix_dedup import remove_repeats
+from .url_filter import judge_urls
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +29,28 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(bpe_encode(table(spark, sf_dir, "documents"), ranks, vocabulary.PATTERN))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings")).selectExpr(
+        "id AS vec_id", "n_links", "component AS component_id", "kept")
+
+
+#: Verdict, and host + path.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.range(2).selectExpr("-1L AS conv_id", "id AS turn", "IF(id = 0, 'user', 'assistant') AS role",
+                                     f"'{control}' AS text")
+    return chat_format.read_back(chat_format.format_conversations(rows.unionByName(more)))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = "crc32(cast(doc_id AS string)) % 4 = 2"
@@ -39,6 +64,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) AS kept_sha256")
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = "crc32(cast(doc_id AS string)) % 5 = 0"
@@ -54,8 +83,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_minhash_near_dedup, op2_byte_bpe, op6_language_id, op7_suffix_dedup,
-        op9_toxicity, op10_decontaminate)
+        op1_minhash_near_dedup, op2_byte_bpe, op3_embedding_near_dedup, op4_url_filter, op5_chat_format,
+        op6_language_id, op7_suffix_dedup, op8_html_extract, op9_toxicity, op10_decontaminate)
 }
 
-ORACLES: dict[str, str] = {"op10_decontaminate": LEAKS}
+ORACLES: dict[str, str] = {"op5_chat_format": chat_format.ORACLE, "op10_decontaminate": LEAKS}

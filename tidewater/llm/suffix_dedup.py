@@ -350,9 +350,10 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (),
-                   length: int = LENGTH, piece: int = PIECE) -> DataFrame:
+                   length: int = LENGTH, piece: int = PIECE, as_text: bool = False) -> DataFrame:
     """Per document: the id, ``n_bytes``, ``n_removed``, ``n_spans`` (runs of
-    removed bytes), ``kept`` (the other bytes) and the columns in ``carry``.
+    removed bytes), ``kept`` (the other bytes; ``as_text``: as a string, without
+    the halves of characters cut in two, null for a null text) and the columns in ``carry``.
 
     Every byte of a string of ``length`` bytes that also starts earlier goes;
     strings are judged on the input. A null text has no bytes. Texts shorter
@@ -386,6 +387,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             kept = pa.Array.from_buffers(pa.binary(), batch.num_rows, [
                 None, pa.py_buffer(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32).tobytes()),
                 pa.py_buffer(data[~gone].tobytes())])
+            if as_text:
+                null = batch.column(batch.schema.get_field_index("__text")).is_null().to_pylist()
+                kept = pa.array([None if no else k.decode("utf-8", "ignore") for no, k in zip(null, kept.to_pylist())], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("__id")), pa.array(np.diff(starts)), pa.array(removed),
                  pa.array(spans[starts[1:]] - spans[starts[:-1]]), kept,
@@ -393,4 +397,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 [id_col, "n_bytes", "n_removed", "n_spans", "kept", *carry])
 
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return joined.mapInArrow(cut, f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept binary{kinds}")
+    return joined.mapInArrow(cut, f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}{kinds}")
