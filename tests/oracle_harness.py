@@ -83,7 +83,8 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
 
 
 if __name__ == "__main__":
-    sys.path.insert(0, "/root/repo")
+    import os
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from tidewater.session import get_session
     spark = get_session("local[8]", shuffle_partitions=8,
                         conf={"spark.ui.showConsoleProgress": "false"})

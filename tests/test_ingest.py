@@ -20,8 +20,8 @@ def report(path, uid, param, label, plate, desc, rows):
         f.write("\n".join(lines) + "\n")
 
 
-UID1 = "30e1327c-8836-4c6d-bcc5-028212663a82"
-UID2 = "394d4cc8-8f69-4653-848d-62296572dfdf"
+UID1 = "0a0a0a0a-1b1b-2c2c-3d3d-4e4e4e4e4e4e"
+UID2 = "5f5f5f5f-6a6a-7b7b-8c8c-9d9d9d9d9d9d"
 UID3 = "11111111-2222-3333-4444-555555555555"
 UID4 = "aaaaaaaa-bbbb-cccc-dddd-eeeeeeeeeeee"
 
@@ -30,22 +30,22 @@ UID4 = "aaaaaaaa-bbbb-cccc-dddd-eeeeeeeeeeee"
 def root(tmp_path_factory):
     r = str(tmp_path_factory.mktemp("out") / "csv")
     hourly = [(f"2024-01-01 0{h}:00:00", v) for h, v in enumerate(["1.5", "", "2.5", "NaN", "4"])]
-    report(f"{r}/dFlo/{UID1.replace('-', '')}.csv", UID1, "Discharge", "Master", "FA780",
+    report(f"{r}/dFlo/{UID1.replace('-', '')}.csv", UID1, "Discharge", "Master", "AA100",
            "River at bridge: gauge, upstream", hourly)
-    report(f"{r}/dFlo/second.csv", UID2, "Discharge", "Master", "EX281", "Other site", hourly)
-    report(f"{r}/dQual/abs", UID3, "Absorbance @ 254nm Filtered", "Lab", "EX281", "Lab data",
+    report(f"{r}/dFlo/second.csv", UID2, "Discharge", "Master", "BB200", "Other site", hourly)
+    report(f"{r}/dQual/abs", UID3, "Colour @ dusk", "Lab", "BB200", "Lab data",
            [("2024-01-01 00:00:00", "0.1"), ("2024-01-03 00:00:00", "0.3")])
-    report(f"{r}/dQual/empty.csv", UID4, "Absorbance @ 254nm Filtered", "Lab", "ZZ1", "no rows", [])
-    report(f"{r}/dup/a.csv", UID1, "Discharge", "Master", "FA780", "a", hourly)
-    report(f"{r}/dup/b.csv", UID2, "Discharge", "Copy", "FA780", "b", hourly)
+    report(f"{r}/dQual/empty.csv", UID4, "Colour @ dusk", "Lab", "ZZ1", "no rows", [])
+    report(f"{r}/dup/a.csv", UID1, "Discharge", "Master", "AA100", "a", hourly)
+    report(f"{r}/dup/b.csv", UID2, "Discharge", "Copy", "AA100", "b", hourly)
     os.makedirs(f"{r}/emptyfolder", exist_ok=True)
     return r
 
 
 @pytest.fixture(scope="module")
 def dims(spark):
-    plates = spark.createDataFrame([("FA780", "Flow A"), ("EX281", "Flow B")], "Plate string, Name string")
-    params = spark.createDataFrame([("Discharge", "m^3/s"), ("Absorbance @ 254nm Filtered", "None")],
+    plates = spark.createDataFrame([("AA100", "Flow A"), ("BB200", "Flow B")], "Plate string, Name string")
+    params = spark.createDataFrame([("Discharge", "m^3/s"), ("Colour @ dusk", "None")],
                                    "Parameter string, Unit string")
     return params, plates
 
@@ -54,18 +54,18 @@ def test_headers(spark, root):
     h = {(r["folder"], r["CSV"]): r for r in report_files(spark, root).collect()}
     a = h[("dFlo", UID1.replace("-", "") + ".csv")]
     assert (a["Parameter"], a["Plate"], a["Label"], a["uid"]) == \
-        ("Discharge", "FA780", "Master", UID1.replace("-", ""))
+        ("Discharge", "AA100", "Master", UID1.replace("-", ""))
     assert a["Description"] == "River at bridge: gauge, upstream"
-    assert a["ts_id"] == "Discharge.Master@FA780"
+    assert a["ts_id"] == "Discharge.Master@AA100"
     q = h[("dQual", "abs")]  # no extension, parameter with '@' and blanks
-    assert (q["Parameter"], q["Plate"], q["Label"]) == ("Absorbance @ 254nm Filtered", "EX281", "Lab")
+    assert (q["Parameter"], q["Plate"], q["Label"]) == ("Colour @ dusk", "BB200", "Lab")
     assert ("dQual", "empty.csv") in h
 
 
 def test_long_table_keeps_nulls_and_tags(spark, root, dims):
     params, plates = dims
     long = report_csv_scan(spark, root, params, plates)
-    rows = long.filter("folder = 'dFlo' AND Plate = 'FA780'").collect()
+    rows = long.filter("folder = 'dFlo' AND Plate = 'AA100'").collect()
     assert len(rows) == 5
     vals = sorted((r["TimeStamp"], r["Value"]) for r in rows)
     assert vals[1] == (ts("2024-01-01 01:00"), None) and vals[3] == (ts("2024-01-01 03:00"), None)
@@ -86,7 +86,7 @@ def test_gate_and_wide(spark, root, dims):
     # 01:00 and 03:00 are empty for every site: trimmed, step re-inferred as 2 h
     assert len(w) == 3
     s = {r["ts_id"]: r for r in res.summary.filter("folder = 'dFlo'").collect()}
-    r = s["Discharge.Master@FA780"]
+    r = s["Discharge.Master@AA100"]
     assert (r["Min"], r["Max"], r["Time_max"]) == (1.5, 4.0, ts("2024-01-01 04:00"))
 
 
@@ -101,9 +101,9 @@ def test_sql_dialect(spark, root, dims):
 
 def test_dimensions(spark, tmp_path):
     p = tmp_path / "param.json"
-    p.write_text('{"1,4-Dioxane": "mg/m^3", "Absorbance @ 254nm Filtered": "None", "pH": "pH Units"}')
+    p.write_text('{"1,4-Dioxane": "mg/m^3", "Colour @ dusk": "None", "pH": "pH Units"}')
     d = {r["Parameter"]: r["Unit"] for r in dim_from_json_map(spark, str(p), "Parameter", "Unit").collect()}
-    assert d == {"1,4-Dioxane": "mg/m^3", "Absorbance @ 254nm Filtered": "None", "pH": "pH Units"}
+    assert d == {"1,4-Dioxane": "mg/m^3", "Colour @ dusk": "None", "pH": "pH Units"}
     c = tmp_path / "param.csv"
     c.write_text('Param,Unit\n"1,4-Dioxane",mg/m^3\npH,pH Units\n')
     got = dim_from_csv(spark, str(c), {"Param": "Parameter"}).collect()
@@ -159,3 +159,50 @@ def test_concat_frames_fills_missing_columns(spark):
     b = spark.createDataFrame([(2, 3.0)], "k int, y double")
     rows = sorted(concat_frames(a, b).collect())
     assert [tuple(r) for r in rows] == [(1, 2.0, None), (2, None, 3.0)]
+
+
+def test_unreadable_lines_are_rejected_not_lost(spark, tmp_path):
+    from tidewater.sources.report_csv import report_rejects
+    r = str(tmp_path / "csv")
+    report(f"{r}/f/bad.csv", UID1, "Discharge", "Raw", "AA100", "x", [
+        ("2024-01-01 00:00:00.500", "1"), ("2024-01-01T01:00:00", "2"), ("2024-01-02", "3"),
+        ("2024-01-01 02:00:00", "abc"), ("2024-01-01 99:00:00", "5"), ("2024-01-03 00:00:00", "nan")])
+    report(f"{r}/f/other.txt", UID2, "Level", "Raw", "BB200", "x", [("2024-01-01 00:00:00", "7")])
+    with open(f"{r}/f/other.txt") as f:
+        text = f.read().replace("TimeStamp,", "Zeit,")
+    with open(f"{r}/f/other.txt", "w") as f:
+        f.write(text)
+    with open(f"{r}/f/headless", "w") as f:
+        f.write("2024-01-01 00:00:00,9\n")
+    with pytest.raises(ValueError, match="report_rejects"):
+        report_csv_scan(spark, r)
+    got = sorted((x["CSV"], x["reason"]) for x in report_rejects(spark, r).collect())
+    assert got == [("bad.csv", "bad time"), ("bad.csv", "bad value"), ("headless", "no header line")]
+    long = report_csv_scan(spark, r, on_reject="keep").collect()
+    assert sorted((x["CSV"], x["Value"]) for x in long if x["Value"] is not None) == [
+        ("bad.csv", 1.0), ("bad.csv", 2.0), ("bad.csv", 3.0), ("headless", 9.0), ("other.txt", 7.0)]
+    assert {x["Plate"] for x in long if x["CSV"] == "other.txt"} == {"BB200"}
+
+
+def test_lookup_does_not_depend_on_row_order(spark):
+    df = spark.createDataFrame([("p",)], "Plate string")
+    rows = [("p", "A"), ("p", "B")]
+    for order in (rows, rows[::-1]):
+        dim = spark.createDataFrame(order, "Plate string, Name string").coalesce(1)
+        assert [r["Name"] for r in enrich(df, dim, "Plate").collect()] == ["B"]
+
+
+def test_wide_names_are_grouped_not_refused(spark):
+    from tidewater.operators.reshape import name_groups
+    assert [len(g) for g in name_groups([f"n{i}" for i in range(2_500)])] == [1_000, 1_000, 500]
+
+
+def test_quantiles_are_exact(spark):
+    import numpy as np
+    from tidewater.operators.summary import quantiles
+    rng = np.random.default_rng(3)
+    data = {k: rng.integers(0, 40, n).astype(float) for k, n in (("a", 1), ("b", 2), ("c", 501))}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in data.items() for v in vs], "k string, v double")
+    got = {r["k"]: (r["lo"], r["hi"]) for r in quantiles(df, ["k"], "v", {"lo": 0.25, "hi": 0.9}, parts=5).collect()}
+    for k, vs in data.items():
+        assert got[k] == pytest.approx((np.quantile(vs, 0.25), np.quantile(vs, 0.9)))

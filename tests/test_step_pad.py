@@ -97,8 +97,8 @@ def test_chunked_step_equals_single_chunk(spark, offsets, unit):
     base = datetime(2020, 1, 1)
     rows = [("a", base + timedelta(seconds=o * unit), 1.0) for o in offsets]
     df = spark.createDataFrame(rows, SCHEMA)
-    one = step_table(df, ["site"], "t", ["v"], rows_per_chunk=1_000_000).df.collect()[0]["step_s"]
-    many = step_table(df, ["site"], "t", ["v"], rows_per_chunk=1).df.collect()[0]["step_s"]
+    one = step_table(df, ["site"], "t", ["v"], parts=1).df.collect()[0]["step_s"]
+    many = step_table(df, ["site"], "t", ["v"], parts=9).df.collect()[0]["step_s"]
     srt = sorted(offsets)
     diffs = [(b - a) * unit for a, b in zip(srt, srt[1:])]
     m = min(diffs)
@@ -127,17 +127,17 @@ def test_padding_properties(spark, offsets):
         assert len(out) == len(offsets)
 
 
-def test_hot_series_plan_uses_chunk_key(spark):
-    """The windowed pass is hash-partitioned on (series, chunk), not on series alone."""
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_step_chunks_are_ranges_and_carry_no_arrays(spark):
+    """Times are range-partitioned on (series, time); one row per chunk goes on, no gap is collected."""
     from tidewater.operators import step as S
-    from tidewater.operators.joins import materialise
-    df = spark.createDataFrame([("a", ts("2024-01-01 00:00"), 1.0)], SCHEMA)
-    ext = materialise(S.series_extent(df, ["site"], "t", ["v"]))
-    times = S._with_chunk(S.present_times(df, ["site"], "t", ["v"]), ext, ["site"], 10)
-    plan = times.selectExpr("site", "__t - lag(__t) OVER (PARTITION BY site, __chunk ORDER BY __t) AS g") \
-        ._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(site" in plan and "__chunk" in plan.split("hashpartitioning(")[1]
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    df = spark.createDataFrame([("a", i * 60_000_000) for i in range(50)], "site string, __t long")
+    plan = plan_of(S._chunks(df, ["site"], 3, "min(__gap) AS gmin"))
+    assert "rangepartitioning(site" in plan and "collect_" not in plan and "array" not in plan.lower()
 
 
 def test_validate_order_check_stitches_chunks(spark):
@@ -172,29 +172,71 @@ def test_summary_null_rules(spark):
     assert (r_any["Min"], r_any["Start"]) == (2.0, ts("2024-01-01 01:00"))
 
 
-def test_hot_series_is_cut_into_bounded_chunks(spark):
-    """A series holding most rows is spread over many (series, chunk) groups."""
+def chunk_sizes(df, parts):
+    """Rows of the largest (series, chunk) of the distinct times."""
     from pyspark.sql import functions as F
-    from tidewater.operators import step as S
-    from tidewater.operators.joins import materialise
-    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_type", "ts", "value")
-    hot = (ev.filter("event_type = 'click'")
-             .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(9))))
-             .selectExpr("'hot' AS event_type", "timestampadd(DAY, 31 * copy, ts) AS ts", "value"))
-    data = ev.filter("event_type <> 'click'").unionByName(hot)
-    ext = materialise(S.series_extent(data, ["event_type"], "ts", ["value"]))
-    times = S._with_chunk(S.present_times(data, ["event_type"], "ts", ["value"]), ext,
-                          ["event_type"], rows_per_chunk=1000)
-    sizes = [r["n"] for r in times.filter("event_type = 'hot'").groupBy("__chunk").count()
-             .withColumnRenamed("count", "n").collect()]
-    total = sum(sizes)
-    assert total == hot.count() and len(sizes) >= 15
-    assert max(sizes) <= 3 * 1000
-    # and the detected step is the same as with one chunk per series
-    a = S.step_table(data, ["event_type"], "ts", ["value"], rows_per_chunk=1000).df
-    b = S.step_table(data, ["event_type"], "ts", ["value"], rows_per_chunk=10_000_000).df
-    assert sorted(map(tuple, a.select("event_type", "step_s").collect())) == \
-        sorted(map(tuple, b.select("event_type", "step_s").collect()))
+    times = df.selectExpr("site", "unix_micros(CAST(t AS TIMESTAMP)) AS __t").distinct()
+    sized = times.repartitionByRange(parts, "site", "__t").withColumn("p", F.spark_partition_id())
+    return [r["count"] for r in sized.groupBy("site", "p").count().collect()]
+
+
+def test_hot_series_and_distinct_gaps_stay_bounded(spark):
+    """One irregular series with 60,000 different gaps: chunks are even, and the step is right."""
+    df = spark.range(60_000).selectExpr(
+        "'a' AS site", "TIMESTAMP_NTZ'2000-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(60 * id + id * (id - 1) / 2e5 AS DECIMAL(18, 6))) AS t",
+        "1.0 AS v")
+    sizes = chunk_sizes(df, 8)
+    assert sum(sizes) == 60_000 and max(sizes) < 3 * 60_000 / 8
+    assert [r["step_s"] for r in ts_step(df, ["site"], "t", ["v"]).collect()] == [-1]
+
+
+def test_flood_of_equal_times_is_one_row(spark):
+    df = spark.range(50_000).selectExpr(
+        "'a' AS site", "TIMESTAMP_NTZ'2000-01-01 00:00:00' + make_dt_interval(0, CAST(greatest(id - 49990, 0) AS INT), 0, 0) AS t", "1.0 AS v")
+    assert max(chunk_sizes(df, 4)) <= 10
+    r = step_table(df, ["site"], "t", ["v"]).df.collect()[0]
+    assert (r["n"], r["step_s"]) == (50_000, 3600)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Pacific/Auckland"])
+def test_session_time_zone_does_not_enter(spark, zone):
+    """Hours that a spring change skips are ordinary hours of a wall-clock series."""
+    from tidewater.operators.daily import hourly_2_daily
+    from tidewater.operators.info import ts_info
+    from tidewater.operators.resample import resample
+    hours = spark.range(24 * 365).selectExpr(
+        "'a' AS site", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, CAST(id AS INT), 0, 0) AS t", "CAST(id AS DOUBLE) AS v")
+    half = spark.range(200).selectExpr(
+        "'b' AS site", "TIMESTAMP_NTZ'2024-01-01 02:30:00' + make_dt_interval(CAST(id AS INT), 0, 0, 0) AS t", "CAST(id AS DOUBLE) AS v")
+
+    def results():
+        gaps = hours.filter("pmod(v, 50) <> 3").unionByName(half.filter("v <> 77"))
+        return [sorted(map(tuple, x.collect())) for x in (
+            ts_step(gaps, ["site"], "t", ["v"]),
+            na_ts_insert(gaps, ["site"], "t", ["v"]).selectExpr("site", "cast(t AS string)", "coalesce(v, -1)"),
+            resample(hours, ["site"], "t", "v", "hour", "mean").selectExpr("site", "cast(t AS string)", "v"),
+            resample(hours, ["site"], "t", "v", "day", "sum", label="end").selectExpr("site", "cast(t AS string)", "v"),
+            hourly_2_daily(hours, ["site"], "t", "v", prop=0.5).selectExpr("site", "cast(Date AS string)", "Agg_mean"),
+            ts_info(half, "site", "t", "v").selectExpr("site", "cast(End AS string)", "Length_yr"))]
+
+    want = results()
+    assert want[0] == [("a", 3600), ("b", 86400)] and len(want[2]) == 24 * 365
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert results() == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_dotted_names(spark):
+    from tidewater.operators.clean import trim_ts
+    from tidewater.operators.reshape import ts_melt, unpivot_long
+    df = spark.createDataFrame([(ts("2024-01-01 00:00"), 1.0, None), (ts("2024-01-01 01:00"), None, None),
+                                (ts("2024-01-01 03:00"), 2.0, 5.0)], "t timestamp_ntz, `St. Arnaud` double, b double")
+    assert trim_ts(df).columns == ["t", "St. Arnaud", "b"] and trim_ts(df).count() == 2
+    assert unpivot_long(df).count() == 3
+    assert ts_melt(df).filter("Site = 'St. Arnaud'").count() == 2
 
 
 def test_padding_join_is_hashed_on_series_and_time(spark):
@@ -210,24 +252,6 @@ def test_padding_join_is_hashed_on_series_and_time(spark):
     assert any("__g0" in p and "__g1" in p for p in parts), parts
 
 
-def test_burst_chunk_is_split(spark):
-    """A burst (many readings in one short span of a series) is cut into sub-chunks."""
-    from tidewater.operators import step as S
-    from tidewater.operators.joins import materialise
-    base = datetime(2024, 1, 1)
-    sparse = [("a", base + timedelta(hours=h), 1.0) for h in range(0, 24 * 200)]
-    burst = [("a", base + timedelta(days=50, microseconds=7 * i), 2.0) for i in range(1, 20_000)]
-    df = spark.createDataFrame(sparse + burst, SCHEMA)
-    ext = materialise(S.series_extent(df, ["site"], "t", ["v"]))
-    t1 = S._with_chunk(S.present_times(df, ["site"], "t", ["v"]), ext, ["site"], 1000)
-    t2 = S._split_hot_chunks(t1, ["site"])
-    sizes = [r["count"] for r in t2.groupBy("__chunk", "__sub").count().collect()]
-    assert sum(sizes) == len(sparse) + len(burst)
-    assert max(sizes) <= 3 * 1000
-    a = S.step_table(df, ["site"], "t", ["v"], rows_per_chunk=1000).df.collect()[0]["step_s"]
-    assert a == -1  # 7 microsecond gaps
-
-
 def test_validate_schema_checks(spark):
     from tidewater.operators.validate import ts_validate
     bad = spark.createDataFrame([("a", ts("2024-01-01 00:00"), ts("2024-01-02 00:00"), "x")],

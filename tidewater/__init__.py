@@ -4,7 +4,7 @@ Every operator is a ``DataFrame -> DataFrame`` function keyed by a list of
 series-key columns; see README.md for the design and the operator map.
 """
 
-from .operators.clean import drop_any_null, nan_to_null_cols, trim_ts, value_present
+from .operators.clean import drop_any_null, trim_ts, value_present
 from .operators.daily import hourly_2_daily
 from .operators.gate import wide_eligibility
 from .operators.info import ts_info
@@ -26,7 +26,7 @@ __all__ = [
     "apply_process_chain", "apply_specs", "daily_normalise", "data_range_summary",
     "dim_from_catalog", "dim_from_csv", "dim_from_json_map", "distinct_count", "drop_any_null",
     "enrich", "extract_job", "get_session", "hourly_2_daily", "is_ts_daily", "keep_all_sites",
-    "long_record_filter", "long_table", "long_table_scan", "na_ts_insert", "nan_to_null_cols",
+    "long_record_filter", "long_table", "long_table_scan", "na_ts_insert",
     "organise_folder", "raw_series", "report_csv_scan", "report_files", "report_spec_scan",
     "resample", "select_listed", "step_table", "to_wide", "trim_ts", "ts_2_list", "ts_info",
     "ts_melt", "ts_step", "ts_validate", "unpivot_long", "value_present", "wide_eligibility",

@@ -3,7 +3,7 @@
 Fixed values (must stay as they are to read the reports):
 
 * data line:        ``yyyy-MM-dd HH:mm:ss,<number or empty>``
-* header line:      ``TimeStamp,<Parameter>@<Plate>``
+* header line:      ``<TimeStamp>,<Parameter>@<Plate>``, after 11 lines of which one is the description
 * description line: ``# <uid with hyphens> <Parameter>.<Label>@<Plate>: <Description>``
 * series id:        ``<Parameter>.<Label>@<Plate>``
 * time format:      ``yyyy-MM-dd HH:mm:ss``; dates ``yyyy-MM-dd``
@@ -14,10 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DATA_LINE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},"
+# A line that starts like a date is a reading, well formed or not.
+DATA_LINE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+# The usual header, and any other line ``<time>,<Parameter>@<Plate>``.
 HEADER_LINE = r"^TimeStamp,"
+ANY_HEADER_LINE = r"^[^,#\d][^,]*,.+@[^@]*$"
 DESC_LINE = r"^# [0-9A-Fa-f-]{32,36} "
 PARAM_PLATE = r"^(.*)@([^@]*)$"
+PREAMBLE_LINES = 10
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 

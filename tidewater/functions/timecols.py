@@ -20,12 +20,9 @@ US_PER_DAY = 86_400 * US_PER_SECOND
 TEMPORAL_TYPES = (T.TimestampNTZType, T.TimestampType, T.DateType)
 
 
-def epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def col_(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    """A column by its exact name (dots and blanks included), or as given."""
+    return F.col(q(c)) if isinstance(c, str) else c
 
 
 def as_ntz(c, dtype: T.DataType | None = None) -> Column:
@@ -37,44 +34,14 @@ def as_ntz(c, dtype: T.DataType | None = None) -> Column:
 
 
 def micros(c) -> Column:
-    """Microseconds since 1970-01-01 00:00 of an NTZ timestamp (bigint)."""
-    return F.timestamp_diff("MICROSECOND", epoch_ntz(), col_(c))
-
-
-def from_micros(c) -> Column:
-    """Inverse of :func:`micros`; stays TIMESTAMP_NTZ."""
-    return F.timestamp_add("MICROSECOND", col_(c), epoch_ntz())
-
+    """Microseconds since 1970-01-01 00:00 of an NTZ timestamp (bigint).
 
-def floor_micros(c, unit_us: int) -> Column:
-    """Floor a micros value to a multiple of ``unit_us`` (also before 1970)."""
+    Built from the date and the clock fields: unlike ``timestampdiff``, which
+    goes through the session time zone, no wall time is skipped or doubled.
+    """
     c = col_(c)
-    return c - F.pmod(c, F.lit(unit_us))
-
-
-def bucket_start(ts, period: str) -> Column:
-    """Start of the hour / day / month that holds ``ts`` as TIMESTAMP_NTZ."""
-    ts = col_(ts)
-    if period == "hour":
-        return from_micros(floor_micros(micros(ts), US_PER_HOUR))
-    if period == "day":
-        return F.to_date(ts).cast("timestamp_ntz")
-    if period == "month":
-        return F.trunc(F.to_date(ts), "month").cast("timestamp_ntz")
-    raise ValueError(f"unknown period {period!r}; use hour, day or month")
-
-
-def bucket_end(ts, period: str) -> Column:
-    start = bucket_start(ts, period)
-    if period == "hour":
-        return F.timestamp_add("HOUR", F.lit(1), start)
-    if period == "day":
-        return F.timestamp_add("DAY", F.lit(1), start)
-    return F.add_months(start.cast("date"), 1).cast("timestamp_ntz")
-
-
-def shift_hours(ts, hours: int) -> Column:
-    return F.timestamp_add("HOUR", F.lit(int(hours)), col_(ts))
+    whole = (F.unix_date(F.to_date(c)).cast("bigint") * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60)
+    return whole * US_PER_SECOND + (F.extract(F.lit("SECOND"), c) * US_PER_SECOND).cast("bigint")
 
 
 def nan_to_null(c) -> Column:
@@ -137,12 +104,17 @@ def q(name: str) -> str:
 
 
 def micros_sql(ts: str) -> str:
-    """Micros since the epoch of a temporal column (DATE and TIMESTAMP too)."""
-    return f"timestampdiff(MICROSECOND, {EPOCH_SQL}, CAST({q(ts)} AS TIMESTAMP_NTZ))"
+    """Micros since the epoch of a temporal column (DATE too); see :func:`micros`."""
+    t = f"CAST({q(ts)} AS TIMESTAMP_NTZ)"
+    return (f"((CAST(unix_date(to_date({t})) AS BIGINT) * 86400 + hour({t}) * 3600 + minute({t}) * 60) "
+            f"* {US_PER_SECOND} + CAST(extract(SECOND FROM {t}) * {US_PER_SECOND} AS BIGINT))")
 
 
 def from_micros_sql(expr: str) -> str:
-    return f"timestampadd(MICROSECOND, {expr}, {EPOCH_SQL})"
+    """Inverse of :func:`micros_sql`: whole days and the rest of the day added to the epoch."""
+    rest = f"pmod({expr}, {US_PER_DAY})"
+    return (f"({EPOCH_SQL} + make_dt_interval(CAST((({expr}) - {rest}) div {US_PER_DAY} AS INT), 0, 0, "
+            f"CAST({rest} / {US_PER_SECOND} AS DECIMAL(18, 6))))")
 
 
 def nan_to_null_sql(c: str) -> str:
@@ -158,17 +130,14 @@ def present_sql(values) -> str:
 
 
 def bucket_sql(ts: str, period: str, label: str = "start") -> str:
-    """SQL text of :func:`bucket_start` / :func:`bucket_end`."""
+    """Start or end of the hour / day / month that holds ``ts`` as TIMESTAMP_NTZ."""
     t = f"CAST({q(ts)} AS TIMESTAMP_NTZ)"
+    day, end = f"to_date({t})", label == "end"
     if period == "hour":
-        m = micros_sql(ts)
-        start = from_micros_sql(f"({m} - pmod({m}, {US_PER_HOUR}))")
-        return start if label == "start" else f"timestampadd(HOUR, 1, {start})"
+        return f"(CAST({day} AS TIMESTAMP_NTZ) + make_dt_interval(0, hour({t}) + {int(end)}, 0, 0))"
     if period == "day":
-        start = f"CAST(to_date({t}) AS TIMESTAMP_NTZ)"
-        return start if label == "start" else f"timestampadd(DAY, 1, {start})"
+        return f"CAST({f'date_add({day}, 1)' if end else day} AS TIMESTAMP_NTZ)"
     if period == "month":
-        d = f"trunc(to_date({t}), 'month')"
-        return (f"CAST({d} AS TIMESTAMP_NTZ)" if label == "start"
-                else f"CAST(add_months({d}, 1) AS TIMESTAMP_NTZ)")
+        d = f"trunc({day}, 'month')"
+        return f"CAST({f'add_months({d}, 1)' if end else d} AS TIMESTAMP_NTZ)"
     raise ValueError(f"unknown period {period!r}; use hour, day or month")

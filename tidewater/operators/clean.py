@@ -1,19 +1,11 @@
-"""Row filters on series frames."""
+"""Row filters on series frames."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import any_present, discover_roles, nan_to_null
-
-
-def nan_to_null_cols(df: DataFrame, cols=None) -> DataFrame:
-    """NaN -> NULL in the given (default: all floating) columns."""
-    if cols is None:
-        cols = [f.name for f in df.schema.fields
-                if f.dataType.typeName() in ("double", "float")]
-    return df.withColumns({c: nan_to_null(c) for c in cols}) if cols else df
+from ..functions.timecols import any_present, discover_roles, nan_to_null, q
 
 
 def trim_ts(df: DataFrame, keys=(), ts: str | None = None, values=None,
@@ -21,9 +13,9 @@ def trim_ts(df: DataFrame, keys=(), ts: str | None = None, values=None,
     """drop rows whose value columns are all missing; time column first."""
     keys = list(keys)
     ts, values = discover_roles(df, keys, ts, values)
-    out = df.filter(any_present(values)).select(
-        *keys, ts, *[nan_to_null(v).alias(v) for v in values])
-    return out.orderBy(*keys, ts) if ordered else out
+    names = [F.col(q(c)) for c in [*keys, ts]]
+    out = df.filter(any_present(values)).select(*names, *[nan_to_null(v).alias(v) for v in values])
+    return out.orderBy(*names) if ordered else out
 
 
 def drop_any_null(df: DataFrame, subset=None) -> DataFrame:
@@ -34,8 +26,3 @@ def drop_any_null(df: DataFrame, subset=None) -> DataFrame:
 def value_present(df: DataFrame, value: str = "Value") -> DataFrame:
     """keep rows whose value is a real number (NULL and NaN dropped)."""
     return df.filter(nan_to_null(value).isNotNull())
-
-
-def coverage_filter(df: DataFrame, prop_col: str = "Prop", prop: float = 1.0) -> DataFrame:
-    """keep groups whose coverage reaches ``prop``."""
-    return df.filter(F.col(prop_col) >= F.lit(float(prop)))

@@ -58,8 +58,7 @@ def hourly_2_daily(df: DataFrame, keys=(), ts: str | None = None, value: str | N
     value = values[0]
     name, fn = resolve_agg(agg)
     out_col = f"Agg_{name}"
-    day = (f"to_date(timestampadd(HOUR, {-(1 + day_starts_at)}, "
-           f"CAST({q(ts)} AS TIMESTAMP_NTZ)))")
+    day = f"to_date(CAST({q(ts)} AS TIMESTAMP_NTZ) - make_dt_interval(0, {1 + day_starts_at}, 0, 0))"
     base = df.selectExpr(*[q(k) for k in keys], f"{day} AS Date", f"{nan_to_null_sql(value)} AS __v")
     agg_col: Column = fn(F.col("__v"))
     keep = f"__n > 0 AND __n / 24.0 >= {float(prop)!r}"

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import q
+from ..functions.timecols import micros_sql, q
 from .joins import SmallTable, join_keyed, materialise
 from .step import step_table
 
@@ -36,8 +36,7 @@ def wide_eligibility(long: DataFrame, files: DataFrame | None = None, folder: st
     one row per file and attribute combination, materialised) and twice by
     the step detection; every check is derived from those small tables.
     """
-    midnight = (f"bool_and(pmod(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
-                f"CAST({q(ts)} AS TIMESTAMP_NTZ)), 86400000000) = 0)")
+    midnight = f"bool_and(pmod({micros_sql(ts)}, 86400000000) = 0)"
     attrs = materialise(long.groupBy(folder, file, plate, unit, parameter,
                                      F.coalesce(F.col(name), F.col(plate)).alias("__nm"))
                             .agg(F.expr(f"{midnight} AS __mid")))

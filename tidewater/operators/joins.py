@@ -60,8 +60,7 @@ def join_keyed(big: DataFrame, small, keys, how: str = "inner",
         right, hinted = small, False
     if not keys:
         # A frame-wide table has one row: attach it by a constant key.
-        right = right.withColumn("__one", F.lit(1))
-        right = F.broadcast(right) if hinted else right
+        right = F.broadcast(right.withColumn("__one", F.lit(1)))
         return big.withColumn("__one", F.lit(1)).join(right, "__one", how).drop("__one")
     ren = {k: f"__r_{i}" for i, k in enumerate(keys)}
     right = right.selectExpr(*[f"`{c}` AS `{ren.get(c, c)}`" for c in right.columns])
@@ -78,13 +77,23 @@ def sized_broadcast(df: DataFrame, limit: int = DIMENSION_MAX_ROWS) -> DataFrame
     return F.broadcast(df) if n <= limit else df
 
 
+def one_per_key(dim: DataFrame, on: str) -> DataFrame:
+    """One row per key: the one with the greatest other columns."""
+    rest = [f"`{c}`" for c in dim.columns if c != on]
+    if not rest:
+        return dim.distinct()
+    best = dim.groupBy(F.col(f"`{on}`")).agg(F.max(F.struct(*rest)).alias("__v"))
+    return best.select(F.col(f"`{on}`"), "__v.*").select(*[F.col(f"`{c}`") for c in dim.columns])
+
+
 def enrich(df: DataFrame, dim: DataFrame, on: str, limit: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """Left lookup of a keyed dimension; unmatched rows keep nulls.
 
-    The dimension is de-duplicated on its key first so that a lookup can
-    never multiply readings.
+    A lookup never multiplies readings: of several rows with one key, the one
+    with the greatest other columns (in their order) is used, whatever the
+    order of the rows.
     """
-    dim = dim.dropDuplicates([on])
+    dim = one_per_key(dim, on)
     return df.join(sized_broadcast(dim, limit), on=on, how="left")
 
 
@@ -95,5 +104,8 @@ def select_listed(df: DataFrame, manifest: DataFrame, on, limit: int = DIMENSION
 
 
 def keep_all_sites(sites: DataFrame, info: DataFrame, on: str = "Site") -> DataFrame:
-    """Every listed site appears once, with nulls when it has no data."""
-    return sites.join(info, on=on, how="left")
+    """Every listed site appears once, with nulls when it has no data.
+
+    ``sites`` may carry more columns, such as the place of a site in the input.
+    """
+    return one_per_key(sites, on).join(info, on=on, how="left")

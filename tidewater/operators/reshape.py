@@ -10,29 +10,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import (as_ntz, discover_roles, dtype_of, is_numeric,
-                                  nan_to_null)
+from ..functions.timecols import (as_ntz, discover_roles, dtype_of, nan_to_null,
+                                  q)
 from .pad import na_ts_insert
 
-MAX_WIDE_COLUMNS = 2_000
+#: Columns of one wide table; more names make several tables (see ``name_groups``).
+WIDE_COLUMNS = 1_000
 
 
-def pivot_names(long: DataFrame, on: str, max_columns: int = MAX_WIDE_COLUMNS) -> list:
-    """Sorted distinct values of ``on``; refuses more than ``max_columns``."""
-    rows = (long.select(on).distinct().limit(max_columns + 1).collect())
-    if len(rows) > max_columns:
-        raise ValueError(f"more than {max_columns} distinct {on!r} values; keep the long form")
-    return sorted(r[0] for r in rows if r[0] is not None)
+def pivot_names(long: DataFrame, on: str) -> list:
+    """Sorted distinct values of ``on``: the columns of a wide table, and so part of its schema."""
+    return sorted(r[0] for r in long.select(on).distinct().collect() if r[0] is not None)
+
+
+def name_groups(names: list, size: int = WIDE_COLUMNS) -> list[list]:
+    """Names cut into runs of ``size``: one wide table each."""
+    return [names[i:i + size] for i in range(0, len(names), size)] or [[]]
 
 
 def to_wide(long: DataFrame, index: str = "TimeStamp", on: str = "Name", value: str = "Value",
-            names=None, keys=(), max_columns: int = MAX_WIDE_COLUMNS) -> DataFrame:
+            names=None, keys=()) -> DataFrame:
     """One row per time (per ``keys``), one column per ``on`` value.
 
     Names are passed to ``pivot`` explicitly (sorted), so Spark does not run
     its own distinct job and the column order is stable.
     """
-    names = pivot_names(long, on, max_columns) if names is None else list(names)
+    names = pivot_names(long, on) if names is None else list(names)
     return (long.groupBy(*keys, index).pivot(on, names)
                 .agg(F.max(nan_to_null(value))))
 
@@ -41,8 +44,8 @@ def unpivot_long(wide: DataFrame, index: str | None = None, site: str = "Site",
                  value_name: str = "Value", drop_nulls: bool = True) -> DataFrame:
     """Wide -> long; missing cells are dropped (as SQL UNPIVOT does)."""
     index, cols = discover_roles(wide, (), index, None)
-    long = wide.select(index, *[nan_to_null(F.col(f"`{c}`")).cast("double").alias(c) for c in cols])
-    long = long.unpivot([index], cols, site, value_name)
+    long = wide.select(F.col(q(index)), *[nan_to_null(c).cast("double").alias(c) for c in cols])
+    long = long.unpivot([F.col(q(index))], [F.col(q(c)) for c in cols], site, value_name)
     return long.filter(F.col(value_name).isNotNull()) if drop_nulls else long
 
 
@@ -79,10 +82,5 @@ def concat_frames(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def value_columns(df: DataFrame, exclude=()) -> list[str]:
-    return [f.name for f in df.schema.fields
-            if f.name not in set(exclude) and is_numeric(f.dataType)]
-
-
 __all__ = ["to_wide", "unpivot_long", "ts_melt", "ts_2_list", "daily_normalise",
-           "pivot_names", "value_columns", "concat_frames"]
+           "pivot_names", "name_groups", "concat_frames"]

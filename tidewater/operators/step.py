@@ -12,15 +12,16 @@ Semantics (one series = one group of ``keys``):
 
 Plan, built for a series that may hold a third of all readings: consecutive
 gaps need an order, but ordering a whole series in one task does not scale.
-Each series is cut into time chunks whose width adapts to its density
-(about ``max(rows_per_chunk, sqrt(n))`` readings per chunk), gaps are taken
-with ``lag`` inside ``(series, chunk)`` windows and reduced to one row per
-chunk (bounds, smallest gap, distinct gaps). A chunk that holds several
-times its series' target (a burst: a hot time bucket) is first cut into
-sub-chunks, using exact per-chunk counts. Chunk edges, the smallest gap
-per series and the divisibility check come from windows over the small
-per-chunk table. The readings are read three times (extent, chunk counts,
-windowed pass) and shuffled once (``hashpartitioning(keys, chunk, sub)``).
+The distinct times of each series (combined map-side, so a flood of equal
+times is one row) are range-partitioned on (series, time); sampled
+boundaries make every partition about the same size, wherever readings
+crowd. A partition's share of a series is a chunk; ``lag`` runs inside
+chunks, and one row per chunk (bounds, smallest gap) goes on. Chunk edges
+are stitched on that small table, whose size is the number of partitions
+plus the number of series. That gives the smallest gap ``m`` of each series.
+Every gap is a multiple of ``m`` exactly if every time is a multiple of
+``m`` after the first one, so the check is a second, map-only pass over the
+readings with a map-side combined ``bool_and``; no gap is ever collected.
 
 Expressions are written as SQL text: one JVM call per expression keeps
 plan construction cheap on the driver.
@@ -36,18 +37,10 @@ from ..functions.timecols import (US_PER_DAY, US_PER_SECOND, discover_roles,
                                   present_sql, q, micros_sql)
 from .joins import SmallTable, join_keyed, materialise
 
-ROWS_PER_CHUNK = 50_000
-
-
 def _kq(keys) -> list[str]:
     return [q(k) for k in keys]
 
 
-def present_times(df: DataFrame, keys, ts: str, values) -> DataFrame:
-    """(keys, __t) for every row holding at least one real value."""
-    return df.filter(present_sql(values)).selectExpr(*_kq(keys), f"{micros_sql(ts)} AS __t")
-
-
 def series_extent(df: DataFrame, keys, ts: str, values) -> DataFrame:
     """Per series: number of present rows and first/last present time (micros).
 
@@ -60,110 +53,70 @@ def series_extent(df: DataFrame, keys, ts: str, values) -> DataFrame:
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-def _with_chunk(times: DataFrame, ext: SmallTable, keys, rows_per_chunk: int) -> DataFrame:
-    target = f"greatest({int(rows_per_chunk)}, sqrt(n))"
-    width = f"CAST(greatest(1, ceil((t1 - t0 + 1) / greatest(1, floor(n / {target})))) AS BIGINT)"
-    sizes = ext.df.filter("n > 0").selectExpr(*_kq(keys), "t0 AS __t0", f"{width} AS __w",
-                                              f"CAST(ceil({target}) AS BIGINT) AS __tgt")
-    joined = join_keyed(times, SmallTable(sizes, ext.rows), keys)
-    # integer division: chunk ids only have to be monotone in time
-    return joined.selectExpr(*_kq(keys), "__t", "(__t - __t0) div __w AS __chunk", "__tgt")
-
-
-HOT_CHUNK_FACTOR = 4
-
+def _grouped(df: DataFrame, keys, *aggs: str) -> DataFrame:
+    exprs = [F.expr(a) for a in aggs]
+    return df.groupBy(*[F.col(q(k)) for k in keys]).agg(*exprs) if keys else df.agg(*exprs)
 
-def _split_hot_chunks(times: DataFrame, keys, max_levels: int = 6) -> DataFrame:
-    """Cut chunks holding more than ``HOT_CHUNK_FACTOR`` times their series'
-    target (bursts, i.e. hot time buckets) into sub-chunks.
 
-    Each level counts readings per (series, chunk, sub) with a partial
-    aggregation; the hot ones form a small table (at most
-    n / (factor x target) rows) that is counted and broadcast, and each is
-    cut evenly into about ``count / target`` pieces. A narrow burst inside a
-    wide chunk needs a few levels (each shrinks the width ~count/target
-    times); levels stop as soon as no chunk is hot. ``__sub`` is an array
-    (one id per level), compared lexicographically, so time order is kept.
-    """
-    k = _kq(keys)
-    times = times.selectExpr(*k, "__t", "__chunk", "__tgt", "CAST(array() AS ARRAY<BIGINT>) AS __sub")
-    for _ in range(max_levels):
-        counts = times.groupBy(*keys, "__chunk", "__sub").agg(
-            F.expr("count(1) AS __cnt"), F.expr("min(__t) AS __lo"), F.expr("max(__t) AS __hi"),
-            F.expr("max(__tgt) AS __tg"))
-        hot = materialise(counts.filter(f"__cnt > {HOT_CHUNK_FACTOR} * __tg AND __hi > __lo").selectExpr(
-            *k, "__chunk", "__sub", "__lo",
-            "greatest(1, ceil((__hi - __lo + 1) / ceil(__cnt / __tg))) AS __w2"))
-        if hot.rows == 0:
-            hot.release()
-            break
-        j = join_keyed(times, hot, list(keys) + ["__chunk", "__sub"], "left")
-        times = j.selectExpr(*k, "__t", "__chunk", "__tgt",
-                             "CASE WHEN __w2 IS NULL THEN __sub "
-                             "ELSE concat(__sub, array(CAST((__t - __lo) div __w2 AS BIGINT))) END AS __sub")
-    return times.drop("__tgt")
+def _chunks(times: DataFrame, keys, parts: int, gap_agg: str) -> DataFrame:
+    """One row per chunk: keys, __chunk, cmin, cmax, ``gap_agg`` over its gaps
+    (column ``__gap``) and ``edge``, the gap to the chunk before."""
+    K = ", ".join(_kq(keys))
+    ranged = times.repartitionByRange(parts, *[F.col(q(k)) for k in keys], "__t").withColumn(
+        "__chunk", F.spark_partition_id())
+    part = f"PARTITION BY {K + ', ' if K else ''}__chunk ORDER BY __t"
+    gaps = ranged.selectExpr("*", f"__t - lag(__t) OVER ({part}) AS __gap")
+    rows = _grouped(gaps, [*keys, "__chunk"], "min(__t) AS cmin", "max(__t) AS cmax", gap_agg)
+    order = f"PARTITION BY {K} ORDER BY __chunk" if K else "ORDER BY __chunk"
+    return rows.selectExpr("*", f"cmin - lag(cmax) OVER ({order}) AS edge")
 
 
 def step_table(df: DataFrame, keys=(), ts: str | None = None, values=None,
                min_step_s: int = 60, ignore_subthreshold: bool = False,
-               rows_per_chunk: int = ROWS_PER_CHUNK) -> SmallTable:
+               parts: int | None = None) -> SmallTable:
     """Materialised per-series table: keys, n, t0, t1, m_us, step_us, step_s.
 
-    The readings are scanned twice (extent, then one windowed pass) and
-    shuffled once; every later step runs on the per-chunk summary, whose
-    size is bounded by the number of chunks.
+    ``parts`` is the number of range partitions (default: the session's
+    shuffle partitions). The readings are read twice: once for the distinct
+    times (bounds and smallest gap), once for the check.
     """
     keys = list(keys)
     ts, values = discover_roles(df, keys, ts, values)
     thr = int(min_step_s) * US_PER_SECOND
-    K = ", ".join(_kq(keys))
-    ext = materialise(series_extent(df, keys, ts, values))
-    times = _with_chunk(present_times(df, keys, ts, values), ext, keys, rows_per_chunk)
-    # A chunk can only be hot if its series has more rows than the cap;
-    # the (cached) extent table says exactly whether any series does.
-    cap = f"{HOT_CHUNK_FACTOR} * greatest({int(rows_per_chunk)}, sqrt(n))"
-    if ext.df.filter(f"n > {cap}").limit(1).count() > 0:
-        times = _split_hot_chunks(times, keys)
-    else:
-        times = times.selectExpr(*_kq(keys), "__t", "__chunk", "CAST(array() AS ARRAY<BIGINT>) AS __sub")
-
-    part = f"PARTITION BY {K + ', ' if K else ''}__chunk, __sub ORDER BY __t"
-    gap = f"__t - lag(__t) OVER ({part})"
-    keep = f"{gap} > 0" + (f" AND {gap} >= {thr}" if ignore_subthreshold else "")
-    gaps = times.selectExpr(*_kq(keys), "__chunk", "__sub", "__t", f"CASE WHEN {keep} THEN {gap} END AS __gap")
-    # Per chunk: bounds, smallest gap and the distinct gaps. A chunk whose
-    # smallest gap is under the threshold already makes its series
-    # irregular, so its gap set is dropped (it only serves the check of
-    # divisibility by the series' smallest gap).
-    per_chunk = gaps.groupBy(*keys, "__chunk", "__sub").agg(
-        F.expr("min(__t) AS cmin"), F.expr("max(__t) AS cmax"), F.expr("min(__gap) AS gmin"),
-        F.expr("collect_set(__gap) AS gaps"))
-    per_chunk = per_chunk.selectExpr(
-        *_kq(keys), "__chunk", "__sub", "cmin", "cmax", "gmin",
-        f"CASE WHEN coalesce(gmin, {thr}) >= {thr} THEN gaps END AS gaps")
-    wk = f"PARTITION BY {K} ORDER BY __chunk, __sub" if K else "ORDER BY __chunk, __sub"
-    whole = f"PARTITION BY {K}" if K else ""
-    edge = f"cmin - lag(cmax) OVER ({wk})"
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    p = present_sql(values)
+    times = _grouped(df.selectExpr(*_kq(keys), f"CASE WHEN {p} THEN {micros_sql(ts)} END AS __t"),
+                     [*keys, "__t"], "count(1) AS __c")
+    ext = _grouped(times, keys, "coalesce(sum(CASE WHEN __t IS NOT NULL THEN __c END), 0) AS n",
+                   "min(__t) AS t0", "max(__t) AS t1")
+    distinct = times.filter("__t IS NOT NULL").drop("__c")
+    usable = f"__gap >= {thr}" if ignore_subthreshold else "true"
+    chunks = _chunks(distinct, keys, parts, f"min(CASE WHEN {usable} THEN __gap END) AS gmin")
+    edge = f"CASE WHEN {usable.replace('__gap', 'edge')} THEN edge END"
+    smallest = _grouped(chunks, keys, f"least(min(gmin), min({edge})) AS m_us")
+    series = materialise(join_keyed(ext, smallest, keys, "left"))
+
     if ignore_subthreshold:
-        edge = f"CASE WHEN {edge} >= {thr} THEN {edge} END"
-    # The per-chunk table is small (chunks per series ~ sqrt(n)); a window
-    # over it by series yields the smallest gap without a second read.
-    c2 = per_chunk.selectExpr(*_kq(keys), "gmin", "gaps", f"{edge} AS edge")
-    c3 = c2.selectExpr(*_kq(keys), "gaps", "edge",
-                       f"least(min(gmin) OVER ({whole}), min(edge) OVER ({whole})) AS m_us")
-    c3 = c3.selectExpr(*_kq(keys), "m_us",
-                       "forall(coalesce(gaps, array()), x -> pmod(x, m_us) = 0) "
-                       "AND coalesce(pmod(edge, m_us) = 0, true) AS __okc")
-    aggs = [F.expr("min(m_us) AS m_us"), F.expr("bool_and(__okc) AS __ok")]
-    checks = c3.groupBy(*keys).agg(*aggs) if keys else c3.agg(*aggs)
-    out = join_keyed(ext.df, SmallTable(checks, ext.rows), keys, "left")
+        # gaps below the threshold do not count, so the gaps themselves are checked
+        known = join_keyed(distinct, SmallTable(series.df.select(*[F.col(q(k)) for k in keys], "m_us"), series.rows), keys)
+        fits = f"__gap IS NULL OR __gap < {thr} OR pmod(__gap, m_us) = 0"
+        again = _chunks(known, keys, parts, f"bool_and(coalesce({fits}, true)) AS ok")
+        again = join_keyed(again, SmallTable(series.df.select(*[F.col(q(k)) for k in keys], "m_us"), series.rows), keys)
+        checks = _grouped(again, keys, f"bool_and(ok AND coalesce({fits.replace('__gap', 'edge')}, true)) AS __ok")
+    else:
+        present = df.filter(p).selectExpr(*_kq(keys), f"{micros_sql(ts)} AS __t")
+        known = join_keyed(present, SmallTable(series.df.select(*[F.col(q(k)) for k in keys], "t0", "m_us"), series.rows), keys)
+        checks = _grouped(known, keys, "bool_and(coalesce(pmod(__t - t0, m_us) = 0, true)) AS __ok")
+    out = join_keyed(series.df, SmallTable(checks, series.rows), keys, "left")
     # no usable gap: NULL for fewer than two times, else -1 (nothing at or
     # above the threshold to call a step)
     step = (f"CASE WHEN m_us IS NULL THEN CASE WHEN t1 > t0 THEN CAST(-1 AS BIGINT) END "
             f"WHEN m_us < {thr} OR NOT coalesce(__ok, false) THEN CAST(-1 AS BIGINT) ELSE m_us END")
     out = out.selectExpr(*_kq(keys), "n", "t0", "t1", "m_us", f"{step} AS step_us").selectExpr(
         "*", f"CASE WHEN step_us > 0 THEN step_us div {US_PER_SECOND} ELSE step_us END AS step_s")
-    return materialise(out)
+    out = materialise(out)
+    series.release()
+    return out
 
 
 def ts_step(df: DataFrame, keys=(), ts: str | None = None, values=None,

@@ -21,6 +21,9 @@ from ..operators.pad import na_ts_insert
 from ..operators.resample import raw_series, resample
 from ..operators.reshape import to_wide, ts_2_list, ts_melt, unpivot_long
 from ..operators.clean import drop_any_null, trim_ts, value_present
+from ..operators.gate import wide_eligibility
+from ..operators.joins import keep_all_sites, select_listed
+from ..operators.reshape import concat_frames
 from ..operators.step import is_ts_daily, ts_step
 from ..operators.summary import data_range_summary
 from .oracle_sql import hourly_events_cte, nn, pad_ctes, step_ctes
@@ -292,9 +295,15 @@ def q_data_range_summary_sql(spark, sf):
                               attrs=("Plate", "Unit"))
 
 
-@register("data_range_summary_ext")
+@register("data_range_summary_ext",
+          f"with e as (select event_type, ts, {nn('value')} as v from events) "
+          "select event_type, min(ts) as \"Start\", max(ts) as \"End\", round(min(v), 3) as \"Min\", "
+          "arg_min(ts, (v, ts)) as \"Time_min\", round(max(v), 3) as \"Max\", arg_min(ts, (-v, ts)) as \"Time_max\", "
+          "round(avg(v), 3) as \"Mean\", round(stddev_samp(v), 3) as \"Std\", round(quantile_cont(v, 0.25), 3) as \"25%\", "
+          "round(quantile_cont(v, 0.5), 3) as \"Median\", round(quantile_cont(v, 0.75), 3) as \"75%\" "
+          "from e where v is not null group by 1")
 def q_data_range_summary_ext(spark, sf):
-    """Adds mean, sample std and sketch-based quartiles (no exact oracle)."""
+    """Adds mean, sample std and exact interpolated quartiles."""
     return data_range_summary(events(spark, sf), ["event_type"], "ts", "value", attrs=(),
                               extended=True)
 
@@ -383,7 +392,7 @@ def q_trim_ts(spark, sf):
 
 from .fixtures import DEMO_SQL, PLATES, params_dim, plates_dim, render_demo  # noqa: E402
 from .organise import long_table, organise_folder  # noqa: E402
-from ..sources.report_csv import report_csv_scan, report_files  # noqa: E402
+from ..sources.report_csv import report_csv_scan, report_files, report_rejects  # noqa: E402
 
 _DEMO = "with " + DEMO_SQL
 
@@ -725,7 +734,8 @@ def q_hourly_2_daily_udaf(spark, sf):
 # ---------------------------------------------------------------- A12, S5, K1
 
 from ..operators.summary import distinct_count  # noqa: E402
-from ..sinks.writers import write_dim_csv, write_long_by_folder  # noqa: E402
+from ..sinks.writers import (register_tables, write_dim_csv, write_long_by_folder,  # noqa: E402
+                             write_long_table, write_summary_tsv, write_wide)
 from ..sources.dims import dim_from_csv  # noqa: E402
 from ..functions.timecols import nan_to_null_sql  # noqa: E402
 
@@ -804,12 +814,203 @@ def q_ts_step_r_dialect(spark, sf):
 
 @register("data_range_summary_moments",
           f"with e as (select event_type, {nn('value')} as v from events) "
-          "select event_type, round(avg(v) + 1e-9, 6) as \"Mean\", round(stddev_samp(v) + 1e-9, 6) as \"Std\" "
+          "select event_type, round(avg(v), 3) as \"Mean\", round(stddev_samp(v), 3) as \"Std\" "
           "from e where v is not null group by 1")
 def q_data_range_summary_moments(spark, sf):
-    """A16, exact part: mean and sample standard deviation.
-
-    Computed at 9 digits and presented like every other double (6 digits),
-    so a mean falling on a rounding tie cannot split the two engines."""
+    """Mean and sample standard deviation at the operator's three digits."""
     return data_range_summary(events(spark, sf), ["event_type"], "ts", "value", attrs=(),
-                              extended=True, digits=9).select("event_type", "Mean", "Std")
+                              extended=True).select("event_type", "Mean", "Std")
+
+
+# ---------------------------------------------------------------- sinks, read back
+
+@register("sink_wide", _wide_sql("daily", "Date", True))
+def q_sink_wide(spark, sf):
+    """K2 + O2: the wide daily table written and read back (time as text)."""
+    path = scratch_path(spark, "wide")
+    write_wide(_organised(spark, sf).wide("daily"), path, "Date", True)
+    return spark.read.parquet(path)
+
+
+@register("sink_long_table", ORACLES["long_table_sql"].replace(
+    'd."TimeStamp",', "strftime(d.\"TimeStamp\", '%Y-%m-%d %H:%M:%S') as \"TimeStamp\","))
+def q_sink_long_table(spark, sf):
+    """K3 + O1: the long table of the SQL dialect written in order and read back."""
+    path = scratch_path(spark, "df-long")
+    long, _ = long_table(spark, render_demo(spark, sf), params_dim(spark), plates_dim(spark), glob="*.txt")
+    write_long_table(long, path)
+    return spark.read.parquet(path)
+
+
+@register("sink_summary_tsv", ORACLES["organise_folder"])
+def q_sink_summary_tsv(spark, sf):
+    """K4 + O1: the range summary written as TSV and read back with its schema."""
+    path = scratch_path(spark, "summary")
+    summary = _organised(spark, sf).summary.drop("CSV")
+    write_summary_tsv(summary, path, ["folder", "Name", "ts_id"])
+    return spark.read.option("sep", "\t").option("header", True).schema(summary.schema).csv(path)
+
+
+@register("sql_tables",
+          _DEMO + "select d.folder, pl.\"Name\", count(*) as n, round(avg(d.\"Value\") + 1e-9, 6) as mean from demo d "
+          "left join plates pl on d.\"Plate\" = pl.\"Plate\" where d.\"Value\" is not null group by all")
+def q_sql_tables(spark, sf):
+    """K6: tables registered by name and queried in SQL."""
+    long, _ = long_table(spark, render_demo(spark, sf), params_dim(spark), plates_dim(spark), glob="*.txt")
+    register_tables(spark, {"df_long": long})
+    return spark.sql("SELECT folder, Name, count(*) AS n, avg(Value) AS mean FROM df_long GROUP BY folder, Name")
+
+
+@register("gate_dup_files",
+          _DEMO + "select folder, uid from demo where (folder, \"Plate\") in (select (folder, \"Plate\") from "
+          "(select distinct folder, \"Plate\", uid from demo) group by folder, \"Plate\" having count(*) > 1) group by all")
+def q_gate_dup_files(spark, sf):
+    """O5 + T5: the files whose plate occurs in more than one file of their folder."""
+    gate = _organised(spark, sf).gate
+    return gate.select("folder", F.explode("dup_files").alias("f")).select(
+        "folder", F.regexp_extract("f", "uid=([^/]+)/", 1).alias("uid"))
+
+
+# ---------------------------------------------------------------- ingest faults
+
+@register("report_rejects",
+          "select lpad(cast(event_id % 50 as varchar), 2, '0') || '.csv' as \"CSV\", "
+          "case when event_id % 7 = 0 then 'bad value' else 'bad time' end as reason, count(*) as n from events "
+          "where event_id % 7 in (0, 3) group by all "
+          "union all select 'headless.csv', 'no header line', 1")
+def q_report_rejects(spark, sf):
+    """Readings with a bad time or value, and a file without header, are reported."""
+    return report_rejects(spark, _faulty(spark, sf)).groupBy("CSV", "reason").agg(F.count("*").alias("n"))
+
+
+@register("report_csv_flat_layout",
+          "select lpad(cast(event_id % 50 as varchar), 2, '0') || '.csv' as \"CSV\", count(*) as n, "
+          "round(sum(value) + 1e-9, 3) as total from events where event_id % 7 not in (0, 3) group by 1 "
+          "union all select 'headless.csv', 1, 1.0")
+def q_report_csv_flat_layout(spark, sf):
+    """The layout root/<folder>/<file>; fractions of seconds, ``T`` and plain dates are read."""
+    long = report_csv_scan(spark, _faulty(spark, sf), on_reject="keep")
+    return long.groupBy("CSV").agg(F.count("*").alias("n"), F.round(F.sum("Value") + 1e-9, 3).alias("total"))
+
+
+def _faulty(spark, sf):
+    """Report files root/f/NN.csv of the events: every 7th value and time is broken."""
+    root = scratch_path(spark, "flat") + "/f"
+    e = table(spark, sf, "events").select("event_id", "ts", F.expr(nan_to_null_sql("value")).alias("value"))
+    time = ("CASE event_id % 7 WHEN 1 THEN date_format(ts, 'yyyy-MM-dd') WHEN 2 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") "
+            "WHEN 3 THEN date_format(ts, 'yyyy-MM-dd 99:mm:ss') WHEN 4 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS') "
+            "ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END")
+    value = "IF(event_id % 7 = 0, 'abc', coalesce(cast(value AS string), ''))"
+    data = e.selectExpr("lpad(cast(event_id % 50 AS string), 2, '0') AS file", "2 AS part", f"concat({time}, ',', {value}) AS line")
+    heads = data.select("file").distinct().selectExpr(
+        "file", "1 AS part", "concat('# 00000000-0000-0000-0000-0000000000', file, ' Discharge.Raw@P', file, ': demo\\nTimeStamp,Discharge@P', file) AS line")
+    alone = spark.range(1).selectExpr("'headless' AS file", "2 AS part", "'2024-01-01 00:00:00,1' AS line")
+    lines = data.unionByName(heads).unionByName(alone)
+    tmp = root + "-by-file"
+    lines.repartition("file").sortWithinPartitions("file", "part").select("file", F.col("line").alias("value")).write.partitionBy(
+        "file").text(tmp)
+    _flatten(spark, tmp, root)
+    return root[: -len("/f")]
+
+
+def _flatten(spark, tmp, root):
+    """tmp/file=X/part-* to root/X.csv: the layout of the reports, made from Spark's."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(tmp).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(root))
+    for part in fs.globStatus(path(f"{tmp}/file=*/part-*")):
+        p = part.getPath()
+        fs.rename(p, path(f"{root}/{p.getParent().getName()[len('file='):]}.csv"))
+
+
+# ---------------------------------------------------------------- names, lookups, selections
+
+@register("ts_melt_dotted",
+          "select 'St. ' || event_type as \"Site\", strftime(date_trunc('day', ts), '%Y-%m-%d') as \"Date\", "
+          + r6("avg(" + nn("value") + ")", "Value") + " from events group by all")
+def q_ts_melt_dotted(spark, sf):
+    """R4 on site names with a dot and a blank (every event type has every day)."""
+    daily = resample(events(spark, sf).withColumn("event_type", F.concat(F.lit("St. "), "event_type")),
+                     ["event_type"], "ts", "value", "day", "mean").withColumn("ts", F.to_date("ts"))
+    wide = to_wide(daily.withColumnRenamed("ts", "Date"), "Date", "event_type", "value")
+    return ts_melt(wide, "Date")
+
+
+@register("ts_info_all_sites",
+          "with i as (select l_returnflag, min(l_shipdate) as s, max(l_shipdate) as e from lineitem "
+          "where l_quantity > 49 group by 1) select p.o as place, p.site as \"Site\", i.s as \"Start\", i.e as \"End\" "
+          "from (select min(l_orderkey) as o, l_returnflag as site from lineitem group by 2 "
+          "union all select n_nationkey, n_name from nation) p left join i on p.site = i.l_returnflag")
+def q_ts_info_all_sites(spark, sf):
+    """J4 + A10: every listed site with its place in the input, with nulls where it has no data."""
+    li = table(spark, sf, "lineitem")
+    sites = li.groupBy(F.col("l_returnflag").alias("Site")).agg(F.min("l_orderkey").alias("place")).unionByName(
+        table(spark, sf, "nation").select(F.col("n_name").alias("Site"), F.col("n_nationkey").alias("place")))
+    some = li.filter("l_quantity > 49").select(F.col("l_returnflag").alias("Site"), "l_shipdate", "l_quantity")
+    info = ts_info(some, "Site", "l_shipdate", "l_quantity", scope="series")
+    return keep_all_sites(sites, info).select("place", "Site", "Start", "End")
+
+
+@register("manifest_semi",
+          "select o_orderkey, o_totalprice from orders where o_custkey in "
+          "(select c_custkey from customer where c_nationkey % 3 = 0)")
+def q_manifest_semi(spark, sf):
+    """Orders of the customers on a list, by a left semi join."""
+    listed = table(spark, sf, "customer").filter("c_nationkey % 3 = 0").select(F.col("c_custkey").alias("o_custkey"))
+    return select_listed(table(spark, sf, "orders"), listed, "o_custkey").select("o_orderkey", "o_totalprice")
+
+
+@register("data_range_summary_any",
+          "select l_returnflag, min(l_shipdate) as \"Start\", max(l_shipdate) as \"End\", "
+          "round(min(l_quantity), 3) as \"Min\", round(max(l_quantity), 3) as \"Max\" from lineitem "
+          "where l_linestatus <> 'F' and l_quantity is not null group by 1")
+def q_data_range_summary_any(spark, sf):
+    """A1, Python dialect: a row with any missing attribute does not count."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", "l_quantity",
+                                             F.expr("nullif(l_linestatus, 'F') AS status"))
+    return data_range_summary(li, ["l_returnflag"], "l_shipdate", "l_quantity", attrs=(),
+                              null_rule="any").select("l_returnflag", "Start", "End", "Min", "Max")
+
+
+@register("concat_by_name",
+          "select c_custkey as k, c_name as name, c_nationkey as nation, cast(null as double) as price from customer "
+          "union all select o_orderkey, null, null, o_totalprice from orders")
+def q_concat_by_name(spark, sf):
+    """Frames with different columns stacked by name."""
+    c = table(spark, sf, "customer").selectExpr("c_custkey AS k", "c_name AS name", "c_nationkey AS nation")
+    o = table(spark, sf, "orders").selectExpr("o_totalprice AS price", "o_orderkey AS k")
+    return concat_frames(c, o)
+
+
+@register("ts_validate_schema",
+          "select cast(null as varchar) as l_returnflag, 'many_temporal_columns' as \"check\", cast(null as bigint) as n "
+          "union all select null, 'non_numeric_column', null")
+def q_ts_validate_schema(spark, sf):
+    """Two time columns and a text column among the values are schema violations."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", F.col("l_shipdate").cast("date").alias("day"),
+                                             "l_quantity", "l_linestatus")
+    return ts_validate(li, ["l_returnflag"])
+
+
+@register("gate_insufficient",
+          "select event_type as folder, false as eligible, 'insufficient_data' as reason from events group by 1")
+def q_gate_insufficient(spark, sf):
+    """T5: a folder with a single time cannot become a wide table."""
+    e = events(spark, sf).groupBy(F.col("event_type").alias("folder")).agg(F.max("ts").alias("TimeStamp"), F.max("value").alias("Value"))
+    long = e.selectExpr("folder", "TimeStamp", "Value", "'a.csv' AS CSV", "folder AS Plate", "folder AS Name", "'m' AS Unit", "'x' AS Parameter")
+    return wide_eligibility(long).select("folder", "eligible", "reason")
+
+
+_GAP_HOURS = ("select event_type, date_trunc('day', ts) + interval 2 hour + interval (epoch_us(ts) // 1000000 % 3600) second as t, value "
+              "from events where value is not null")
+
+
+@register("resample_gap_hours",
+          f"select event_type, date_trunc('hour', t) as t, {r6('avg(value)', 'value')} from ({_GAP_HOURS}) group by all")
+def q_resample_gap_hours(spark, sf):
+    """A2 on readings between 02:00 and 03:00, which spring changes skip in many time zones."""
+    e = events(spark, sf).filter("value IS NOT NULL").selectExpr(
+        "event_type", "value",
+        "CAST(to_date(ts) AS TIMESTAMP_NTZ) + make_dt_interval(0, 2, minute(ts), CAST(second(ts) AS DECIMAL(18, 6))) AS t")
+    return resample(e, ["event_type"], "t", "value", "hour", "mean")

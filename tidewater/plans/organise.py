@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.gate import wide_eligibility
 from ..operators.pad import na_ts_insert
-from ..operators.reshape import daily_normalise, pivot_names, to_wide
+from ..operators.reshape import daily_normalise, name_groups, pivot_names, to_wide
 from ..operators.summary import data_range_summary
 from ..sinks import writers
 from ..sources.report_csv import long_table_scan, report_csv_scan
@@ -44,12 +44,20 @@ class Organised:
         daily = dict(self.eligible())[folder]
         return wide_table(self.long.filter(F.col("folder") == folder), daily)
 
+    def wide_parts(self, folder: str) -> list[DataFrame]:
+        """The wide table of a folder, in several tables where it has very many sites."""
+        daily = dict(self.eligible())[folder]
+        long = self.long.filter(F.col("folder") == folder)
+        names = pivot_names(long.select(F.coalesce(F.col("Name"), F.col("Plate")).alias("n")), "n")
+        return [wide_table(long.filter(F.coalesce(F.col("Name"), F.col("Plate")).isin(part)), daily, part)
+                for part in name_groups(names)]
+
 
-def wide_table(long: DataFrame, daily: bool, max_columns: int = 2_000) -> DataFrame:
-    """R1 + R6 + T4 (frame scope) for one folder's long rows."""
+def wide_table(long: DataFrame, daily: bool, names: list | None = None) -> DataFrame:
+    """R1 + R6 + T4 (frame scope) for one folder's long rows (of the sites in ``names``)."""
     site = F.coalesce(F.col("Name"), F.col("Plate"))
     rows = long.select(site.alias("__site"), "TimeStamp", "Value")
-    names = pivot_names(rows, "__site", max_columns)
+    names = pivot_names(rows, "__site") if names is None else names
     w = to_wide(rows, "TimeStamp", "__site", "Value", names)
     w = daily_normalise(w, "TimeStamp", daily)
     ts = "Date" if daily else "Time"
@@ -59,18 +67,24 @@ def wide_table(long: DataFrame, daily: bool, max_columns: int = 2_000) -> DataFr
 def organise_folder(spark: SparkSession, root: str, params: DataFrame | None = None,
                     plates: DataFrame | None = None, out: str | None = None,
                     recursive: bool = False, glob: str | None = None,
-                    summary_null_rule: str = "value") -> Organised:
-    long, files = report_csv_scan(spark, root, params, plates, recursive, glob, with_files=True)
+                    summary_null_rule: str = "value", on_reject: str = "raise") -> Organised:
+    long, files = report_csv_scan(spark, root, params, plates, recursive, glob, with_files=True,
+                                  on_reject=on_reject)
+    if out:  # the text is parsed once; everything else reads the Parquet of each folder
+        out = out.rstrip("/")
+        writers.write_long_by_folder(long, f"{out}/long")
+        stored = spark.read.parquet(f"{out}/long")
+        long = stored.withColumn("TimeStamp", F.col("TimeStamp").cast("timestamp_ntz")).withColumn(
+            "folder", F.col("folder").cast("string")).select(*long.columns)
     gate = wide_eligibility(long, files.select("folder", "CSV"))
     summary = data_range_summary(long, ["folder", "Name", "ts_id", "CSV"],
                                  attrs=("Plate", "Description", "Unit"), null_rule=summary_null_rule)
     res = Organised(long, files, gate, summary)
     if out:
-        out = out.rstrip("/")
-        writers.write_long_by_folder(long, f"{out}/long")
         for folder, daily in res.eligible():
             ts = "Date" if daily else "Time"
-            writers.write_wide(res.wide(folder), f"{out}/{folder}_wide", ts, daily)
+            for k, part in enumerate(res.wide_parts(folder)):
+                writers.write_wide(part, f"{out}/{folder}_wide" + (f"_{k + 1}" if k else ""), ts, daily)
         writers.write_summary_tsv(summary, f"{out}/data_range", ["folder", "Name", "ts_id"])
     return res
 

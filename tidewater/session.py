@@ -71,9 +71,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidewater-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must use the local file API."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "DEFAULT_CONF"]

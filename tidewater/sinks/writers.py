@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import DATE_FORMAT, TIME_FORMAT, format_ts
+from ..functions.timecols import micros_sql
 
 
 def write_long_by_folder(long: DataFrame, path: str, mode: str = "overwrite",
-                         ts: str = "TimeStamp", cluster: bool = False) -> None:
+                         ts: str = "TimeStamp", cluster: bool = True) -> None:
     """K1: one Parquet dataset per folder (``folder=`` directories), time as text.
 
-    No task gathers a folder: every task writes its own rows of each folder,
-    sorted by series and time so Parquet min/max statistics prune well.
-    ``cluster=True`` range-partitions on (folder, uid, time) first: sampled
-    boundaries split even a hot folder evenly, and files do not overlap.
+    Rows are range-partitioned on (folder, uid, time) first: sampled boundaries
+    split even a hot folder evenly, files are few and do not overlap, and
+    Parquet min/max statistics prune well. ``cluster=False`` leaves the rows
+    where they are, with a file for each task and folder.
     """
     if cluster:
         long = long.repartitionByRange("folder", "uid", ts)
@@ -41,10 +42,12 @@ def write_long_table(long: DataFrame, path: str, mode: str = "overwrite") -> Non
 
 
 def write_summary_tsv(summary: DataFrame, path: str, order=None, mode: str = "overwrite") -> None:
-    """K4: tab-separated with header; one row per series, so one file is fine."""
-    out = summary.coalesce(1)
-    if order:
-        out = out.sortWithinPartitions(*order)
+    """K4: tab-separated with header, in order of ``order`` (O1).
+
+    The sort is by ranges after the aggregate, so series are summarised in
+    parallel; a small summary ends in one file, a large one in several.
+    """
+    out = summary.orderBy(*order) if order else summary
     out.write.mode(mode).option("sep", "\t").option("header", True).csv(path)
 
 
@@ -88,7 +91,7 @@ def render_report_files(series: DataFrame, root: str, mode: str = "overwrite",
     in time order. Files land in ``root/folder=F/uid=U/part=P/``.
     """
     from ..operators.joins import join_keyed, materialise
-    us = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', TimeStamp)"
+    us = micros_sql("TimeStamp")
     ext = materialise(series.groupBy("folder", "uid").agg(
         F.expr("count(1) AS __n"), F.expr(f"min({us}) AS __t0"), F.expr(f"max({us}) AS __t1")))
     width = f"greatest(1, ceil((__t1 - __t0 + 1) / greatest(1, ceil(__n / {int(rows_per_file)}))))"
@@ -106,8 +109,7 @@ def render_report_files(series: DataFrame, root: str, mode: str = "overwrite",
         "folder", "uid", "part", F.col("o").cast("long").alias("__o"), F.col("t").alias("value"))
     val = F.when(F.col("Value").isNull(), F.lit("")).otherwise(F.col("Value").cast("string"))
     data = base.select("folder", "uid", "part",
-                       F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"),
-                                        F.col("TimeStamp")).alias("__t"),
+                       F.expr(f"{us} AS __t"),
                        F.concat(format_ts("TimeStamp"), F.lit(","), val).alias("value"))
     data = data.select("folder", "uid", "part", (F.col("__t") - F.lit(-(1 << 62))).alias("__o"), "value")
     allx = head_lines.unionByName(data)

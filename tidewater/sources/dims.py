@@ -35,11 +35,12 @@ def dim_from_catalog(spark: SparkSession, path: str, list_field: str, id_field:
     """Flatten a saved catalogue payload ``{list_field: [{id, value}, ...]}``.
 
     ``keep='distinct'`` keeps every distinct (id, value) pair; ``keep='last'``
-    keeps, per id, the value listed last in its document.
+    keeps, per id, the value listed last in its document (of several
+    documents, the last by path; one document per file).
     """
     key, value = key or id_field, value or value_field
     doc = spark.read.option("multiLine", True).json(path)
-    doc = doc.withColumn("__doc", F.monotonically_increasing_id())
+    doc = doc.withColumn("__doc", F.col("_metadata.file_path"))
     items = doc.select("__doc", F.posexplode(list_field).alias("__pos", "__it"))
     pairs = items.select("__doc", "__pos", F.col(f"__it.{id_field}").cast("string").alias(key),
                          F.col(f"__it.{value_field}").cast("string").alias(value))

@@ -6,10 +6,15 @@ A report file holds one series: a free-text preamble, a description line
 
 The files are read with the text source (splittable, so a very large file
 is spread over tasks). Lines are classified by pattern instead of by line
-number; the two header lines of each file are reduced to one row per file
-and joined back to the readings on the file path (broadcast only when the
-number of files is under the size limit). Nothing is read twice and no
-file is ever parsed by a single Python process.
+number. One pass reduces each file to a row (header, description, counts of
+lines that cannot be read), a second parses the readings and joins them to
+those rows on the file path, as Spark finds best from their size. No file is
+parsed by a single Python process.
+
+Nothing is dropped silently: a time or value that cannot be read, a file
+without header and text lines beyond the preamble are rejects. Scans raise
+when there are any (``on_reject="raise"``), or keep what can be read and
+leave the rest to :func:`report_rejects` (``on_reject="keep"``).
 """
 
 from __future__ import annotations
@@ -17,10 +22,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import (DATA_LINE, DESC_LINE, HEADER_LINE, TIME_FORMAT,
+from ..functions.names import (ANY_HEADER_LINE, DATA_LINE, DESC_LINE, HEADER_LINE, PREAMBLE_LINES,
                                compact_uid, series_id, split_series_name)
 from ..functions.timecols import nan_to_null
-from ..operators.joins import enrich, join_keyed, materialise, sized_broadcast
+from ..operators.joins import enrich, materialise, one_per_key, sized_broadcast
 
 
 def scan_lines(spark: SparkSession, root: str, recursive: bool = False,
@@ -81,14 +86,73 @@ def file_lineage(path="path") -> dict:
     return {"folder": folder, "CSV": csv, "stem": stem}
 
 
+def _classified(lines: DataFrame) -> DataFrame:
+    """path, line, kind (data, header, other_header, description, text), TimeStamp, Value, reason."""
+    line = F.col("line")
+    kind = (F.when(line.rlike(DATA_LINE), "data").when(line.rlike(DESC_LINE), "description")
+             .when(line.rlike(HEADER_LINE), "header").when(line.rlike(ANY_HEADER_LINE), "other_header")
+             .when(F.trim(line) == "", "blank").otherwise("text"))
+    parts = F.split(line, ",", 2)
+    time, text = F.trim(parts[0]), F.trim(F.get(parts, 1))
+    number = text.try_cast("double")
+    out = lines.withColumn("kind", kind).withColumn("TimeStamp", F.when(
+        F.col("kind") == "data", time.try_cast("timestamp_ntz"))).withColumn(
+        "Value", F.when(F.col("kind") == "data", nan_to_null(number)))
+    reason = F.when(F.col("kind") == "data", F.when(F.col("TimeStamp").isNull(), "bad time").when(
+        text.isNull() | (number.isNull() & (text != "")), "bad value"))
+    return out.withColumn("reason", reason)
+
+
+def _per_file(lines: DataFrame) -> DataFrame:
+    """One row per file: its header and description lines, and why it cannot be read."""
+    c = _classified(lines)
+
+    def line_of(kind):
+        return F.max(F.when(F.col("kind") == kind, F.col("line")))
+
+    per = c.groupBy("path").agg(
+        F.coalesce(line_of("header"), line_of("other_header")).alias("__h"), line_of("description").alias("__d"),
+        F.count_if(F.col("reason").isNotNull()).alias("__bad"), F.count_if(F.col("kind") == "data").alias("__data"),
+        # further lines that look like a header are text
+        (F.count_if(F.col("kind").isin("text", "other_header"))
+         - F.when(F.count_if(F.col("kind") == "header") == 0, F.least(F.count_if(F.col("kind") == "other_header"), F.lit(1)))
+         .otherwise(0)).alias("__text"))
+    fault = F.when(F.col("__h").isNull(), "no header line").when(F.col("__text") > PREAMBLE_LINES, "unexpected lines")
+    return per.withColumn("__fault", fault)
+
+
+def report_rejects(spark: SparkSession, root: str, recursive: bool = False,
+                   glob: str | None = None) -> DataFrame:
+    """What cannot be read: path, folder, CSV, line (NULL for a whole file) and reason."""
+    lines = scan_lines(spark, root, recursive, glob)
+    bad = _classified(lines).filter("reason IS NOT NULL").select("path", "line", "reason")
+    files = _per_file(lines).filter("__fault IS NOT NULL").select(
+        "path", F.lit(None).cast("string").alias("line"), F.col("__fault").alias("reason"))
+    lin = file_lineage("path")
+    return bad.unionByName(files).select("path", lin["folder"].alias("folder"), lin["CSV"].alias("CSV"), "line", "reason")
+
+
+def _checked(lines: DataFrame, on_reject: str):
+    """The per-file table, computed once; raises on rejects unless they are kept."""
+    if on_reject not in ("raise", "keep"):
+        raise ValueError("on_reject must be 'raise' or 'keep'")
+    files = materialise(_per_file(lines))
+    if on_reject == "raise":
+        bad = files.df.filter("__bad > 0 OR __fault IS NOT NULL")
+        first = bad.select("path", "__bad", "__fault").orderBy("path").first()
+        if first is not None:
+            raise ValueError(f"{first['path']}: {first['__fault'] or ''} {first['__bad']} unreadable readings; "
+                             "see report_rejects, or scan with on_reject='keep'")
+    return files.df
+
+
 def report_headers(lines: DataFrame) -> DataFrame:
     """S3: one row per file: path, folder, CSV, Parameter, Plate, Label, uid, ts_id, Description."""
-    is_h = F.col("line").rlike(HEADER_LINE)
-    is_d = F.col("line").rlike(DESC_LINE)
-    per_file = (lines.filter(is_h | is_d).groupBy("path")
-                     .agg(F.max(F.when(is_h, F.col("line"))).alias("__h"),
-                          F.max(F.when(is_d, F.col("line"))).alias("__d")))
-    token = F.expr("substr(__h, 11)")
+    return _headers(_per_file(lines))
+
+
+def _headers(per_file: DataFrame) -> DataFrame:
+    token = F.regexp_extract("__h", "^[^,]*,(.*)$", 1)
     param, plate = split_series_name(token)
     lin = file_lineage("path")
     x = per_file.select("path", lin["folder"].alias("folder"), lin["CSV"].alias("CSV"),
@@ -109,12 +173,8 @@ def report_headers(lines: DataFrame) -> DataFrame:
 
 
 def report_readings(lines: DataFrame) -> DataFrame:
-    """(path, TimeStamp, Value) of every data line; empty and NaN values are NULL."""
-    parts = F.split(F.col("line"), ",", 2)
-    return lines.filter(F.col("line").rlike(DATA_LINE)).select(
-        "path",
-        F.to_timestamp_ntz(F.element_at(parts, 1), F.lit(TIME_FORMAT)).alias("TimeStamp"),
-        nan_to_null(F.trim(F.element_at(parts, 2)).try_cast("double")).alias("Value"))
+    """(path, TimeStamp, Value) of every readable data line; empty and NaN values are NULL."""
+    return _classified(lines).filter("kind = 'data' AND reason IS NULL").select("path", "TimeStamp", "Value")
 
 
 LONG_COLUMNS = ["TimeStamp", "Value", "Unit", "ts_id", "Parameter", "Label", "Plate", "Name",
@@ -123,7 +183,7 @@ LONG_COLUMNS = ["TimeStamp", "Value", "Unit", "ts_id", "Parameter", "Label", "Pl
 
 def report_csv_scan(spark: SparkSession, root: str, params: DataFrame | None = None,
                     plates: DataFrame | None = None, recursive: bool = False,
-                    glob: str | None = None, with_files: bool = False):
+                    glob: str | None = None, with_files: bool = False, on_reject: str = "raise"):
     """D2 long frame of all report files under ``root`` (NULL readings kept).
 
     ``params`` is a (Parameter, Unit) and ``plates`` a (Plate, Name)
@@ -131,11 +191,10 @@ def report_csv_scan(spark: SparkSession, root: str, params: DataFrame | None = N
     returns the per-file header table (files without data rows included).
     """
     lines = scan_lines(spark, root, recursive, glob)
-    heads = materialise(report_headers(lines))
-    long = join_keyed(report_readings(lines).withColumnRenamed("path", "__path"),
-                      _rename(heads, "path", "__path"), ["__path"])
+    heads = _headers(_checked(lines, on_reject))
+    long = report_readings(lines).join(heads, "path", "left")
     long = _attach_dims(long, params, plates).select(*LONG_COLUMNS)
-    return (long, heads.df) if with_files else long
+    return (long, heads) if with_files else long
 
 
 def report_files(spark: SparkSession, root: str, recursive: bool = False,
@@ -144,11 +203,6 @@ def report_files(spark: SparkSession, root: str, recursive: bool = False,
     return report_headers(scan_lines(spark, root, recursive, glob))
 
 
-def _rename(t, old, new):
-    from ..operators.joins import SmallTable
-    return SmallTable(t.df.withColumnRenamed(old, new), t.rows)
-
-
 def _attach_dims(df: DataFrame, params, plates) -> DataFrame:
     if params is not None:
         df = enrich(df, params.select("Parameter", "Unit"), "Parameter")
@@ -163,26 +217,23 @@ def _attach_dims(df: DataFrame, params, plates) -> DataFrame:
 
 def long_table_scan(spark: SparkSession, root: str, params: DataFrame | None = None,
                     plates: DataFrame | None = None, glob: str = "*.csv",
-                    drop_nulls: bool = True) -> DataFrame:
+                    drop_nulls: bool = True, on_reject: str = "raise") -> DataFrame:
     """T7 (SQL dialect): recursive scan, ``uid`` = file stem, folder = parent,
     NULL readings dropped (as UNPIVOT does); columns
     TimeStamp, Value, Unit, Parameter, Plate, Name, folder, uid.
     """
     lines = scan_lines(spark, root, True, glob)
-    is_h = F.col("line").rlike(HEADER_LINE)
-    heads = lines.filter(is_h).select(
-        F.col("path").alias("__path"), F.expr("substr(line, 11)").alias("__tok"))
-    param, plate = split_series_name("__tok")
-    lin = file_lineage("__path")
-    heads = heads.select("__path", param.alias("Parameter"), plate.alias("Plate"),
-                         lin["folder"].alias("folder"), lin["stem"].alias("uid"))
-    readings = report_readings(lines).withColumnRenamed("path", "__path")
+    param, plate = split_series_name(F.regexp_extract("__h", "^[^,]*,(.*)$", 1))
+    lin = file_lineage("path")
+    heads = _checked(lines, on_reject).select("path", param.alias("Parameter"), plate.alias("Plate"),
+                                              lin["folder"].alias("folder"), lin["stem"].alias("uid"))
+    readings = report_readings(lines)
     if drop_nulls:
         readings = readings.filter(F.col("Value").isNotNull())
-    long = join_keyed(readings, materialise(heads), ["__path"])
+    long = readings.join(heads, "path", "left")
     if plates is not None:
         # the SQL dialect takes the plate table's columns: Plate is NULL too when unmatched
-        pl = plates.select(F.col("Plate").alias("__pl"), "Name").dropDuplicates(["__pl"])
+        pl = one_per_key(plates.select(F.col("Plate").alias("__pl"), "Name"), "__pl")
         long = long.join(sized_broadcast(pl), F.col("Plate") == F.col("__pl"), "left")
         long = long.withColumn("Plate", F.col("__pl")).drop("__pl")
     else:

@@ -59,9 +59,3 @@ def render_spec(spark: SparkSession, rows, path: str, mode: str = "overwrite") -
         F.struct(F.lit("Location").alias("Name"), F.lit("SITE").alias("Identifier")).alias("LocationInput")))
     # one spec per file (a multi-line JSON file holds one document)
     df.select("title", doc.alias("value")).write.mode(mode).partitionBy("title").text(path)
-
-
-def spec_steps(specs: DataFrame) -> DataFrame:
-    """One row per (spec, chain step); an empty chain keeps one NULL step."""
-    return specs.select("spec", F.posexplode_outer("ProcessChain").alias("step", "p")).select(
-        "spec", "step", "p.*")
