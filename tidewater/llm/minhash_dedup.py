@@ -142,7 +142,7 @@ def _least_equal(percent: int) -> int:
     return int(SCREEN * p - SCREEN_SIGMAS * (SCREEN * p * (1 - p)) ** 0.5)
 
 
-def _apart(here: DataFrame, screen: DataFrame, near: str, percent: int) -> DataFrame:
+def _apart(here: DataFrame, screen: DataFrame, bands: DataFrame, near: str, percent: int) -> DataFrame:
     """Distinct pairs of a loose and another member of one bucket, in two
     components, of sizes that can match and with sketches that are near."""
     least = _least_equal(percent)
@@ -164,7 +164,14 @@ def _apart(here: DataFrame, screen: DataFrame, near: str, percent: int) -> DataF
         n, m = x.n.to_numpy()[:, None], y.n.to_numpy()[None, :]
         ok = ((equal >= least) & (x.comp.to_numpy()[:, None] != y.comp.to_numpy()[None, :])
               & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+        p, q = x.id.to_numpy()[:, None], y.id.to_numpy()[None, :]
+        ok &= ~y.loose.to_numpy()[None, :] | (p < q)  # two loose members meet twice
         i, j = np.nonzero(ok)
+        # a pair that shares several buckets is this bucket's only if it is the first of them
+        bx, by = np.stack(x.bands.to_numpy())[i], np.stack(y.bands.to_numpy())[j]
+        first = (bx == by).argmax(axis=1)
+        own = bx[np.arange(len(i)), first] == x.key.to_numpy()[i]
+        i, j = i[own], j[own]
         p, q = x.id.to_numpy()[i], y.id.to_numpy()[j]
         return pd.DataFrame({"a": np.minimum(p, q), "b": np.maximum(p, q)})
 
@@ -178,11 +185,12 @@ def _apart(here: DataFrame, screen: DataFrame, near: str, percent: int) -> DataF
               .mapInArrow(screened, "a long, b long"))
     many = here.where(f"c > {JOIN_SIZE}").withColumn("ls", F.expr(f"ceil(l / {BLOCK})")).withColumn(
         "cs", F.expr(f"ceil(c / {BLOCK})")).join(screen, "id")
+    many = many.join(bands, "id")
     rows = many.where("loose").withColumn("i", F.expr("pmod(xxhash64(id), ls)")).withColumn(
         "j", F.explode(F.expr("sequence(0L, cs - 1)"))).withColumn("side", F.lit(0)).unionByName(
         many.withColumn("i", F.explode(F.expr("sequence(0L, ls - 1)"))).withColumn(
             "j", F.expr("pmod(xxhash64(id), cs)")).withColumn("side", F.lit(1)))
-    blocks = rows.select("key", "i", "j", "side", "id", "n", "comp", "screen").groupBy("key", "i", "j").applyInPandas(
+    blocks = rows.select("key", "i", "j", "side", "id", "n", "comp", "loose", "screen", "bands").groupBy("key", "i", "j").applyInPandas(
         block, "a long, b long")
     return joined.unionByName(blocks).distinct()
 
@@ -229,11 +237,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     here = keep(here.where("id > pivot").join(count.where("c > 2"), "key"), "minhash-open")
     if not here.isEmpty():
         screen = keep(_screens(text.join(here.select("id").distinct(), "id", "left_semi"), size), "minhash-screen")
-        pairs = _apart(here, screen, near, percent)
+        pairs = _apart(here, screen, classes.selectExpr("rep AS id", "bands"), near, percent)
         links = keep(links.unionByName(_confirmed(pairs, text, size, percent)), "minhash-link")
         comp = components(links, "a", "b", "minhash-cc")
     found = classes.select("digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
         "digest", "coalesce(component, rep) AS found")
     return sk.select("id", "n", "digest").distinct().join(found, "digest", "left").selectExpr(
-        "id", "n AS n_shingles", "coalesce(found, id) AS component",
+        "id", "n AS n_shingles", "IF(id IS NULL, NULL, coalesce(found, id)) AS component",
         "id IS NULL OR id = coalesce(found, id) AS kept")
