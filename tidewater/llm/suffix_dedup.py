@@ -96,7 +96,7 @@ def _sort_contexts(batches):
     """Rows in order of anchor, part, context, document and place: marks what
     repeats an identical context and what has to be compared (``compare``).
     Looks back one row only, so a common anchor takes no memory."""
-    last = held = None  # (h, part, x) of the row before; first row of an anchor that has one context so far
+    last = held = None  # (h, part, x, doc, lo, at the first place) of the row before; first row of an anchor with one context so far
     names = ["h", "part", "doc", "lo", "more", "hot"]
     for batch in batches:
         if not batch.num_rows:
@@ -106,6 +106,12 @@ def _sort_contexts(batches):
         same = np.concatenate(([last is not None and (h[0], part[0]) == last[:2]],
                                (h[1:] == h[:-1]) & (part[1:] == part[:-1])))
         equal = same & np.concatenate(([last is not None and x[0] == last[2]], x[1:] == x[:-1]))
+        # rows of the first place of a context (a repeated row of the table) repeat nothing
+        doc, lo = col["doc"], col["lo"]
+        moved = equal & ~np.concatenate(([last is not None and (doc[0], lo[0]) == last[3:5]], (doc[1:] == doc[:-1]) & (lo[1:] == lo[:-1])))
+        moves, run = np.cumsum(moved), np.cumsum(~equal)
+        before = np.concatenate(([0 if last is None or last[5] else -1], moves[~equal]))
+        at_first = equal & (moves == before[run])
         group = np.cumsum(~same)  # 0: goes on from the batch before
         fresh = ~equal
         contexts = np.bincount(group[fresh], minlength=group[-1] + 1)
@@ -113,7 +119,7 @@ def _sort_contexts(batches):
             contexts[0] += 1 if held is not None else 2
         compare = fresh & ((contexts[group] > 1) | col["hot"])
         out = {c: v for c, v in col.items() if c != "x"}
-        rows = [pd.DataFrame(out).assign(compare=compare)[equal | compare]]
+        rows = [pd.DataFrame(out).assign(compare=compare)[(equal & ~at_first) | compare]]
         if held is not None and group[0] == 0 and contexts[0] > 1:
             rows.insert(0, held)
         if group[-1] > 0 or held is None or contexts[0] > 1:
@@ -121,7 +127,7 @@ def _sort_contexts(batches):
         if group[-1] > 0 and contexts[-1] == 1 and not col["hot"][-1]:
             k = int(np.searchsorted(group, group[-1]))
             held = pd.DataFrame({c: v[k:k + 1] for c, v in out.items()}).assign(compare=True)
-        last = (h[-1], part[-1], x[-1])
+        last = (h[-1], part[-1], x[-1], doc[-1], lo[-1], bool(at_first[-1] or fresh[-1]))
         yield pa.RecordBatch.from_pandas(pd.concat(rows), preserve_index=False)
 
 
