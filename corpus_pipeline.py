@@ -10,6 +10,7 @@ by. Empty tables give empty results.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm import toxicity
 from tidewater.llm.byte_bpe import bpe_encode, digests
@@ -19,31 +20,38 @@ from tidewater.llm.minhash_dedup import near_duplicates
 from tidewater.llm.suffix_dedup import remove_repeats
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The columns besides ``doc_id`` and ``text`` under names that clash with no operator's."""
+    names = {c: f"__carried_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    return docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5."""
     model = toxicity.fit(*toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "score", "predicted", "sentences"))
-    return toxicity.toxicity(docs, model, others).where("predicted = 0").select("doc_id", *others)
+    hidden, names = _aside(docs)
+    scored = toxicity.toxicity(hidden, model, ("text", *names.values())).where("predicted = 0")
+    return scored.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group; rows of one id stay together."""
     gone = near_duplicates(docs).where("NOT kept").selectExpr("id AS doc_id")
-    return docs.join(keep(gone, "pipeline-copies"), "doc_id", "left_anti")
+    return docs.join(keep(gone, "pipeline-copies"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier text has; texts of which nothing is left go."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars", "n_bytes", "n_removed", "n_spans", "kept"))
-    left = remove_repeats(docs, carry=others, as_text=True).where("n_removed = 0 OR trim(kept) <> ''")
-    made = {"text": "kept AS text", "n_chars": "cast(length(kept) AS bigint) AS n_chars"}
-    return left.selectExpr(*[made.get(c, f"`{c}`") for c in docs.columns if c in made or c == "doc_id" or c in others])
+    hidden, names = _aside(docs)
+    left = remove_repeats(hidden, carry=tuple(names.values()), as_text=True).where("n_removed = 0 OR trim(kept) <> ''")
+    made = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return left.select(*[made.get(c, F.col(names.get(c, c))).alias(c) for c in docs.columns])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     leaks = contained_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(keep(leaks, "pipeline-leaks"), "doc_id", "left_anti")
+    return docs.join(keep(leaks, "pipeline-leaks"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
