@@ -24,7 +24,9 @@ MAX_TOXIC, MAX_CLEAN = 2500, 5000
 #: Documents of the sample in which a feature must occur.
 MIN_DOCS = 4
 #: Features kept: those that differ most between the labels (chi squared).
-MAX_FEATURES = 20_000
+MAX_FEATURES = 1_500
+#: Texts of the sample that training takes apart at a time.
+FIT_TEXTS = 400
 #: Bytes of a word that count as its stems.
 STEMS = (4, 5, 6)
 ROUNDS, RATE, DECAY = 200, 1.0, 1e-6
@@ -68,7 +70,9 @@ def _sentence_scores(model: Model, h: np.ndarray, sentence: np.ndarray, count: i
     at = np.searchsorted(model.features, h)
     at[at == len(model.features)] = 0
     known = model.features[at] == h if len(model.features) else np.zeros(len(h), bool)
-    z = model.bias + np.bincount(sentence[known], model.weights[at[known]], count)
+    once = np.unique(sentence[known] * np.int64(len(model.features) + 1) + at[known])  # a repeated word counts once
+    sentence, at = np.divmod(once, len(model.features) + 1)
+    z = model.bias + np.bincount(sentence, model.weights[at], count)
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -76,19 +80,37 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     """Maximum likelihood of the labels under the noisy-or, by full-batch AdaGrad."""
     if not len(texts) or labels.min() == labels.max():
         return Model(np.zeros(0, np.uint64), np.zeros(0), 30.0 if len(labels) and labels.min() else -30.0)
-    raw = [t.encode() for t in texts]
-    starts = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
-    h, sentence, doc, _, _ = sentences(np.frombuffer(b"".join(raw), np.uint8), starts)
-    feature, index = np.unique(h, return_inverse=True)
-    once = np.unique(index * np.int64(len(texts)) + doc[sentence])
-    toxic = np.bincount(once // len(texts), labels[once % len(texts)], len(feature))
-    df, share = np.bincount(once // len(texts), minlength=len(feature)), labels.mean()
-    differ = (toxic - df * share) ** 2 / (df * share * (1 - share))
+    share, counts = labels.mean(), []
+
+    def parts():
+        """Features of the texts, some at a time: what is held at once stays small."""
+        for k in range(0, len(texts), FIT_TEXTS):
+            raw = [t.encode() for t in texts[k:k + FIT_TEXTS]]
+            starts = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+            h, sentence, doc, _, _ = sentences(np.frombuffer(b"".join(raw), np.uint8), starts)
+            yield h, sentence, doc + k
+
+    for h, sentence, doc in parts():
+        feature, index = np.unique(h, return_inverse=True)
+        once = np.unique(index * np.int64(len(texts)) + doc[sentence])
+        counts.append((feature, np.bincount(once // len(texts), minlength=len(feature)),
+                       np.bincount(once // len(texts), labels[once % len(texts)], len(feature))))
+    feature, index = np.unique(np.concatenate([c[0] for c in counts]), return_inverse=True)
+    df, toxic = (np.bincount(index, np.concatenate([c[k] for c in counts]), len(feature)) for k in (1, 2))
+    differ = (toxic - df * share) ** 2 / np.maximum(df * share * (1 - share), 1e-9)
     differ[df < MIN_DOCS] = 0
-    seen = differ >= max(1.0, np.sort(differ)[-MAX_FEATURES:][0])
-    renumber = np.cumsum(seen) - 1
-    use = seen[index]
-    j, s, feature = renumber[index[use]], sentence[use], feature[seen]
+    feature = feature[differ >= max(1.0, np.sort(differ)[-MAX_FEATURES:][0])] if len(feature) else feature
+    j, s, doc, total = [], [], [], 0
+    for h, sentence, of in parts():
+        at = np.searchsorted(feature, h)
+        known = at < len(feature)
+        known[known] = feature[at[known]] == h[known]
+        of_sentence, at = np.divmod(np.unique(sentence[known] * np.int64(len(feature) + 1) + at[known]), len(feature) + 1)
+        j.append(at.astype(np.int32))
+        s.append((of_sentence + total).astype(np.int32))
+        doc.append(of)
+        total += len(of)
+    j, s, doc = np.concatenate(j), np.concatenate(s), np.concatenate(doc)
     w, b, n = np.zeros(len(feature)), -5.0, len(doc)
     gw, gb = np.full(len(feature), 1e-8), 1e-8
     positive = labels.astype(bool)[doc]
@@ -122,8 +144,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, allowed: str = "true") -
     return [t or "" for t in rows["text"]], rows["toxic"].to_numpy(np.int64)
 
 
-def toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """Per document: ``doc_id``, ``score``, ``predicted`` and ``sentences``.
+def toxicity(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: ``doc_id``, ``score``, ``predicted``, ``sentences`` and the columns in ``carry``.
 
     ``sentences`` lists the offending ones (score 0.5 or more) by first and
     end byte and score. Null and empty texts, and texts without words, have no
@@ -146,8 +168,10 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column(batch.schema.get_field_index("doc_id")), pa.array(score),
                 pa.array((score >= 0.5).astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), spans),
-            ], ["doc_id", "score", "predicted", "sentences"])
+                *[batch.column(batch.schema.get_field_index(c)) for c in carry],
+            ], ["doc_id", "score", "predicted", "sentences", *carry])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return column_named(docs, "doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, score double, predicted int, sentences array<struct<start: long, end: long, score: double>>")
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return column_named(docs, *dict.fromkeys(("doc_id", "text", *carry))).mapInArrow(
+        run, f"doc_id {kind}, score double, predicted int, sentences array<struct<start: long, end: long, score: double>>{more}")
