@@ -96,17 +96,18 @@ def step_table(df: DataFrame, keys=(), ts: str | None = None, values=None,
     smallest = _grouped(chunks, keys, f"least(min(gmin), min({edge})) AS m_us")
     series = materialise(join_keyed(ext, smallest, keys, "left"))
 
+    def known(*cols: str) -> SmallTable:
+        return SmallTable(series.df.select(*[F.col(q(k)) for k in keys], *cols), series.rows)
+
     if ignore_subthreshold:
         # gaps below the threshold do not count, so the gaps themselves are checked
-        known = join_keyed(distinct, SmallTable(series.df.select(*[F.col(q(k)) for k in keys], "m_us"), series.rows), keys)
         fits = f"__gap IS NULL OR __gap < {thr} OR pmod(__gap, m_us) = 0"
-        again = _chunks(known, keys, parts, f"bool_and(coalesce({fits}, true)) AS ok")
-        again = join_keyed(again, SmallTable(series.df.select(*[F.col(q(k)) for k in keys], "m_us"), series.rows), keys)
+        again = _chunks(join_keyed(distinct, known("m_us"), keys), keys, parts, f"bool_and(coalesce({fits}, true)) AS ok")
+        again = join_keyed(again, known("m_us"), keys)
         checks = _grouped(again, keys, f"bool_and(ok AND coalesce({fits.replace('__gap', 'edge')}, true)) AS __ok")
     else:
         present = df.filter(p).selectExpr(*_kq(keys), f"{micros_sql(ts)} AS __t")
-        known = join_keyed(present, SmallTable(series.df.select(*[F.col(q(k)) for k in keys], "t0", "m_us"), series.rows), keys)
-        checks = _grouped(known, keys, "bool_and(coalesce(pmod(__t - t0, m_us) = 0, true)) AS __ok")
+        checks = _grouped(join_keyed(present, known("t0", "m_us"), keys), keys, "bool_and(coalesce(pmod(__t - t0, m_us) = 0, true)) AS __ok")
     out = join_keyed(series.df, SmallTable(checks, series.rows), keys, "left")
     # no usable gap: NULL for fewer than two times, else -1 (nothing at or
     # above the threshold to call a step)
