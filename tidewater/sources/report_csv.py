@@ -66,24 +66,28 @@ def _exists(spark: SparkSession, root: str, pattern: str):
     return matches is not None and len(matches) > 0
 
 
+#: ``folder=F/`` and ``uid=U/`` above the file, with nothing but ``name=value`` folders between.
+_BELOW = r"/((?:[^/=]+=[^/]*/)*[^/]+)$"
+
+
 def file_lineage(path="path") -> dict:
     """Folder (parent directory), CSV (file name) and the file stem.
 
-
     For folders written by Spark with ``partitionBy`` the ``folder=`` and
-    ``uid=`` directory values are used instead.
+    ``uid=`` values right above the file are used instead, and CSV is the path
+    below ``folder=``; what the path holds further up does not matter.
     """
     p = F.col(path) if isinstance(path, str) else path
     p = F.when(p.contains("%"), F.url_decode(F.replace(p, F.lit("+"), F.lit("%2B")))).otherwise(p)
     parts = F.split(p, "/")
     name = F.element_at(parts, -1)
-    parent = F.element_at(parts, -2)
-    folder = F.when(p.contains("/folder="), F.regexp_extract(p, r"/folder=([^/]+)/", 1)).otherwise(parent)
-    stem = F.when(p.contains("/uid="), F.regexp_extract(p, r"/uid=([^/]+)/", 1)).otherwise(
-        F.regexp_replace(name, r"\.[^.]*$", ""))
-    # file identity inside its folder: the name, or the path below ``folder=``
-    csv = F.when(p.contains("/folder="), F.regexp_extract(p, r"/folder=[^/]+/(.*)$", 1)).otherwise(name)
-    return {"folder": folder, "CSV": csv, "stem": stem}
+
+    def hive(key, group, other):
+        found = F.regexp_extract(p, f"/{key}=([^/]+){_BELOW}", group)
+        return F.when(found != "", found).otherwise(other)
+
+    return {"folder": hive("folder", 1, F.element_at(parts, -2)), "CSV": hive("folder", 2, name),
+            "stem": hive("uid", 1, F.regexp_replace(name, r"\.[^.]*$", ""))}
 
 
 def _classified(lines: DataFrame) -> DataFrame:
