@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import column_named, pieces
 
 #: Pieces whose encoding a worker remembers, and states it keeps, before it starts afresh.
-MAX_PIECES, MAX_STATES = 400_000, 200_000
+MAX_PIECES, MAX_STATES = 250_000, 150_000
 NO_TOKEN = -1
 
 
@@ -48,7 +48,7 @@ class Transducer:
     def _reset(self) -> None:
         self._number: dict[tuple, int] = {}
         self._states: list[tuple] = []
-        self._next: list[dict[int, tuple[int, tuple[int, ...]]]] = []
+        self._next: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
         self._add((b"", ((0, ()),), NO_TOKEN))
 
     # -- which token may follow which ------------------------------------
@@ -110,7 +110,6 @@ class Transducer:
         if number is None:
             number = self._number[state] = len(self._states)
             self._states.append(state)
-            self._next.append({})
         return number
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
@@ -143,17 +142,17 @@ class Transducer:
         if all(len(p) > same for p in paths):
             before = NO_TOKEN
         to = self._add((tail[cut:], tuple([(at - cut, p[same:]) for at, p in live]), before))
-        self._next[state][byte] = (to, emitted)
+        self._next[state << 8 | byte] = (to, emitted)
         return to, emitted
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         if len(self._states) > MAX_STATES:
             self._reset()
-        if len(self._fits) > 4 * MAX_STATES:
+        if len(self._fits) > 2 * MAX_STATES:
             self._fits.clear()
         state, out, after = 0, [], self._next
         for byte in piece:
-            to = after[state].get(byte)
+            to = after.get(state << 8 | byte)
             if to is None:
                 if len(self._states) > 2 * MAX_STATES:  # one very long piece
                     here = self._states[state]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.session import scratch_path
 
 #: Bytes of text that a Python task turns into numpy arrays at a time.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -33,7 +33,7 @@ from .shingles import _power_tables
 
 LENGTH, PIECE = 100, 25
 #: Bytes of contexts in a shard on average, and at most in one suffix array.
-SHARD_BYTES, BLOCK_BYTES = 1_200_000, 2_500_000
+SHARD_BYTES, BLOCK_BYTES = 600_000, 1_200_000
 #: One document in so many is sampled to find anchors to deal over several shards,
 #: those in at least this share of sampled documents; parts for each.
 SAMPLE, HOT_SHARE, PARTS = 64, 0.01, 48
@@ -82,7 +82,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int, piece: int):
 
 def _anchor_rows(length: int, piece: int):
     def run(batches):
-        for batch, data, starts in pieces(batches, ["doc"], "text", 1_000_000):
+        for batch, data, starts in pieces(batches, ["doc"], "text"):
             doc, h, x, lo, more = anchors(data, starts, length, piece)
             ids = batch.column(batch.schema.get_field_index("doc"))
             yield pa.RecordBatch.from_arrays([
@@ -328,7 +328,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     ask = marked.where("compare")
     total, hot_total = ask.agg(F.sum(F.col("more") + length), F.sum(F.when(F.col("hot"), F.col("more") + length))).first()
-    shards, buckets = max(1, (total or 0) // SHARD_BYTES), max(1, (hot_total or 0) // (4 * SHARD_BYTES))
+    shards, buckets = max(1, (total or 0) // SHARD_BYTES), max(1, (hot_total or 0) // (SHARD_BYTES // 2))
     places = ask.groupBy("doc").agg(F.collect_list(F.struct(
         "lo", "more", "hot", F.expr(f"pmod(xxhash64(h, part), {shards})").alias("shard"))).alias("at"))
 
@@ -373,7 +373,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = rows.join(runs.withColumnRenamed("doc", "__id").withColumnRenamed("runs", "__runs"), "__id", "left")
 
     def cut(batches):
-        for batch, data, starts in pieces(batches, [], "__text", 1_000_000):
+        for batch, data, starts in pieces(batches, [], "__text"):
             runs = batch.column(batch.schema.get_field_index("__runs"))
             flat = runs.flatten()
             row = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False))

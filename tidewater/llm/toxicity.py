@@ -20,13 +20,13 @@ from .common import column_named, mix64, pieces
 from .shingles import span_hasher, spans
 
 #: Labelled documents used for training, at most: toxic and clean (the lowest hashes of doc_id).
-MAX_TOXIC, MAX_CLEAN = 2500, 5000
+MAX_TOXIC, MAX_CLEAN = 2000, 4000
 #: Documents of the sample in which a feature must occur.
 MIN_DOCS = 4
 #: Features kept: those that differ most between the labels (chi squared).
 MAX_FEATURES = 1_500
 #: Texts of the sample that training takes apart at a time.
-FIT_TEXTS = 400
+FIT_TEXTS = 200
 #: Bytes of a word that count as its stems.
 STEMS = (4, 5, 6)
 ROUNDS, RATE, DECAY = 200, 1.0, 1e-6
@@ -93,8 +93,8 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     for h, sentence, doc in parts():
         feature, index = np.unique(h, return_inverse=True)
         once = np.unique(index * np.int64(len(texts)) + doc[sentence])
-        counts.append((feature, np.bincount(once // len(texts), minlength=len(feature)),
-                       np.bincount(once // len(texts), labels[once % len(texts)], len(feature))))
+        counts.append((feature, np.bincount(once // len(texts), minlength=len(feature)).astype(np.float32),
+                       np.bincount(once // len(texts), labels[once % len(texts)], len(feature)).astype(np.float32)))
     feature, index = np.unique(np.concatenate([c[0] for c in counts]), return_inverse=True)
     df, toxic = (np.bincount(index, np.concatenate([c[k] for c in counts]), len(feature)) for k in (1, 2))
     differ = (toxic - df * share) ** 2 / np.maximum(df * share * (1 - share), 1e-9)
