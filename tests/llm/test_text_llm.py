@@ -121,6 +121,24 @@ def test_html_extraction(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_html_open_heads_and_icons():
+    text = "Text of the page, long enough to be kept by all who read it."
+    article = f"<article><p>{text}</p></article>"
+    model = html_extract.fit()
+    for html in (
+            f"<html><head><title>No</title><meta charset=u><body>{article}</body></html>",  # end tag of head left out
+            f"<head><title>No</title><noscript><link href=x><body>{article}", f"<head><head><title>No</title>{article}",
+            f"<head><title>No</title></head><body>{article}", f"<head><script>x</script><img src=1>{article}",
+            f"<body><article><svg viewBox='0 0 1 1'/><p>{text}</p></article>", f"<body><article><p><math/>{text}</p></article>",
+            f"<body><article><svg><path d=M0 /><use href=x /><title>No</title></svg><p>{text}</p></article>",
+            f"<body><article><svg><g><path d=M0></g><p>{text}</p></article>",  # never closed: a paragraph ends it
+            f"<body><article><svg><foreignObject><div/><p>No</p></foreignObject></svg><p>{text}</p></article>"):
+        assert html_extract.main_text(model, html) == text, html
+    open_head = html_extract.parse(f"<head><title>No</title>{text}")
+    assert [open_head.tag[n] for n, _, t, _ in open_head.pieces] == ["title", "root"]
+    assert html_extract.main_text(model, f"<body><article><div/><p>{text}</p></article>") == text  # HTML ignores the slash
+
+
 def test_messages_are_exact_marginals():
     """Sum-product agrees with summing over all labellings of a small tree."""
     import itertools

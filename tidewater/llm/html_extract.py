@@ -30,6 +30,13 @@ ENDS_PARAGRAPH = frozenset("address article aside blockquote center details dial
                            "form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 ENDS_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
+#: What an open head may hold; any other start tag, and text, ends it.
+HEAD_CONTENT = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
+#: Elements whose inside is not HTML, the elements inside that hold HTML again, and the start tags that end them.
+FOREIGN = frozenset(("svg", "math"))
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+ENDS_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
+                         "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 CONTAINERS = frozenset("ul ol dl table tbody thead tfoot div section article main aside nav body html".split())
 
 # Words that class and id attributes are searched for: exact words, then beginnings of words.
@@ -57,8 +64,16 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.page, self.stack, self.block = Page(), [("root", 0)], 0
+        self.foreign = [False]  # of each open element: is its inside not HTML?
 
     def handle_starttag(self, tag, attrs):
+        if tag in ENDS_FOREIGN:
+            while self.foreign[-1]:
+                self._cut(len(self.stack) - 1)
+        if tag == "head" and self.stack[-1][0] == "head":
+            return
+        if tag not in HEAD_CONTENT:
+            self._end_head(tag)
         if tag == "br":
             self.page.pieces.append((self.stack[-1][1], self.block, " ", False))
         if tag in VOID:
@@ -79,15 +94,30 @@ class _Builder(HTMLParser):
         if tag not in INLINE:
             self.block += 1
         self.stack.append((tag, node))
+        self.foreign.append(tag in FOREIGN or self.foreign[-1] and tag not in HOLDS_HTML)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # HTML ignores the slash
+        if tag not in VOID and (tag in FOREIGN or self.foreign[-2:-1] == [True]):
+            self.handle_endtag(tag)
+
+    def _cut(self, k):
+        del self.stack[k:], self.foreign[k:]
+        self.block += 1
+
+    def _end_head(self, tag):
+        """A body ends a head with all that is open in it, but not from inside a template."""
+        k = len(self.stack) - 1
+        if tag == "body":
+            while k and self.stack[k][0] not in ("head", "template"):
+                k -= 1
+        if self.stack[k][0] == "head":
+            self._cut(k)
 
     def _close(self, tags, until):
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k][0] in tags:
-                del self.stack[k:]
-                self.block += 1
+                self._cut(k)
                 return
             if self.stack[k][0] in until:
                 return
@@ -95,12 +125,14 @@ class _Builder(HTMLParser):
     def handle_endtag(self, tag):
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k][0] == tag:
-                del self.stack[k:]
+                del self.stack[k:], self.foreign[k:]
                 break
         if tag not in INLINE:
             self.block += 1
 
     def handle_data(self, data):
+        if self.stack[-1][0] == "head" and data.strip():
+            self._end_head("")
         linked = any(t == "a" for t, _ in self.stack)
         self.page.pieces.append((self.stack[-1][1], self.block, data, linked))
 
