@@ -164,6 +164,33 @@ def test_suffix_hot_anchors_are_merged_across_shards(spark, monkeypatch):
     check_suffix(spark, rows)
 
 
+def test_suffix_split_shard_without_hot_anchor(spark, monkeypatch):
+    """Contexts of one anchor that outgrow a suffix array go to the merge, hot or not, in buckets of bounded size."""
+    seen = []
+    search = suffix_dedup._shard_search
+    monkeypatch.setattr(suffix_dedup, "_shard_search", lambda length, buckets: seen.append(buckets) or search(length, buckets))
+    merge = suffix_dedup._merge_bucket
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(pdf):
+        made.add(1)
+        return merge(pdf)
+    monkeypatch.setattr(suffix_dedup, "_merge_bucket", counted)
+    rng = random.Random(12)
+    noise = np.array([rng.randrange(97, 123) for _ in range(400_000)], np.uint8)
+    at = np.arange(len(noise) - suffix_dedup.PIECE)
+    k = int(np.argmin(suffix_dedup.mix64(suffix_dedup._prefix_hash(noise)(at, at + suffix_dedup.PIECE))))
+    anchor = noise[k:k + suffix_dedup.PIECE].tobytes().decode()  # with so low a hash it anchors nearly all windows around it
+    text = "".join("".join(rng.choices("0123456789", k=75)) + anchor for _ in range(8000))
+    cut = [text[a:a + 150] for a in (10 * 100 + 20, 4000 * 100 + 20, 7990 * 100 + 20)]
+    ids = [r[0] for r in spark.range(1, 60).where(f"pmod(xxhash64(id), {suffix_dedup.SAMPLE}) <> 0").limit(4).collect()]
+    rows = [(ids[0], text), *((i, f"<{n}>{c}<{n}>") for n, (i, c) in enumerate(zip(ids[1:], cut)))]
+    got = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()}
+    assert got[ids[0]]["n_removed"] == 0
+    assert [(got[i]["n_removed"], bytes(got[i]["kept"])) for i in ids[1:]] == [(150, f"<{n}><{n}>".encode()) for n in range(3)]
+    assert len(seen) == 1 and seen[0] >= 4 and made.value == seen[0]
+
+
 def test_suffix_as_text_keeps_whole_characters(spark):
     rows = [(1, "x" + "é" * 60), (2, "y" + "é" * 60), (3, None)]
     got = {r["doc_id"]: r["kept"] for r in suffix_dedup.remove_repeats(

@@ -16,7 +16,8 @@ each other; the bytes that they span are its context.
    or more are equal: all but the first repeat.
 3. An anchor found in a large share of documents is dealt over many shards
    (a sample of documents tells which; it only routes). The sorted windows
-   that such shards keep are merged by binary search, bucket by bucket.
+   kept of such anchors, and of shards too large for one suffix array, are
+   merged by binary search, bucket by bucket.
 """
 
 from __future__ import annotations
@@ -327,10 +328,15 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         _sort_contexts, "h long, part long, doc long, lo int, more short, hot boolean, compare boolean"), "suffix-marked")
 
     ask = marked.where("compare")
-    total, hot_total = ask.agg(F.sum(F.col("more") + length), F.sum(F.when(F.col("hot"), F.col("more") + length))).first()
-    shards, buckets = max(1, (total or 0) // SHARD_BYTES), max(1, (hot_total or 0) // (SHARD_BYTES // 2))
+    span = F.col("more") + length
+    shards = max(1, (ask.agg(F.sum(span)).first()[0] or 0) // SHARD_BYTES)
+    shard = f"pmod(xxhash64(h, part), {shards})"
+    # a shard over BLOCK_BYTES sends all its windows to the merge, any other those of hot anchors
+    merge_bytes = ask.groupBy(F.expr(shard)).agg(F.sum(span).alias("n"), F.sum(F.when(F.col("hot"), span)).alias("hot")).agg(
+        F.sum(F.when(F.col("n") > BLOCK_BYTES, F.col("n")).otherwise(F.col("hot")))).first()[0]
+    buckets = max(1, (merge_bytes or 0) // (SHARD_BYTES // 2))
     places = ask.groupBy("doc").agg(F.collect_list(F.struct(
-        "lo", "more", "hot", F.expr(f"pmod(xxhash64(h, part), {shards})").alias("shard"))).alias("at"))
+        "lo", "more", "hot", F.expr(shard).alias("shard"))).alias("at"))
 
     def cut_out(batches):
         for batch, data, starts in pieces(batches, ["doc", "at"], "text"):
