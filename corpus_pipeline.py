@@ -49,9 +49,13 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    leaks = contained_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(keep(leaks, "pipeline-leaks"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Documents that contain no benchmark item; a row without an id is judged by its own text."""
+    hidden, names = _aside(docs)
+    keyed = hidden.withColumn("__key", F.expr("IF(doc_id IS NULL, concat('text ', sha2(text, 256)), cast(doc_id AS string))"))
+    leaks = contained_items(keyed.selectExpr("__key AS doc_id", "text"), table(spark, sf_dir, "benchmark")).selectExpr(
+        "doc_id AS __key").distinct()
+    left = keyed.join(keep(leaks, "pipeline-leaks"), "__key", "left_anti")
+    return left.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,18 @@ def test_pipeline_against_plain_python(spark, tmp_path):
         assert docs.dtypes == frame.dtypes, name
 
 
+def test_leaks_without_an_id_go(spark, tmp_path):
+    rng = random.Random(3)
+    item, other = words(rng, 30), words(rng, 30)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"{other} {item}", 1), (None, other, 2), (None, None, 3), (4, f"{item} {other}", 4), (5, other, 5), (6, None, 6),
+            (None, "", 7), (None, other, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __key long")
+    left = corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path))
+    assert left.dtypes == docs.dtypes
+    assert sorted(r["__key"] for r in left.collect()) == [2, 3, 5, 6, 7, 8]
+
+
 def test_pipeline_on_empty_tables(spark, tmp_path):
     sf = str(tmp_path)
     spark.createDataFrame([], DOCS).write.parquet(f"{sf}/documents.parquet")
