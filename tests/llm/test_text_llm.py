@@ -207,6 +207,27 @@ def test_url_rules_and_trees(spark):
     assert url_filter.judge_urls(df.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_statistics_count_all_labelled_rows(spark, monkeypatch):
+    """One URL repeated more often than the sample is large fills no sample, and suffixes are counted over all rows."""
+    monkeypatch.setattr(url_filter, "MAX_LABELLED", 200)
+    low = spark.range(4000).selectExpr("concat('http://b.net/es/', id) AS url").selectExpr("min_by(url, xxhash64(url)) AS url").first()["url"]
+    urls = [low] * 300 + [f"http://shop{k}.com/a" for k in range(300)] + ["http://x.org/es/1", "http://shop.org/a"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(4)
+    seen, build = [], url_filter.VectorAssembler
+
+    class Seen(build):
+        def transform(self, rows, params=None):
+            seen.append(rows)
+            return super().transform(rows)
+    monkeypatch.setattr(url_filter, "VectorAssembler", Seen)
+    got = url_filter.judge_urls(df, queries.URL_RULES, trees=2, depth=2)
+    assert got.count() == len(urls) and len(seen) == 2  # the sample has both verdicts, so trees are trained
+    trained = seen[0].groupBy("label").count().collect()
+    assert sum(r["count"] for r in trained) == 200 and min(r["count"] for r in trained) > 60
+    shares = {r["suffix"]: r["suffix_blocked"] for r in seen[0].select("suffix", "suffix_blocked").distinct().collect()}
+    assert shares == pytest.approx({"net": (300 + 10) / 320, "com": 10 / 320})
+
+
 def test_leaks_are_found_inside_long_documents(spark):
     item = " ".join(f"Q{i}" for i in range(30))
     words = item.split()

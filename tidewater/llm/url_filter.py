@@ -2,7 +2,7 @@
 
 URLs that a rule decides are the labelled ones; the trees are trained on them
 and judge the rest. Features: lengths, depth, digit ratio, entropy, counts of
-parameters and signs, and statistics of the host's suffix in the sample.
+parameters and signs, and statistics of the host's suffix over all labelled URLs.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import keep
 
-#: Labelled URLs to train on, at most (the lowest hashes).
+#: Labelled rows to train the trees on, at most (the lowest hashes of URL and id).
 MAX_LABELLED = 20_000
 #: Weight of the overall share in a suffix's share of blocked URLs.
 PRIOR = 20
@@ -22,6 +22,10 @@ FEATURES = ["url_length", "host_length", "path_length", "labels", "depth", "digi
             "hyphens", "fragment", "secure", "longest_part", "suffix_length", "suffix_blocked"]
 
 
+#: SQL: the last label of the host.
+SUFFIX = "element_at(split(host, '[.]'), -1)"
+
+
 def split_url(urls: DataFrame, url: str = "url") -> DataFrame:
     """Add ``host`` (A-Z lower-cased) and ``path``; both empty without ``://``."""
     rest = f"IF(locate('://', `{url}`) > 0, substring(`{url}`, locate('://', `{url}`) + 3), '')"
@@ -62,7 +66,7 @@ def features(urls: DataFrame, url: str = "url") -> DataFrame:
         "longest_part": "array_max(transform(split(concat(host, path), '[./]'), x -> length(x)))",
         "suffix_length": "length(suffix)",
     }
-    out = urls.withColumn("suffix", F.expr("element_at(split(host, '[.]'), -1)")).withColumn(
+    out = urls.withColumn("suffix", F.expr(SUFFIX)).withColumn(
         "__chars", F.expr(f"filter(split({u}, ''), x -> x <> '')"))
     return out.select("*", *[F.expr(e).cast("double").alias(n) for n, e in made.items()]).drop("__chars")
 
@@ -77,18 +81,21 @@ def judge_urls(urls: DataFrame, rules: list[tuple[str, str]], id_col: str = "pag
     independent; repeated rows repeat their results.
     """
     ruled = apply_rules(split_url(urls.select(id_col, url), url), rules)
-    picked = ruled.where("ruled IS NOT NULL").withColumn("__order", F.xxhash64(url)).orderBy("__order", url, id_col).limit(MAX_LABELLED)
-    # the sample is bounded, so one partition keeps training the same on any cluster
-    sample = keep(features(picked, url).withColumn("label", F.expr("double(ruled = 'block')")).coalesce(1), "url-sample")
-    total, blocked = sample.agg(F.count("*"), F.sum("label")).first()
+    labelled = ruled.where("ruled IS NOT NULL").withColumn("label", F.expr("double(ruled = 'block')"))
+    # a labelled host ends with that of its rule, so at most one row for each rule
+    counts = keep(labelled.withColumn("suffix", F.expr(SUFFIX)).groupBy("suffix").agg(
+        F.count("*").alias("n"), F.sum("label").alias("blocked")), "url-suffix")
+    total, blocked = counts.agg(F.sum("n"), F.sum("blocked")).first()
     if not total or blocked in (0, total):
         verdict = F.lit("block" if total and blocked == total else "allow")
         return ruled.select(id_col, "host", "path", "rule", F.coalesce("ruled", verdict).alias("verdict"))
     share = blocked / total
-    suffixes = sample.groupBy("suffix").agg(
-        ((F.sum("label") + F.lit(PRIOR * share)) / (F.count("*") + F.lit(PRIOR))).alias("suffix_blocked"))
-    # at most one row for each row of the bounded sample
-    suffixes = F.broadcast(keep(suffixes, "url-suffix"))
+    suffixes = F.broadcast(counts.select("suffix", (
+        (F.col("blocked") + F.lit(PRIOR * share)) / (F.col("n") + F.lit(PRIOR))).alias("suffix_blocked")))
+    # by URL and id, so that the rows of one URL do not come together
+    picked = labelled.withColumn("__order", F.xxhash64(url, id_col)).orderBy("__order", url, id_col).limit(MAX_LABELLED)
+    # the sample is bounded, so one partition keeps training the same on any cluster
+    sample = keep(features(picked, url).coalesce(1), "url-sample")
 
     def ready(rows: DataFrame) -> DataFrame:
         rows = rows.join(suffixes, "suffix", "left").withColumn("suffix_blocked", F.coalesce("suffix_blocked", F.lit(share)))
