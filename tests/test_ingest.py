@@ -206,3 +206,26 @@ def test_quantiles_are_exact(spark):
     got = {r["k"]: (r["lo"], r["hi"]) for r in quantiles(df, ["k"], "v", {"lo": 0.25, "hi": 0.9}, parts=5).collect()}
     for k, vs in data.items():
         assert got[k] == pytest.approx((np.quantile(vs, 0.25), np.quantile(vs, 0.9)))
+
+
+@pytest.mark.parametrize("daily", [False, True])
+def test_wide_parts_joined_are_the_one_table(spark, monkeypatch, daily):
+    """Each part has the step, extent and times of the folder, whatever its own sites have."""
+    from functools import reduce
+
+    from tidewater.plans import organise
+    unit = "DAY" if daily else "MINUTE"
+    at = {"even": {"A": [0, 1, 2, 5], "B": [2, 4, 6], "C": [3], "D": []}, "uneven": {"A": [0, 7], "B": [0, 30, 61], "C": [7]}}
+    rows = [(f, s if s != "B" else None, s, t, float(t)) for f, sites in at.items() for s, times in sites.items() for t in times]
+    rows += [("even", "D", "D", 8, None), ("even", "A", "A", 9, None), ("even", "A", "A", 3, float("nan"))]
+    long = spark.createDataFrame(rows, "folder string, Name string, Plate string, t int, Value double").selectExpr(
+        "folder", "Name", "Plate", f"TIMESTAMP_NTZ'2024-03-01 00:00:00' + t * INTERVAL '1' {unit} AS TimeStamp", "Value")
+    res = organise.Organised(long, None, None, None, [(f, daily) for f in at])
+    ts = "Date" if daily else "Time"
+    monkeypatch.setattr(organise, "name_groups", lambda names: [[n] for n in names])
+    for folder, length in (("even", 7), ("uneven", 4)):
+        one, parts = res.wide(folder), res.wide_parts(folder)
+        assert len(parts) == len(at[folder]) and [p.count() for p in parts] == [length] * len(parts)
+        joined = reduce(lambda a, b: a.join(b, ts, "full"), parts)
+        assert joined.dtypes == one.dtypes
+        assert sorted(map(tuple, joined.collect()), key=lambda r: r[0]) == sorted(map(tuple, one.collect()), key=lambda r: r[0])

@@ -17,9 +17,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timecols import present_sql, q
 from ..operators.gate import wide_eligibility
-from ..operators.pad import na_ts_insert
+from ..operators.joins import materialise
+from ..operators.pad import grid_times, na_ts_insert
 from ..operators.reshape import daily_normalise, name_groups, pivot_names, to_wide
+from ..operators.step import step_table
 from ..operators.summary import data_range_summary
 from ..sinks import writers
 from ..sources.report_csv import long_table_scan, report_csv_scan
@@ -49,19 +52,35 @@ class Organised:
         daily = dict(self.eligible())[folder]
         long = self.long.filter(F.col("folder") == folder)
         names = pivot_names(long.select(F.coalesce(F.col("Name"), F.col("Plate")).alias("n")), "n")
-        return [wide_table(long.filter(F.coalesce(F.col("Name"), F.col("Plate")).isin(part)), daily, part)
-                for part in name_groups(names)]
+        parts = name_groups(names)
+        if len(parts) == 1:
+            return [wide_table(long, daily, names)]
+        times = wide_times(long, daily)
+        return [wide_table(long.filter(F.coalesce(F.col("Name"), F.col("Plate")).isin(part)), daily, part, times)
+                for part in parts]
 
 
-def wide_table(long: DataFrame, daily: bool, names: list | None = None) -> DataFrame:
-    """R1 + R6 + T4 (frame scope) for one folder's long rows (of the sites in ``names``)."""
+def wide_times(long: DataFrame, daily: bool) -> DataFrame:
+    """The times of one folder's wide table: those with a value of any site, and the grid of the folder's step."""
+    rows = daily_normalise(long.select("TimeStamp", "Value"), "TimeStamp", daily)
+    ts = "Date" if daily else "Time"
+    grid = grid_times(step_table(rows, [], ts, ["Value"]), [], ts, daily)
+    return materialise(grid.unionByName(rows.filter(present_sql(["Value"])).select(ts)).distinct()).df
+
+
+def wide_table(long: DataFrame, daily: bool, names: list | None = None, times: DataFrame | None = None) -> DataFrame:
+    """R1 + R6 + T4 (frame scope) for one folder's long rows (of the sites in ``names``,
+    at the ``times`` of the whole folder)."""
     site = F.coalesce(F.col("Name"), F.col("Plate"))
     rows = long.select(site.alias("__site"), "TimeStamp", "Value")
     names = pivot_names(rows, "__site") if names is None else names
     w = to_wide(rows, "TimeStamp", "__site", "Value", names)
     w = daily_normalise(w, "TimeStamp", daily)
     ts = "Date" if daily else "Time"
-    return na_ts_insert(w, [], ts, names)
+    if times is None:
+        return na_ts_insert(w, [], ts, names)
+    j = times.select(F.col(ts).alias("__t")).join(w, F.expr(f"__t <=> {q(ts)}"), "left")
+    return j.selectExpr(f"__t AS {q(ts)}", *[q(n) for n in names])
 
 
 def organise_folder(spark: SparkSession, root: str, params: DataFrame | None = None,
