@@ -2,11 +2,13 @@
 
 import hashlib
 
+import numpy as np
 import public_tokenizers as vocabulary
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidewater.llm import chat_format, decontaminate, html_extract, language_id, queries, toxicity, url_filter
 from tidewater.llm.byte_bpe import (PieceEncoder, StreamDecoder, Transducer, bpe_encode, digests, read_ranks,
@@ -104,6 +106,25 @@ def test_toxicity_finds_the_sentence(spark):
     assert toxicity.toxicity(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_keeps_every_feature_that_differs():
+    """Features are kept by how much they differ, however many there are."""
+    words = [f"w{k:04d}{'abcdefgh'[k % 8]}" for k in range(2400)]
+    groups = [" ".join(words[8 * g:8 * g + 8]) for g in range(300)]
+    toxic = [t for g, t in enumerate(groups) for _ in range(12 if g < 200 else 8)]
+    model = toxicity.fit(toxic + [f"plain text {d}" for d in range(len(toxic))], np.repeat([1, 0], len(toxic)))
+    assert len(model.features) >= 4800  # words, and their stems of five bytes
+
+
+def test_training_samples_take_an_id_once(spark):
+    docs = docs_of(spark, ["a b", "c d", "e f"])
+    docs = docs.unionByName(docs.where("doc_id = 1").withColumn("text", F.lit("c e"))).unionByName(docs).unionByName(docs)
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 0)], "doc_id long, toxic int")
+    texts, toxic = toxicity.training_sample(docs, labels)
+    assert sorted(zip(texts, toxic)) == [("a b", 0), ("c d", 1), ("e f", 0)]
+    x, lang = language_id.training_sample(docs.unionByName(docs.withColumn("doc_id", F.expr("cast(null AS long)"))))
+    assert len(x) == len(lang) == 3 + 4  # three ids, and four texts without one
+
+
 def test_html_extraction(spark):
     pages = {
         1: ('<body><nav><a href=1>Home</a></nav><div class="sidebar"><p>Other things to read in our paper today and tomorrow.</p></div>'

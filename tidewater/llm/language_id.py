@@ -129,12 +129,16 @@ def training_sample(docs: DataFrame, allowed: str = "true") -> tuple[np.ndarray,
     """Vectors and languages of about ``PER_LANGUAGE`` documents for each language.
 
     A document is taken if the hash of its id falls below the share that the
-    language needs, so no language is ordered or gathered.
+    language needs, so no language is ordered or gathered. Ids are drawn, and
+    one row (of the smallest text) stands for each; a text without an id is
+    its own.
     """
     known = docs.select("doc_id", "lang", "text").where(f"lang IS NOT NULL AND text IS NOT NULL AND ({allowed})")
-    count = known.groupBy("lang").agg(F.count("*").alias("n"))
+    known = known.withColumn("doc_id", F.expr("coalesce(cast(doc_id AS long), xxhash64(text))"))
+    count = known.select("lang", "doc_id").distinct().groupBy("lang").agg(F.count("*").alias("n"))
     # one row for each language
     rows = known.join(F.broadcast(count), "lang").where(f"pmod(xxhash64(doc_id), 1000000) < 1e6 * {PER_LANGUAGE} / n")
+    rows = rows.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
 
     def run(batches):
         for batch, data, starts in pieces(batches, [], "text"):
