@@ -939,7 +939,7 @@ def q_ts_melt_dotted(spark, sf):
 
 @register("ts_info_all_sites",
           "with i as (select l_returnflag, min(l_shipdate) as s, max(l_shipdate) as e from lineitem "
-          "where l_quantity > 49 group by 1) select p.o as place, p.site as \"Site\", i.s as \"Start\", i.e as \"End\" "
+          "group by 1) select p.o as place, p.site as \"Site\", i.s as \"Start\", i.e as \"End\" "
           "from (select min(l_orderkey) as o, l_returnflag as site from lineitem group by 2 "
           "union all select n_nationkey, n_name from nation) p left join i on p.site = i.l_returnflag")
 def q_ts_info_all_sites(spark, sf):
@@ -947,8 +947,7 @@ def q_ts_info_all_sites(spark, sf):
     li = table(spark, sf, "lineitem")
     sites = li.groupBy(F.col("l_returnflag").alias("Site")).agg(F.min("l_orderkey").alias("place")).unionByName(
         table(spark, sf, "nation").select(F.col("n_name").alias("Site"), F.col("n_nationkey").alias("place")))
-    some = li.filter("l_quantity > 49").select(F.col("l_returnflag").alias("Site"), "l_shipdate", "l_quantity")
-    info = ts_info(some, "Site", "l_shipdate", "l_quantity", scope="series")
+    info = ts_info(li.select(F.col("l_returnflag").alias("Site"), "l_shipdate", "l_quantity"), "Site", "l_shipdate", "l_quantity", scope="series")
     return keep_all_sites(sites, info).select("place", "Site", "Start", "End")
 
 
