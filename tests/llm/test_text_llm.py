@@ -1,6 +1,7 @@
 """BPE, language, toxicity, extraction, chat, URL and leak operators on small inputs."""
 
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers as vocabulary
@@ -10,8 +11,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat_format, decontaminate, html_extract, language_id, queries, toxicity, url_filter
-from tidewater.llm.byte_bpe import (PieceEncoder, StreamDecoder, Transducer, bpe_encode, digests, read_ranks,
+from tidewater.llm import byte_bpe, chat_format, decontaminate, html_extract, language_id, queries, toxicity, url_filter
+from tidewater.llm.byte_bpe import (PieceEncoder, StreamDecoder, Transducer, DIGESTS, bpe_encode, digest_columns, read_ranks,
                                     utf8_advance)
 
 RANKS = vocabulary.path("byte_bpe_50k.tiktoken")
@@ -30,14 +31,14 @@ def docs_of(spark, texts, lang="en"):
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60))
 def test_bpe_is_that_of_the_public_library(text):
-    ids = _ENCODER.encode(text)
+    ids = _ENCODER.encode(text).tolist()
     assert ids == _PUBLIC.encode_ordinary(text)
     assert _DECODER.decode(ids) == text
 
 
 @pytest.mark.parametrize("text", ["aaab" * 5000, "ab" * 9000, " " * 3000, "日本語" * 2000, "thethethe" * 900])
 def test_bpe_long_pieces(text):
-    assert _ENCODER.encode(text) == _PUBLIC.encode_ordinary(text)
+    assert _ENCODER.encode(text).tolist() == _PUBLIC.encode_ordinary(text)
 
 
 @given(st.binary(max_size=12), st.integers(0, 12))
@@ -49,9 +50,12 @@ def test_decoder_mends_broken_bytes(raw, cut):
 
 def test_bpe_rows(spark):
     texts = [None, "", "Hello  world\n\n", "é\u0000ü", "x" * 50_000, "Hello  world\n\n"]
-    got = {r["doc_id"]: r for r in digests(bpe_encode(docs_of(spark, texts), RANKS, vocabulary.PATTERN)).collect()}
+    made = bpe_encode(docs_of(spark, texts), RANKS, vocabulary.PATTERN, then=digest_columns, columns=DIGESTS)
+    got = {r["doc_id"]: r for r in made.collect()}
+    plain = {r["doc_id"]: r for r in bpe_encode(docs_of(spark, texts), RANKS, vocabulary.PATTERN).collect()}
     for i, t in enumerate(texts):
         ids = _PUBLIC.encode_ordinary(t or "")
+        assert list(got[i]["ids"]) == list(plain[i]["ids"]) == ids and plain[i]["decoded"] == (t or "")
         assert got[i]["n_tokens"] == len(ids)
         assert got[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
@@ -265,3 +269,17 @@ def test_leaks_are_found_inside_long_documents(spark):
     assert got == [(1, 10, 26, 26), (6, 13, 1, 1)] and near < 0.8 * 26
     assert decontaminate.contained_items(docs, items.limit(0)).count() == 0
     assert decontaminate.contained_items(docs.limit(0), items).count() == 0
+
+
+def test_bpe_small_caches_change_nothing(monkeypatch):
+    for name in ("MAX_PIECES", "MAX_STATES", "MAX_FITS", "MAX_SPINES", "MAX_MOVES"):
+        monkeypatch.setattr(byte_bpe, name, 40)
+    with open(RANKS, "rb") as f:
+        transducer = byte_bpe.Transducer(byte_bpe.read_ranks(f.read()))
+    encoder, decoder = byte_bpe.PieceEncoder(transducer, vocabulary.PATTERN), byte_bpe.StreamDecoder(transducer.bytes_of)
+    rng = random.Random(5)
+    for _ in range(60):
+        text = " ".join("".join(rng.choice("abcdeé日") for _ in range(rng.randint(1, 9))) for _ in range(30)) + "ab" * 300
+        ids = encoder.encode(text).tolist()
+        assert ids == _PUBLIC.encode_ordinary(text) and decoder.decode(ids) == text
+        assert len(encoder) <= 20 and len(encoder.older) <= 20 and len(transducer._fits) <= 40

@@ -14,18 +14,21 @@ from __future__ import annotations
 
 import base64
 import gc
-from collections.abc import Iterable
-from itertools import chain
+import hashlib
+import re
+from array import array
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import column_named, pieces
 
-#: Pieces whose encoding a worker remembers, and states it keeps, before it starts afresh.
-MAX_PIECES, MAX_STATES = 250_000, 150_000
+#: What a worker remembers at most: pieces (half of them are dropped at a time), states (up to
+#: twice as many within one very long piece), pairs of tokens, parts of tokens, decoder moves.
+#: With 50,000 tokens that is about 150 MB.
+MAX_PIECES, MAX_STATES, MAX_FITS, MAX_SPINES, MAX_MOVES = 250_000, 150_000, 150_000, 20_000, 100_000
 NO_TOKEN = -1
 
 
@@ -40,16 +43,29 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
-        self.prefixes = {t[:k] for t in ranks for k in range(1, len(t) + 1)}
+        # the prefixes of all tokens as nodes (0: no bytes), by 256 * node + byte, and the token that a node is
+        self._after: dict[int, int] = {}
+        self._token: list[int] = [NO_TOKEN]
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                to = self._after.get(node << 8 | byte)
+                if to is None:
+                    to = self._after[node << 8 | byte] = len(self._token)
+                    self._token.append(NO_TOKEN)
+                node = to
+            self._token[node] = rank
         self._spines: dict[tuple[int, bool], list[tuple[bytes, float]]] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
         self._number: dict[tuple, int] = {}
         self._states: list[tuple] = []
-        self._next: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
-        self._add((b"", ((0, ()),), NO_TOKEN))
+        self._paths: dict[tuple[int, ...], tuple[int, ...]] = {}
+        self._next: dict[int, int] = {}  # by 256 * state + byte; ~state if tokens are emitted on the way
+        self._emits: dict[int, tuple[int, ...]] = {}
+        self._add((NO_TOKEN, 0, ()))
 
     # -- which token may follow which ------------------------------------
     def _last_merge(self, token: bytes) -> tuple[bytes, bytes]:
@@ -76,13 +92,15 @@ class Transducer:
                 until = self.ranks[part]
                 part = self._last_merge(part)[right]
             have.reverse()
+            if len(self._spines) >= MAX_SPINES:
+                self._spines.clear()
             self._spines[(token, right)] = have
         return have
 
     def fits(self, left: int, right: int) -> bool:
         """Whether ``right`` may stand after ``left``: no merge crosses the boundary
         before both are complete (equal ranks merge from the left)."""
-        have = self._fits.get((left, right))
+        have = self._fits.get(left << 32 | right)
         if have is None:
             a, b, i, j = self._spine(left, True), self._spine(right, False), 0, 0
             while True:
@@ -97,14 +115,16 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            self._fits[(left, right)] = have
+            if len(self._fits) >= MAX_FITS:
+                self._fits.clear()
+            self._fits[left << 32 | right] = have
         return have
 
     # -- states ----------------------------------------------------------
-    # A state is (tail, places, before). Places are the live positions in
-    # ascending order: how many bytes of the tail come before the place, and
-    # the tokens between the last emitted one and the place. Before is the
-    # last emitted token, kept only while a place has no token of its own.
+    # A state is (before, node, path, node, path, ...): the live positions in
+    # ascending order, each as the node of the bytes since and the tokens
+    # between the last emitted one and the position. Before is the last
+    # emitted token, kept only while a position has no token of its own.
     def _add(self, state: tuple) -> int:
         number = self._number.get(state)
         if number is None:
@@ -112,78 +132,87 @@ class Transducer:
             self._states.append(state)
         return number
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        tail, places, before = self._states[state]
-        tail += bytes((byte,))
-        live, end = [], None
-        for place in places:
-            rest = tail[place[0]:]
-            if rest not in self.prefixes:
+    def _step(self, number: int, byte: int) -> int:
+        state, after, tokens = self._states[number], self._after, self._token
+        before, live, end = state[0], [], None
+        for k in range(1, len(state), 2):
+            node = after.get(state[k] << 8 | byte)
+            if node is None:
                 continue
-            live.append(place)
-            if end is None:
-                token = self.ranks.get(rest)
-                if token is not None:
-                    left = place[1][-1] if place[1] else before
-                    if left == NO_TOKEN or self.fits(left, token):
-                        end = (len(tail), place[1] + (token,))
+            path = state[k + 1]
+            live += (node, path)
+            if end is None and tokens[node] != NO_TOKEN:
+                token = tokens[node]
+                left = path[-1] if path else before
+                if left == NO_TOKEN or self.fits(left, token):
+                    end = path + (token,)
         if end is None:
             raise ValueError("these ranks do not encode every prefix")
-        live.append(end)
-        cut = live[0][0]
-        paths = [p for _, p in live]
-        low, high = min(paths), max(paths)
-        same = 0
-        while same < len(low) and same < len(high) and low[same] == high[same]:
-            same += 1
-        emitted = low[:same]
-        if emitted:
-            before = emitted[-1]
-        if all(len(p) > same for p in paths):
+        live += (0, end)
+        paths = live[1::2]
+        same, emitted = 0, ()
+        if all(paths):
+            low, high = min(paths), max(paths)
+            most = min(len(low), len(high))
+            while same < most and low[same] == high[same]:
+                same += 1
+            if same:
+                emitted = low[:same]
+                before = emitted[-1]
+                paths = [p[same:] for p in paths]
+        if all(paths):
             before = NO_TOKEN
-        to = self._add((tail[cut:], tuple([(at - cut, p[same:]) for at, p in live]), before))
-        self._next[state << 8 | byte] = (to, emitted)
-        return to, emitted
+        known = self._paths
+        live[1::2] = [known.setdefault(p, p) for p in paths]
+        to = self._add((before, *live))
+        if emitted:
+            to = ~to
+            self._emits[number << 8 | byte] = known.setdefault(emitted, emitted)
+        self._next[number << 8 | byte] = to
+        return to
 
-    def encode(self, piece: bytes) -> tuple[int, ...]:
+    def encode(self, piece: bytes) -> array:
         if len(self._states) > MAX_STATES:
             self._reset()
-        if len(self._fits) > 2 * MAX_STATES:
-            self._fits.clear()
-        state, out, after = 0, [], self._next
+        state, out, after, emits = 0, array("i"), self._next, self._emits
         for byte in piece:
             to = after.get(state << 8 | byte)
             if to is None:
                 if len(self._states) > 2 * MAX_STATES:  # one very long piece
                     here = self._states[state]
                     self._reset()
-                    state, after = self._add(here), self._next
+                    state = self._add(here)
+                    after, emits = self._next, self._emits
                 to = self._step(state, byte)
-            state = to[0]
-            if to[1]:
-                out.extend(to[1])
-        out.extend(self._states[state][1][-1][1])
-        return tuple(out)
+            if to < 0:
+                out.extend(emits[state << 8 | byte])
+                to = ~to
+            state = to
+        out.extend(self._states[state][-1])
+        return out
 
 
 class PieceEncoder(dict):
-    """Text piece to ids; common pieces are encoded once in a worker."""
+    """Text piece to the bytes of its ids (32 bits each); common pieces are encoded once in a worker."""
 
     def __init__(self, transducer: Transducer, pattern: str):
         import regex
         super().__init__()
-        self.transducer, self.split = transducer, regex.compile(pattern).findall
+        self.transducer, self.split, self.older = transducer, regex.compile(pattern).findall, {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.transducer.encode(piece.encode())
-        if len(self) >= MAX_PIECES:
-            self.clear()
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.transducer.encode(piece.encode()).tobytes()
         if len(piece) <= 64:
+            if len(self) >= MAX_PIECES // 2:
+                self.older = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, self.split(text))))
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, self.split(text))), np.int32)
 
 
 # -- decoding ------------------------------------------------------------
@@ -221,14 +250,19 @@ class StreamDecoder:
     def __init__(self, bytes_of: dict[int, bytes]):
         self.bytes_of = bytes_of
         self.moves: dict[bytes, dict[int, tuple[str, bytes]]] = {}
+        self.known = 0
 
     def decode(self, ids: Iterable[int]) -> str:
+        if self.known >= MAX_MOVES:
+            self.moves.clear()
+            self.known = 0
         out, pending = [], b""
         moves = self.moves.setdefault(pending, {})
         for i in ids:
             move = moves.get(i)
             if move is None:
                 move = moves[i] = utf8_advance(pending, self.bytes_of[i])
+                self.known += 1
             out.append(move[0])
             if move[1] is not pending and move[1] != pending:
                 pending = move[1]
@@ -250,41 +284,63 @@ def _worker(content: bytes, pattern: str) -> tuple[PieceEncoder, StreamDecoder]:
     return _workers[key]
 
 
-def bpe_encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digest_columns(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Counts and digests of a batch of ``bpe_encode``, in place of the text."""
+    ids, sizes, digests = batch.column(1), [], []
+    flat, at = ids.values.to_numpy(), ids.offsets.to_numpy()
+    for a, b in zip(at[:-1], at[1:]):
+        sizes.append(int(b - a))
+        digests.append(hashlib.sha256(" ".join(map(str, flat[a:b].tolist())).encode()).hexdigest())
+    decoded = [hashlib.sha256(t.as_py().encode()).hexdigest() for t in batch.column(2)]
+    return pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.string()),
+                                       pa.array(decoded, pa.string())],
+                                      [batch.schema.names[0], "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+#: Columns of ``digest_columns`` behind the id.
+DIGESTS = "ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def bpe_encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+               then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+               columns: str = "ids array<int>, decoded string", take: tuple[str, ...] | None = None) -> DataFrame:
     """Per document: the id, ``ids`` array<int> and ``decoded``, the text decoded from them.
 
     ``ranks`` is the path of a rank file on the driver (under 2 MB for 50,000
     tokens; sent to the workers once as a broadcast), ``pattern`` splits a
-    text into pieces that are encoded one by one. Null text is encoded like
-    an empty one: no ids, decoded to the empty text. Rows are independent:
-    repeated rows give repeated results, other columns are not read. A very
-    long text is one row of one task; its tokens are the memory it takes.
+    text into pieces that are encoded one by one. ``then`` maps each batch of
+    that result to another one, whose columns behind the id are ``columns``,
+    while it is still with the worker; ``take`` names those that go on. Null
+    text is encoded like an empty one: no ids, decoded to the empty text. Rows
+    are independent: repeated rows give repeated results, other columns are
+    not read. A very long text is one row of one task; its tokens are the
+    memory it takes.
     """
     with open(ranks, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches):
         encoder, decoder = _worker(content.value, pattern)
+        collects = gc.isenabled()
         gc.disable()  # states and pieces hold no cycles, and there are many
-        for batch, data, starts in pieces(batches, [id_col], text_col):
-            raw = data.tobytes()
-            ids = [encoder.encode(raw[a:b].decode()) for a, b in zip(starts[:-1], starts[1:])]
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(batch.schema.get_field_index(id_col)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.fromiter(
-                    chain.from_iterable(ids), np.int32, int(offsets[-1])))),
-                pa.array([decoder.decode(x) for x in ids], pa.string()),
-            ], [id_col, "ids", "decoded"])
-        gc.enable()
+        try:
+            for batch, data, starts in pieces(batches, [id_col], text_col):
+                raw = data.tobytes()
+                ids = [encoder.encode(raw[a:b].decode()) for a, b in zip(starts[:-1], starts[1:])]
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+                out = pa.RecordBatch.from_arrays([
+                    batch.column(batch.schema.get_field_index(id_col)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))),
+                    pa.array([decoder.decode(x.tolist()) for x in ids], pa.string()),
+                ], [id_col, "ids", "decoded"])
+                if then:
+                    out = then(out)
+                yield out.select([id_col, *take]) if take else out
+        finally:
+            if collects:
+                gc.enable()
 
     docs = column_named(docs, id_col, text_col)
-    return docs.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, ids array<int>, decoded string")
-
-
-def digests(encoded: DataFrame, id_col: str = "doc_id", *more: str) -> DataFrame:
-    """Counts and digests of the output of ``bpe_encode``, with the columns in ``more``."""
-    return encoded.select(
-        id_col, *more, F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+    kinds = [c.strip() for c in re.split(r",\s*(?![^<]*>)", columns)]
+    kinds = ", ".join(k for k in kinds if not take or k.split()[0] in take)
+    return docs.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {kinds}")

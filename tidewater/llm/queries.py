@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format, language_id, toxicity
-from .byte_bpe import bpe_encode, digests
+from .byte_bpe import DIGESTS, bpe_encode, digest_columns
 from .common import table
 from .decontaminate import ORACLE as LEAKS, contained_items
 from .embedding_dedup import near_duplicate_vectors
@@ -26,7 +26,8 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocabulary
     ranks = vocabulary.path("byte_bpe_50k.tiktoken")
-    return digests(bpe_encode(table(spark, sf_dir, "documents"), ranks, vocabulary.PATTERN))
+    return bpe_encode(table(spark, sf_dir, "documents"), ranks, vocabulary.PATTERN, then=digest_columns, columns=DIGESTS,
+                      take=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
