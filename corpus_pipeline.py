@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import toxicity
-from tidewater.llm.byte_bpe import bpe_encode, digests
+from tidewater.llm.byte_bpe import DIGESTS, bpe_encode, digest_columns
 from tidewater.llm.common import keep, table
 from tidewater.llm.decontaminate import contained_items
 from tidewater.llm.minhash_dedup import near_duplicates
@@ -61,8 +61,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with counts and digests."""
     import public_tokenizers as vocabulary
-    encoded = bpe_encode(docs, vocabulary.path("byte_bpe_50k.tiktoken"), vocabulary.PATTERN)
-    return digests(encoded, "doc_id", "ids")
+    return bpe_encode(docs, vocabulary.path("byte_bpe_50k.tiktoken"), vocabulary.PATTERN, then=digest_columns, columns=DIGESTS)
 
 
 STAGES = [
