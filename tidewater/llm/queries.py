@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, language_id, toxicity
+from . import chat_format, conversation_repair, language_id, phrase_mining, quality_rules, toxicity
 from .byte_bpe import DIGESTS, bpe_encode, digest_columns
 from .common import table
 from .decontaminate import ORACLE as LEAKS, contained_items
@@ -82,10 +82,25 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("containment", F.round("containment", 6))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_near_dedup, op2_byte_bpe, op3_embedding_near_dedup, op4_url_filter, op5_chat_format,
-        op6_language_id, op7_suffix_dedup, op8_html_extract, op9_toxicity, op10_decontaminate)
+        op6_language_id, op7_suffix_dedup, op8_html_extract, op9_toxicity, op10_decontaminate,
+        op11_phrase_collocations, op12_quality_rules, op13_conversation_repair)
 }
 
-ORACLES: dict[str, str] = {"op5_chat_format": chat_format.ORACLE, "op10_decontaminate": LEAKS}
+ORACLES: dict[str, str] = {"op5_chat_format": chat_format.ORACLE, "op10_decontaminate": LEAKS,
+                           "op11_phrase_collocations": phrase_mining.ORACLE, "op12_quality_rules": quality_rules.ORACLE}
