@@ -27,8 +27,8 @@ from .common import column_named, pieces
 
 #: What a worker remembers at most: pieces (half of them are dropped at a time), states (up to
 #: twice as many within one very long piece), pairs of tokens, parts of tokens, decoder moves.
-#: With 50,000 tokens that is about 150 MB.
-MAX_PIECES, MAX_STATES, MAX_FITS, MAX_SPINES, MAX_MOVES = 250_000, 150_000, 150_000, 20_000, 100_000
+#: With 50,000 tokens that is about 300 MB.
+MAX_PIECES, MAX_STATES, MAX_FITS, MAX_SPINES, MAX_MOVES = 500_000, 300_000, 300_000, 20_000, 100_000
 NO_TOKEN = -1
 
 
