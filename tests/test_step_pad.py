@@ -3,8 +3,9 @@
 from datetime import datetime, timedelta
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import d, ts
 from tidewater.operators.pad import na_ts_insert
@@ -132,12 +133,70 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_step_chunks_are_ranges_and_carry_no_arrays(spark):
-    """Times are range-partitioned on (series, time); one row per chunk goes on, no gap is collected."""
+def test_readings_are_read_once_in_ranges(spark):
+    """Times are range-partitioned on (series, time), and the step needs no second look at the readings."""
     from tidewater.operators import step as S
-    df = spark.createDataFrame([("a", i * 60_000_000) for i in range(50)], "site string, __t long")
-    plan = plan_of(S._chunks(df, ["site"], 3, "min(__gap) AS gmin"))
-    assert "rangepartitioning(site" in plan and "collect_" not in plan and "array" not in plan.lower()
+    df = spark.range(50).selectExpr("IF(id < 0, 'b', 'a') AS site", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id AS INT), 0) AS t",
+                                    "CAST(id AS DOUBLE) AS v")
+    chunks = S.chunk_table(df, ["site"], "t", ["v"], parts=3)
+    assert "rangepartitioning(site" in plan_of(chunks)
+    assert [r["holes"] for r in chunks.collect()] == [[]] * chunks.count()
+    seen = spark.sparkContext.accumulator(0)
+    counted = df.mapInArrow(lambda batches: (seen.add(b.num_rows) or b for b in batches), df.schema)
+    assert [r["step_s"] for r in S.ts_step(counted, ["site"], "t", ["v"]).collect()] == [60]
+    assert seen.value == 50
+
+
+def test_chunk_rows_whatever_the_batches(spark):
+    """The table is the same if the readings come in batches of a few rows."""
+    rng_rows = [(f"s{k % 3}", None if k % 11 == 0 else (k * 7919) % 500 * 60, 1.0 if k % 5 else None) for k in range(400)]
+    df = spark.createDataFrame([(a, m, v) for a, m, v in rng_rows], "site string, m long, v double").selectExpr(
+        "IF(site = 's2', NULL, site) AS site", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(m AS DECIMAL(18, 6))) AS t", "v")
+    want = sorted(map(str, step_table(df, ["site"], "t", ["v"], parts=1).df.collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for parts in (1, 5):
+            assert sorted(map(str, step_table(df, ["site"], "t", ["v"], parts=parts).df.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 30)), min_size=1, max_size=40), st.sampled_from([1, 3]))
+def test_holes_equal_the_grid_join(spark, points, parts):
+    """Padding by holes gives what the join with the whole grid gives."""
+    from tidewater.operators import pad as P
+    df = spark.createDataFrame([(s, m, float(m)) for s, m in points], "site string, m long, v double").selectExpr(
+        "site", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(m * IF(site = 'a', 1, 5) AS INT), 0) AS t", "v")
+    table = step_table(df, ["site"], "t", ["v"], parts=parts)
+    by_grid = P._on_grid(df, table, ["site"], "t", ["v"], False, 7)
+    kept = P.step_table
+    P.step_table = lambda *a, **k: step_table(*a, **k, parts=parts)
+    try:
+        by_holes = na_ts_insert(df, ["site"], "t", ["v"], points_per_piece=7)
+    finally:
+        P.step_table = kept
+    assert sorted(map(str, by_holes.collect())) == sorted(map(str, by_grid.collect()))
+
+
+def test_a_series_read_at_two_rates_is_padded(spark):
+    """Daily for a while, then hourly: the daily part has no two neighbouring points of the grid."""
+    df = spark.range(40).selectExpr("'a' AS site", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval("
+                                    "0, CAST(IF(id < 20, 24 * id, 24 * 19 + id - 19) AS INT), 0, 0) AS t", "1.0 AS v")
+    df = df.unionByName(df.filter("t < TIMESTAMP_NTZ'2024-01-10 00:00:00'").withColumn("site", F.lit("b")))
+    out = na_ts_insert(df, ["site"], "t", ["v"])
+    n = {r["site"]: (r["count"], r["there"]) for r in out.groupBy("site").agg(F.count("*").alias("count"), F.count("v").alias("there")).collect()}
+    assert n == {"a": (24 * 19 + 21, 40), "b": (9, 9)}
+
+
+def test_a_long_hole_is_spread_over_tasks(spark):
+    """Ten million missing points between two readings come from many tasks; the readings are not moved."""
+    df = spark.createDataFrame([("a", ts("2024-01-01 00:00"), 1.0), ("a", ts("2024-01-01 00:01"), 2.0)], SCHEMA)
+    df = df.unionByName(spark.sql("SELECT 'a' AS site, TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 10000001, 0) AS t, 3.0D AS v"))
+    out = na_ts_insert(df, ["site"], "t", ["v"])
+    per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 10_000_002 and len([n for n in per_task if n > 1_000_000]) > 2
+    assert "Outer" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_validate_order_check_stitches_chunks(spark):
@@ -243,7 +302,7 @@ def test_padding_join_is_hashed_on_series_and_time(spark):
     """The grid join shuffles on (series, time), so a hot series spreads over all tasks."""
     import re
     rows = [("a", ts("2024-01-01 00:00"), 1.0), ("a", ts("2024-01-01 02:00"), 2.0)]
-    out = na_ts_insert(spark.createDataFrame(rows, SCHEMA), ["site"], "t", ["v"])
+    out = na_ts_insert(spark.createDataFrame(rows, SCHEMA), ["site"], "t", ["v"], step_s=3600)
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert "FullOuter" in plan or "full" in plan.lower()
     out.collect()

@@ -15,13 +15,13 @@ gaps need an order, but ordering a whole series in one task does not scale.
 The distinct times of each series (combined map-side, so a flood of equal
 times is one row) are range-partitioned on (series, time); sampled
 boundaries make every partition about the same size, wherever readings
-crowd. A partition's share of a series is a chunk; ``lag`` runs inside
-chunks, and one row per chunk (bounds, smallest gap) goes on. Chunk edges
-are stitched on that small table, whose size is the number of partitions
-plus the number of series. That gives the smallest gap ``m`` of each series.
-Every gap is a multiple of ``m`` exactly if every time is a multiple of
-``m`` after the first one, so the check is a second, map-only pass over the
-readings with a map-side combined ``bool_and``; no gap is ever collected.
+crowd. A run of times of one series inside a partition is a chunk, and goes
+on as one mergeable row: bounds, number of readings, smallest gap, greatest
+common divisor of its gaps (which no built-in aggregate gives, hence Arrow and
+numpy there), and its gaps above the smallest. Chunk edges are stitched on
+that small table. All gaps are multiples of the smallest one of the series,
+``m``, exactly if the divisors of all chunks and all edges are, so the readings
+are read once.
 
 Expressions are written as SQL text: one JVM call per expression keeps
 plan construction cheap on the driver.
@@ -29,6 +29,10 @@ plan construction cheap on the driver.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,66 +62,117 @@ def _grouped(df: DataFrame, keys, *aggs: str) -> DataFrame:
     return df.groupBy(*[F.col(q(k)) for k in keys]).agg(*exprs) if keys else df.agg(*exprs)
 
 
-def _chunks(times: DataFrame, keys, parts: int, gap_agg: str) -> DataFrame:
-    """One row per chunk: keys, __chunk, cmin, cmax, ``gap_agg`` over its gaps
-    (column ``__gap``) and ``edge``, the gap to the chunk before."""
-    K = ", ".join(_kq(keys))
-    ranged = times.repartitionByRange(parts, *[F.col(q(k)) for k in keys], "__t").withColumn(
-        "__chunk", F.spark_partition_id())
-    part = f"PARTITION BY {K + ', ' if K else ''}__chunk ORDER BY __t"
-    gaps = ranged.selectExpr("*", f"__t - lag(__t) OVER ({part}) AS __gap")
-    rows = _grouped(gaps, [*keys, "__chunk"], "min(__t) AS cmin", "max(__t) AS cmax", gap_agg)
-    order = f"PARTITION BY {K} ORDER BY __chunk" if K else "ORDER BY __chunk"
-    return rows.selectExpr("*", f"cmin - lag(cmax) OVER ({order}) AS edge")
+def _same_as_before(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    """Rows whose ``columns`` equal those of the row before (from the second row on)."""
+    same = np.ones(max(batch.num_rows - 1, 0), bool)
+    for c in columns:
+        col = batch.column(batch.schema.get_field_index(c))
+        a, b = col.slice(1), col.slice(0, max(batch.num_rows - 1, 0))
+        try:
+            equal = pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False)
+        except pa.ArrowNotImplementedError:  # nested keys: every row is a chunk
+            return np.zeros_like(same)
+        same &= equal | (a.is_null().to_numpy(zero_copy_only=False) & b.is_null().to_numpy(zero_copy_only=False))
+    return same
+
+
+_CHUNK = "cmin long, cmax long, n long, gmin long, divisor long, holes array<struct<a: long, b: long>>"
+
+
+def _chunk_rows(keys: list[str], least: int):
+    """Rows in order of keys and time (``__t``, occurring ``__c`` times) to one row for each run of
+    equal keys. Gaps under ``least`` do not count."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            first = np.flatnonzero(np.concatenate(([True], ~_same_as_before(batch, keys))))
+            size = np.diff(np.concatenate((first, [batch.num_rows])))
+            time = batch.column(batch.schema.get_field_index("__t"))
+            there = ~time.is_null().to_numpy(zero_copy_only=False)
+            t = pc.fill_null(time, 0).to_numpy(zero_copy_only=False)
+            c = np.where(there, batch.column(batch.schema.get_field_index("__c")).to_numpy(zero_copy_only=False), 0)
+            run_of = np.repeat(np.arange(len(first)), size)
+            gap = np.zeros(batch.num_rows, np.int64)  # to the time before in the run
+            gap[1:] = np.where((run_of[1:] == run_of[:-1]) & there[1:] & there[:-1], t[1:] - t[:-1], 0)
+            gap[gap < max(least, 1)] = 0
+            top = np.iinfo(np.int64).max
+            gmin = np.minimum.reduceat(np.where(gap > 0, gap, top), first)
+            divisor = np.gcd.reduceat(gap, first)
+            last = first + size - 1
+            # a missing time sorts first, and alone
+            low = np.minimum(first + ~there[first], last)
+            wide = np.flatnonzero(gap > gmin[run_of])
+            holes = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(run_of[wide], np.arange(len(first) + 1)).astype(np.int32)),
+                pa.StructArray.from_arrays([pa.array(t[np.maximum(wide - 1, 0)]), pa.array(t[wide])], ["a", "b"]))
+            at, some, none = pa.array(first), there[last], gmin == top
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(batch.schema.get_field_index(k)).take(at) for k in keys],
+                 pa.array(t[low], mask=~some), pa.array(t[last], mask=~some), pa.array(np.add.reduceat(c, first)),
+                 pa.array(gmin, mask=none), pa.array(divisor, mask=none), holes],
+                [*keys, "cmin", "cmax", "n", "gmin", "divisor", "holes"])
+
+    return run
+
+
+def chunk_table(df: DataFrame, keys, ts: str, values, least_gap: int = 0, parts: int | None = None) -> DataFrame:
+    """One row per chunk (see above): keys, cmin, cmax, n, gmin, divisor, holes, and ``before``,
+    the last time of the chunk before. A chunk without present readings has n = 0."""
+    keys = list(keys)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    times = _grouped(df.selectExpr(*_kq(keys), f"CASE WHEN {present_sql(values)} THEN {micros_sql(ts)} END AS __t"),
+                     [*keys, "__t"], "count(1) AS __c")
+    order = [*[F.col(q(k)) for k in keys], F.col("__t")]
+    ranged = times.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # plain names on the way: a key may hold any character
+    plain = [f"__k{i}" for i in range(len(keys))]
+    schema = T.StructType([T.StructField(n, df.schema[k].dataType) for n, k in zip(plain, keys)]
+                          + T._parse_datatype_string(_CHUNK).fields)
+    rows = ranged.selectExpr(*[f"{q(k)} AS {n}" for n, k in zip(plain, keys)], "__t", "__c").mapInArrow(
+        _chunk_rows(plain, least_gap), schema)
+    rows = rows.selectExpr(*[f"{n} AS {q(k)}" for n, k in zip(plain, keys)], "cmin", "cmax", "n", "gmin", "divisor", "holes")
+    over = f"(PARTITION BY {', '.join(_kq(keys))} ORDER BY cmin)" if keys else "(ORDER BY cmin)"
+    return rows.selectExpr("*", f"lag(cmax) OVER {over} AS before")
+
+
+class StepTable(SmallTable):
+    """The step table of a frame's series, with the chunks that it comes from."""
+
+    def __init__(self, df: DataFrame, rows: int, chunks: DataFrame):
+        super().__init__(df, rows)
+        self.chunks = chunks
+
+    def release(self) -> None:
+        super().release()
+        self.chunks.unpersist()
 
 
 def step_table(df: DataFrame, keys=(), ts: str | None = None, values=None,
                min_step_s: int = 60, ignore_subthreshold: bool = False,
-               parts: int | None = None) -> SmallTable:
+               parts: int | None = None) -> StepTable:
     """Materialised per-series table: keys, n, t0, t1, m_us, step_us, step_s.
 
     ``parts`` is the number of range partitions (default: the session's
-    shuffle partitions). The readings are read twice: once for the distinct
-    times (bounds and smallest gap), once for the check.
+    shuffle partitions). The readings are read once.
     """
     keys = list(keys)
     ts, values = discover_roles(df, keys, ts, values)
     thr = int(min_step_s) * US_PER_SECOND
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    p = present_sql(values)
-    times = _grouped(df.selectExpr(*_kq(keys), f"CASE WHEN {p} THEN {micros_sql(ts)} END AS __t"),
-                     [*keys, "__t"], "count(1) AS __c")
-    ext = _grouped(times, keys, "coalesce(sum(CASE WHEN __t IS NOT NULL THEN __c END), 0) AS n",
-                   "min(__t) AS t0", "max(__t) AS t1")
-    distinct = times.filter("__t IS NOT NULL").drop("__c")
-    usable = f"__gap >= {thr}" if ignore_subthreshold else "true"
-    chunks = _chunks(distinct, keys, parts, f"min(CASE WHEN {usable} THEN __gap END) AS gmin")
-    edge = f"CASE WHEN {usable.replace('__gap', 'edge')} THEN edge END"
-    smallest = _grouped(chunks, keys, f"least(min(gmin), min({edge})) AS m_us")
-    series = materialise(join_keyed(ext, smallest, keys, "left"))
-
-    def known(*cols: str) -> SmallTable:
-        return SmallTable(series.df.select(*[F.col(q(k)) for k in keys], *cols), series.rows)
-
-    if ignore_subthreshold:
-        # gaps below the threshold do not count, so the gaps themselves are checked
-        fits = f"__gap IS NULL OR __gap < {thr} OR pmod(__gap, m_us) = 0"
-        again = _chunks(join_keyed(distinct, known("m_us"), keys), keys, parts, f"bool_and(coalesce({fits}, true)) AS ok")
-        again = join_keyed(again, known("m_us"), keys)
-        checks = _grouped(again, keys, f"bool_and(ok AND coalesce({fits.replace('__gap', 'edge')}, true)) AS __ok")
-    else:
-        present = df.filter(p).selectExpr(*_kq(keys), f"{micros_sql(ts)} AS __t")
-        checks = _grouped(join_keyed(present, known("t0", "m_us"), keys), keys, "bool_and(coalesce(pmod(__t - t0, m_us) = 0, true)) AS __ok")
-    out = join_keyed(series.df, SmallTable(checks, series.rows), keys, "left")
+    chunks = chunk_table(df, keys, ts, values, thr if ignore_subthreshold else 0, parts).persist(StorageLevel.MEMORY_AND_DISK)
+    edge = f"CASE WHEN cmin - before >= {thr if ignore_subthreshold else 1} THEN cmin - before END"
+    over = f"(PARTITION BY {', '.join(_kq(keys))})" if keys else "()"
+    rows = chunks.selectExpr(*_kq(keys), "cmin", "cmax", "n", "divisor", f"{edge} AS edge", f"least(gmin, {edge}) AS gap").selectExpr(
+        "*", f"min(gap) OVER {over} AS m")
+    series = _grouped(rows, keys, "coalesce(sum(n), 0) AS n", "min(cmin) AS t0", "max(cmax) AS t1", "min(m) AS m_us",
+                      "coalesce(bool_and(coalesce(pmod(divisor, m) = 0, true) AND coalesce(pmod(edge, m) = 0, true)), true) AS __ok")
     # no usable gap: NULL for fewer than two times, else -1 (nothing at or
     # above the threshold to call a step)
     step = (f"CASE WHEN m_us IS NULL THEN CASE WHEN t1 > t0 THEN CAST(-1 AS BIGINT) END "
-            f"WHEN m_us < {thr} OR NOT coalesce(__ok, false) THEN CAST(-1 AS BIGINT) ELSE m_us END")
-    out = out.selectExpr(*_kq(keys), "n", "t0", "t1", "m_us", f"{step} AS step_us").selectExpr(
-        "*", f"CASE WHEN step_us > 0 THEN step_us div {US_PER_SECOND} ELSE step_us END AS step_s")
-    out = materialise(out)
-    series.release()
-    return out
+            f"WHEN m_us < {thr} OR NOT __ok THEN CAST(-1 AS BIGINT) ELSE m_us END")
+    out = materialise(series.selectExpr(*_kq(keys), "n", "t0", "t1", "m_us", f"{step} AS step_us").selectExpr(
+        "*", f"CASE WHEN step_us > 0 THEN step_us div {US_PER_SECOND} ELSE step_us END AS step_s"))
+    return StepTable(out.df, out.rows, chunks)
 
 
 def ts_step(df: DataFrame, keys=(), ts: str | None = None, values=None,
