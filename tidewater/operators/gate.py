@@ -2,8 +2,8 @@
 
 Checks in order; the first failure is the reason:
 
-1. ``duplicate_site``: fewer distinct plates than files (lists the files
-   whose plate occurs in more than one file);
+1. ``duplicate_site``: fewer distinct plates than files (``duplicate_files``
+   lists those whose plate occurs in more than one file);
 2. ``mixed_unit_or_parameter``: more than one distinct (Unit, Parameter),
    NULL counting as a value;
 3. ``insufficient_data`` (a single distinct time) or ``irregular_or_coarse``
@@ -13,7 +13,7 @@ Checks in order; the first failure is the reason:
    plates sharing a name (or several unnamed plates) would merge.
 
 Everything is a ``groupBy`` aggregate or the step table: one row per
-folder comes out; no folder's readings are gathered anywhere.
+folder comes out; neither a folder's readings nor its files are gathered.
 """
 
 from __future__ import annotations
@@ -26,14 +26,23 @@ from .joins import SmallTable, join_keyed, materialise
 from .step import step_table
 
 
+def duplicate_files(long: DataFrame, folder: str = "folder", file: str = "CSV", plate: str = "Plate") -> DataFrame:
+    """Rows ``folder, plate, file`` of the plates that occur in more than one file of their folder."""
+    pf = long.select(folder, plate, file).distinct()
+    many = pf.groupBy(folder, plate).agg(F.count(file).alias("__nf")).filter("__nf > 1").drop("__nf")
+    cond = f"__f <=> {q(folder)} AND __p <=> {q(plate)}"
+    many = many.selectExpr(f"{q(folder)} AS __f", f"{q(plate)} AS __p")
+    return pf.join(many, F.expr(cond), "left_semi")
+
+
 def wide_eligibility(long: DataFrame, files: DataFrame | None = None, folder: str = "folder",
                      file: str = "CSV", plate: str = "Plate", name: str = "Name",
                      unit: str = "Unit", parameter: str = "Parameter",
                      ts: str = "TimeStamp") -> DataFrame:
-    """Columns: folder, eligible, reason, dup_files (sorted array), step_s, is_daily.
+    """Columns: folder, eligible, reason, n_dup_files, step_s, is_daily.
 
     The long table is read once for the per-file attributes (a small table:
-    one row per file and attribute combination, materialised) and twice by
+    one row per file and attribute combination, materialised) and once by
     the step detection; every check is derived from those small tables.
     """
     midnight = f"bool_and(pmod({micros_sql(ts)}, 86400000000) = 0)"
@@ -47,9 +56,8 @@ def wide_eligibility(long: DataFrame, files: DataFrame | None = None, folder: st
         F.count(F.lit(1)).alias("__files"))
     pf = a.select(folder, plate, file).distinct()
     plates = pf.select(folder, plate).distinct().groupBy(folder).agg(F.count(F.lit(1)).alias("__plates"))
-    multi = (pf.groupBy(folder, plate).agg(F.count(file).alias("__nf"), F.collect_set(file).alias("__fs"))
-               .filter("__nf > 1")
-               .groupBy(folder).agg(F.sort_array(F.flatten(F.collect_list("__fs"))).alias("dup_files")))
+    multi = (pf.groupBy(folder, plate).agg(F.count(file).alias("__nf")).filter("__nf > 1")
+               .groupBy(folder).agg(F.sum("__nf").alias("n_dup_files")))
     up = a.select(folder, unit, parameter).distinct().groupBy(folder).agg(F.count(F.lit(1)).alias("__up"))
     nm = (a.select(folder, plate, "__nm").distinct().groupBy(folder)
            .agg(F.countDistinct("__nm").alias("__names"), F.count(F.lit(1)).alias("__pl2")))
@@ -67,6 +75,6 @@ def wide_eligibility(long: DataFrame, files: DataFrame | None = None, folder: st
               "WHEN step_s = -1 OR step_s > 86400 THEN 'irregular_or_coarse' "
               "WHEN __names < __pl2 THEN 'name_collision' END")
     out = g.selectExpr(q(folder), f"{reason} AS reason",
-                       "coalesce(dup_files, CAST(array() AS ARRAY<STRING>)) AS dup_files", "step_s",
+                       "coalesce(n_dup_files, 0L) AS n_dup_files", "step_s",
                        "coalesce(step_s = 86400 AND __mid, false) AS is_daily")
-    return out.selectExpr(q(folder), "reason IS NULL AS eligible", "reason", "dup_files", "step_s", "is_daily")
+    return out.selectExpr(q(folder), "reason IS NULL AS eligible", "reason", "n_dup_files", "step_s", "is_daily")

@@ -9,6 +9,7 @@ summation order and date typing do not affect the comparison.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from ..operators.pad import na_ts_insert
 from ..operators.resample import raw_series, resample
 from ..operators.reshape import to_wide, ts_2_list, ts_melt, unpivot_long
 from ..operators.clean import drop_any_null, trim_ts, value_present
-from ..operators.gate import wide_eligibility
+from ..operators.gate import duplicate_files, wide_eligibility
 from ..operators.joins import keep_all_sites, select_listed
 from ..operators.reshape import concat_frames
 from ..operators.step import is_ts_daily, ts_step
@@ -392,7 +393,7 @@ def q_trim_ts(spark, sf):
 
 from .fixtures import DEMO_SQL, PLATES, params_dim, plates_dim, render_demo  # noqa: E402
 from .organise import long_table, organise_folder  # noqa: E402
-from ..sources.report_csv import report_csv_scan, report_files, report_rejects  # noqa: E402
+from ..sources.report_csv import report_csv_scan, report_files, report_order, report_rejects  # noqa: E402
 
 _DEMO = "with " + DEMO_SQL
 
@@ -477,9 +478,7 @@ select folder, reason is null as eligible, reason, n_dup_files, step_s, is_daily
 @register("wide_eligibility", _GATE_SQL)
 def q_wide_eligibility(spark, sf):
     """T5: per-folder verdict (each reason appears once in the demo folders)."""
-    gate = _organised(spark, sf).gate
-    return gate.select("folder", "eligible", "reason", F.size("dup_files").cast("long").alias("n_dup_files"),
-                       "step_s", "is_daily")
+    return _organised(spark, sf).gate.select("folder", "eligible", "reason", "n_dup_files", "step_s", "is_daily")
 
 
 def _wide_sql(folder: str, tcol: str, daily: bool) -> str:
@@ -528,7 +527,7 @@ def q_ts_validate_dups(spark, sf):
 
 from ..operators.joins import enrich  # noqa: E402
 from ..session import scratch_path  # noqa: E402
-from ..sinks.writers import write_dim_json  # noqa: E402
+from ..sinks.writers import write_dim_json, write_lake  # noqa: E402
 from ..sources.dims import dim_from_catalog, dim_from_json_map  # noqa: E402
 
 
@@ -672,6 +671,26 @@ def q_extract_manifest(spark, sf):
     return extract_job(readings, manifest, _specs(spark))
 
 
+def _by_supplier(spark, sf):
+    """Readings of the suppliers, and a manifest of those of two regions."""
+    sup, nat = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    manifest = sup.join(nat.filter("n_regionkey IN (1, 2)"), sup["s_nationkey"] == nat["n_nationkey"]).select(
+        F.col("s_suppkey").cast("string").alias("uid"),
+        F.when(F.col("n_regionkey") <= 1, "daily_sum").otherwise("monthly_mean").alias("spec"), F.col("n_name").alias("folder"))
+    readings = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("uid"), F.col("l_shipdate").alias("TimeStamp"), F.col("l_quantity").alias("Value"))
+    return readings, manifest
+
+
+@register("extract_landed", _MANIFEST_SQL.replace("on s_nationkey = n_nationkey)", "on s_nationkey = n_nationkey where n_regionkey in (1, 2))"))
+def q_extract_landed(spark, sf):
+    """M1 + K1: a selection of suppliers extracted from a lake by series bucket, landed by folder and read back."""
+    lake, out = scratch_path(spark, "lake"), scratch_path(spark, "extract")
+    readings, manifest = _by_supplier(spark, sf)
+    write_lake(readings, lake)
+    return extract_job(spark.read.parquet(lake), manifest, _specs(spark), out=out)
+
+
 @register("long_record_filter",
           f"with d as (select p_brand, date_trunc('day', l_shipdate) as ts, sum({nn('l_quantity')}) as v "
           "from lineitem join part on l_partkey = p_partkey group by all), "
@@ -734,7 +753,7 @@ def q_hourly_2_daily_udaf(spark, sf):
 # ---------------------------------------------------------------- A12, S5, K1
 
 from ..operators.summary import distinct_count  # noqa: E402
-from ..sinks.writers import (register_tables, write_dim_csv, write_long_by_folder,  # noqa: E402
+from ..sinks.writers import (register_tables, save_table, write_dim_csv, write_long_by_folder, write_per_site,  # noqa: E402
                              write_long_table, write_summary_tsv, write_wide)
 from ..sources.dims import dim_from_csv  # noqa: E402
 from ..functions.timecols import nan_to_null_sql  # noqa: E402
@@ -861,14 +880,62 @@ def q_sql_tables(spark, sf):
     return spark.sql("SELECT folder, Name, count(*) AS n, avg(Value) AS mean FROM df_long GROUP BY folder, Name")
 
 
+@register("saved_tables",
+          "select event_type, count(*) as n, min(ts) as first, max(ts) as last, " + r6("sum(value)", "total") + " from events group by 1")
+def q_saved_tables(spark, sf):
+    """K6: a saved table, bucketed by series and replaced once, grouped by series."""
+    name, path = f"readings_{uuid.uuid4().hex[:8]}", scratch_path(spark, "tables")
+    e = events(spark, sf).select("event_type", "ts", "value")
+    save_table(e.filter("value IS NULL"), name, "event_type", "ts", path)
+    save_table(e, name, "event_type", "ts", path)
+    return spark.sql(f"SELECT event_type, count(*) AS n, min(ts) AS first, max(ts) AS last, sum(value) AS total FROM {name} GROUP BY event_type")
+
+
+@register("per_site_roundtrip", ORACLES["ts_2_list"])
+def q_per_site_roundtrip(spark, sf):
+    """One padded series per site, written to a folder for each site and read back."""
+    path = scratch_path(spark, "sites")
+    made = QUERIES["ts_2_list"](spark, sf)
+    write_per_site(made, path, "Site", "ts", rows_per_file=1_000)
+    return spark.read.schema(made.schema).parquet(path).select("Site", "ts", "Value")
+
+
+@register("folder_rewrite",
+          "select event_type as folder, cast(user_id as varchar) as uid, strftime(ts, '%Y-%m-%d %H:%M:%S') as \"TimeStamp\", "
+          + r6("case when event_type = 'click' then -1 * value else value end", "Value") + " from events")
+def q_folder_rewrite(spark, sf):
+    """K1: the long table by folder, of which one folder is written again."""
+    path = scratch_path(spark, "long")
+    long = table(spark, sf, "events").selectExpr("event_type AS folder", "CAST(user_id AS STRING) AS uid", "ts AS TimeStamp", "value AS Value")
+    write_long_by_folder(long, path)
+    write_long_by_folder(long.filter("folder = 'click'").withColumn("Value", -F.col("Value")), path, mode="folders")
+    return spark.read.schema("uid string, TimeStamp string, Value double, folder string").parquet(path)
+
+
+@register("report_order",
+          "with e as (select event_type, ts, lag(ts) over (partition by event_type order by event_id) as before from events) "
+          "select event_type as \"CSV\", count(*) as out_of_order from "
+          "(select event_type, date_trunc('second', ts) as t, date_trunc('second', before) as b from e) where t < b group by 1")
+def q_report_order(spark, sf):
+    """T1 + O3: report files whose readings stand in order of arrival, not of time."""
+    root, tmp = scratch_path(spark, "order") + "/f", scratch_path(spark, "order-by-file")
+    e = table(spark, sf, "events").selectExpr("event_type AS file", "event_id", "concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ',', "
+                                     "coalesce(CAST(value AS STRING), '')) AS line")
+    head = e.select("file").distinct().selectExpr("file", "-1L AS event_id", "concat('TimeStamp,Discharge@', file) AS line")
+    e.unionByName(head).repartition("file").sortWithinPartitions("file", "event_id").select(
+        "file", F.col("line").alias("value")).write.partitionBy("file").text(tmp)
+    _flatten(spark, tmp, root)
+    found = report_order(spark, root[: -len("/f")])
+    return found.select(F.regexp_replace("CSV", "[.]csv$", "").alias("CSV"), "out_of_order")
+
+
 @register("gate_dup_files",
           _DEMO + "select folder, uid from demo where (folder, \"Plate\") in (select (folder, \"Plate\") from "
           "(select distinct folder, \"Plate\", uid from demo) group by folder, \"Plate\" having count(*) > 1) group by all")
 def q_gate_dup_files(spark, sf):
     """O5 + T5: the files whose plate occurs in more than one file of their folder."""
-    gate = _organised(spark, sf).gate
-    return gate.select("folder", F.explode("dup_files").alias("f")).select(
-        "folder", F.regexp_extract("f", "uid=([^/]+)/", 1).alias("uid"))
+    return duplicate_files(_organised(spark, sf).long).select(
+        "folder", F.regexp_extract("CSV", "uid=([^/]+)/", 1).alias("uid"))
 
 
 # ---------------------------------------------------------------- ingest faults
@@ -993,11 +1060,17 @@ def q_ts_validate_schema(spark, sf):
 
 
 @register("gate_insufficient",
-          "select event_type as folder, false as eligible, 'insufficient_data' as reason from events group by 1")
+          "select k as folder, count(distinct ts) > 1 as eligible, case when count(distinct ts) = 1 then 'insufficient_data' end as reason "
+          "from (select event_type || '-hourly' as k, date_trunc('hour', ts) as ts from events where value is not null "
+          "union all select event_type || '-once', max(ts) from events group by 1) group by 1")
 def q_gate_insufficient(spark, sf):
-    """T5: a folder with a single time cannot become a wide table."""
-    e = events(spark, sf).groupBy(F.col("event_type").alias("folder")).agg(F.max("ts").alias("TimeStamp"), F.max("value").alias("Value"))
-    long = e.selectExpr("folder", "TimeStamp", "Value", "'a.csv' AS CSV", "folder AS Plate", "folder AS Name", "'m' AS Unit", "'x' AS Parameter")
+    """T5: a folder with a single time cannot become a wide table, the hourly folder next to it can."""
+    e = events(spark, sf)
+    hourly = resample(e, ["event_type"], "ts", "value", "hour", "mean").filter("value IS NOT NULL")
+    once = e.groupBy("event_type").agg(F.max("ts").alias("ts"), F.max("value").alias("value"))
+    both = hourly.withColumn("folder", F.concat("event_type", F.lit("-hourly"))).unionByName(
+        once.withColumn("folder", F.concat("event_type", F.lit("-once"))))
+    long = both.selectExpr("folder", "ts AS TimeStamp", "value AS Value", "'a.csv' AS CSV", "folder AS Plate", "folder AS Name", "'m' AS Unit", "'x' AS Parameter")
     return wide_eligibility(long).select("folder", "eligible", "reason")
 
 

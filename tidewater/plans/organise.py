@@ -3,8 +3,11 @@
 T6 (Python/R dialect): scan every folder at once -> tag series with units
 and site names -> long table by folder (K1) -> wide gate per folder (T5)
 -> wide table for eligible folders (R1, R6, frame-scope T4; K2) -> range
-summary (A1; K4). The only values brought to the driver are the gate's
-per-folder verdicts and the site names of eligible folders.
+summary (A1; K4). The text is parsed once and the long table staged once; the
+wide rows of all folders, with the times that padding adds, come from one plan
+keyed by folder. Only the pivot of a folder is its own job, since its columns
+are its sites. The only values brought to the driver are the gate's per-folder
+verdicts and the site names of eligible folders.
 
 T7 (SQL dialect): recursive ``*.csv`` scan, NULL readings dropped, uid from
 the file name, summary keyed by (folder, Name, uid).
@@ -12,21 +15,25 @@ the file name, summary keyed by (folder, Name, uid).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timecols import present_sql, q
+from ..functions.timecols import present_sql
 from ..operators.gate import wide_eligibility
-from ..operators.joins import materialise
-from ..operators.pad import grid_times, na_ts_insert
-from ..operators.reshape import daily_normalise, name_groups, pivot_names, to_wide
-from ..operators.step import step_table
+from ..operators.joins import join_keyed, materialise
+from ..operators.pad import na_ts_insert
+from ..operators.reshape import daily_normalise, name_groups, to_wide
 from ..operators.summary import data_range_summary
+from ..session import scratch_path
 from ..sinks import writers
 from ..sources.report_csv import long_table_scan, report_csv_scan
 
+#: Wide tables written at a time.
+WRITERS = 4
+
 
 @dataclass
 class Organised:
@@ -35,6 +42,8 @@ class Organised:
     gate: DataFrame
     summary: DataFrame
     _eligible: list | None = field(default=None, repr=False)
+    _rows: DataFrame | None = field(default=None, repr=False)
+    _names: dict | None = field(default=None, repr=False)
 
     def eligible(self) -> list[tuple[str, bool]]:
         """(folder, is_daily) of the folders that may become wide tables."""
@@ -43,44 +52,52 @@ class Organised:
                               self.gate.filter("eligible").select("folder", "is_daily").collect()]
         return self._eligible
 
+    def wide_rows(self) -> DataFrame:
+        """Rows of the wide tables of all eligible folders, staged once (see :func:`wide_rows`)."""
+        if self._rows is None:
+            path = scratch_path(self.long.sparkSession, "wide-rows")
+            wide_rows(self.long, self.eligible()).write.partitionBy("folder").parquet(path)
+            self._rows = self.long.sparkSession.read.schema(
+                "__site string, TimeStamp timestamp_ntz, Value double, folder string").parquet(path)
+        return self._rows
+
+    def names(self, folder: str) -> list[str]:
+        """Sorted site names of an eligible folder: the columns of its wide table."""
+        if self._names is None:
+            self._names = {f: set() for f, _ in self.eligible()}
+            site = F.coalesce("Name", "Plate").alias("site")
+            for r in self.long.filter(F.col("folder").isin(list(self._names))).select("folder", site).distinct().collect():
+                if r["site"] is not None:
+                    self._names[r["folder"]].add(r["site"])
+        return sorted(self._names[folder])
+
     def wide(self, folder: str) -> DataFrame:
-        daily = dict(self.eligible())[folder]
-        return wide_table(self.long.filter(F.col("folder") == folder), daily)
+        return self._table(folder, self.names(folder), False)
 
     def wide_parts(self, folder: str) -> list[DataFrame]:
-        """The wide table of a folder, in several tables where it has very many sites."""
-        daily = dict(self.eligible())[folder]
-        long = self.long.filter(F.col("folder") == folder)
-        names = pivot_names(long.select(F.coalesce(F.col("Name"), F.col("Plate")).alias("n")), "n")
-        parts = name_groups(names)
-        if len(parts) == 1:
-            return [wide_table(long, daily, names)]
-        times = wide_times(long, daily)
-        return [wide_table(long.filter(F.coalesce(F.col("Name"), F.col("Plate")).isin(part)), daily, part, times)
-                for part in parts]
-
-
-def wide_times(long: DataFrame, daily: bool) -> DataFrame:
-    """The times of one folder's wide table: those with a value of any site, and the grid of the folder's step."""
-    rows = daily_normalise(long.select("TimeStamp", "Value"), "TimeStamp", daily)
-    ts = "Date" if daily else "Time"
-    grid = grid_times(step_table(rows, [], ts, ["Value"]), [], ts, daily)
-    return materialise(grid.unionByName(rows.filter(present_sql(["Value"])).select(ts)).distinct()).df
-
-
-def wide_table(long: DataFrame, daily: bool, names: list | None = None, times: DataFrame | None = None) -> DataFrame:
-    """R1 + R6 + T4 (frame scope) for one folder's long rows (of the sites in ``names``,
-    at the ``times`` of the whole folder)."""
-    site = F.coalesce(F.col("Name"), F.col("Plate"))
-    rows = long.select(site.alias("__site"), "TimeStamp", "Value")
-    names = pivot_names(rows, "__site") if names is None else names
-    w = to_wide(rows, "TimeStamp", "__site", "Value", names)
-    w = daily_normalise(w, "TimeStamp", daily)
-    ts = "Date" if daily else "Time"
-    if times is None:
-        return na_ts_insert(w, [], ts, names)
-    j = times.select(F.col(ts).alias("__t")).join(w, F.expr(f"__t <=> {q(ts)}"), "left")
-    return j.selectExpr(f"__t AS {q(ts)}", *[q(n) for n in names])
+        """The wide table of a folder, in several tables where it has very many sites; all have its times."""
+        parts = name_groups(self.names(folder))
+        return [self._table(folder, part, len(parts) > 1) for part in parts]
+
+    def _table(self, folder: str, names: list[str], part: bool) -> DataFrame:
+        rows = self.wide_rows().filter(F.col("folder") == folder)
+        if part:
+            times = rows.select(F.lit(None).cast("string").alias("__site"), "TimeStamp", F.lit(None).cast("double").alias("Value")).distinct()
+            rows = rows.filter(F.col("__site").isin(names)).select("__site", "TimeStamp", "Value").unionByName(times)
+        wide = to_wide(rows, "TimeStamp", "__site", "Value", names)
+        return daily_normalise(wide, "TimeStamp", dict(self.eligible())[folder])
+
+
+def wide_rows(long: DataFrame, eligible: list[tuple[str, bool]]) -> DataFrame:
+    """``folder, __site, TimeStamp, Value`` of the eligible folders (with whether they are daily):
+    the present readings, and the times at which padding adds a row (no site, no value)."""
+    eligible = materialise(long.sparkSession.createDataFrame(eligible, "folder string, is_daily boolean"))
+    time = "IF(is_daily, CAST(to_date(TimeStamp) AS TIMESTAMP_NTZ), CAST(TimeStamp AS TIMESTAMP_NTZ)) AS TimeStamp"
+    rows = join_keyed(long.select("folder", F.coalesce("Name", "Plate").alias("__site"), "TimeStamp", "Value"), eligible, ["folder"])
+    rows = rows.filter(present_sql(["Value"])).selectExpr("folder", "__site", time, "Value")
+    times = rows.select("folder", "TimeStamp", F.lit(1.0).alias("__v")).distinct()
+    added = na_ts_insert(times, ["folder"], "TimeStamp", ["__v"]).filter("__v IS NULL")
+    return rows.unionByName(added.selectExpr("folder", "CAST(NULL AS STRING) AS __site", "TimeStamp", "__v AS Value"))
 
 
 def organise_folder(spark: SparkSession, root: str, params: DataFrame | None = None,
@@ -89,22 +106,25 @@ def organise_folder(spark: SparkSession, root: str, params: DataFrame | None = N
                     summary_null_rule: str = "value", on_reject: str = "raise") -> Organised:
     long, files = report_csv_scan(spark, root, params, plates, recursive, glob, with_files=True,
                                   on_reject=on_reject)
-    if out:  # the text is parsed once; everything else reads the Parquet of each folder
-        out = out.rstrip("/")
-        writers.write_long_by_folder(long, f"{out}/long")
-        stored = spark.read.parquet(f"{out}/long")
-        long = stored.withColumn("TimeStamp", F.col("TimeStamp").cast("timestamp_ntz")).withColumn(
-            "folder", F.col("folder").cast("string")).select(*long.columns)
+    # staged once; gate, wide tables and summary read the Parquet of each folder
+    path = f"{out.rstrip('/')}/long" if out else scratch_path(spark, "long")
+    writers.write_long_by_folder(long, path, cluster=bool(out))
+    stored = spark.read.schema(long.withColumn("TimeStamp", F.lit("")).schema).parquet(path)
+    long = stored.withColumn("TimeStamp", F.col("TimeStamp").cast("timestamp_ntz")).select(*long.columns)
     gate = wide_eligibility(long, files.select("folder", "CSV"))
+    if out:
+        gate = materialise(gate).df
     summary = data_range_summary(long, ["folder", "Name", "ts_id", "CSV"],
                                  attrs=("Plate", "Description", "Unit"), null_rule=summary_null_rule)
     res = Organised(long, files, gate, summary)
     if out:
+        jobs = []
         for folder, daily in res.eligible():
-            ts = "Date" if daily else "Time"
             for k, part in enumerate(res.wide_parts(folder)):
-                writers.write_wide(part, f"{out}/{folder}_wide" + (f"_{k + 1}" if k else ""), ts, daily)
-        writers.write_summary_tsv(summary, f"{out}/data_range", ["folder", "Name", "ts_id"])
+                jobs.append((part, f"{out.rstrip('/')}/{folder}_wide" + (f"_{k + 1}" if k else ""), "Date" if daily else "Time", daily))
+        with ThreadPoolExecutor(WRITERS) as pool:
+            list(pool.map(lambda job: writers.write_wide(*job), jobs))
+        writers.write_summary_tsv(summary, f"{out.rstrip('/')}/data_range", ["folder", "Name", "ts_id"])
     return res
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import DATE_FORMAT, TIME_FORMAT, format_ts
-from ..functions.timecols import micros_sql
+from ..functions.timecols import micros_sql, q
 
 
 def write_long_by_folder(long: DataFrame, path: str, mode: str = "overwrite",
@@ -16,12 +19,19 @@ def write_long_by_folder(long: DataFrame, path: str, mode: str = "overwrite",
     Rows are range-partitioned on (folder, uid, time) first: sampled boundaries
     split even a hot folder evenly, files are few and do not overlap, and
     Parquet min/max statistics prune well. ``cluster=False`` leaves the rows
-    where they are, with a file for each task and folder.
+    where they are, with a file for each task and folder. ``mode="folders"``
+    replaces only the folders that ``long`` has rows of; the files of the others
+    stay as they are.
     """
     if cluster:
         long = long.repartitionByRange("folder", "uid", ts)
     out = long.sortWithinPartitions("folder", "uid", ts).withColumn(ts, format_ts(ts))
-    out.write.mode(mode).partitionBy("folder").parquet(path)
+    writer = out.write.partitionBy("folder")
+    if mode == "folders":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
+    writer.parquet(path)
 
 
 def write_wide(wide: DataFrame, path: str, ts: str, daily: bool, mode: str = "overwrite") -> None:
@@ -69,9 +79,70 @@ def register_tables(spark: SparkSession, tables: dict) -> None:
         df.createOrReplaceTempView(name)
 
 
-def write_per_site(long: DataFrame, path: str, site: str = "Site", mode: str = "overwrite") -> None:
-    """R5 sink: one folder per site (each task writes its rows of each site)."""
-    long.sortWithinPartitions(site).write.mode(mode).partitionBy(site).parquet(path)
+def save_table(df: DataFrame, name: str, by, ts: str, path: str, buckets: int = 16) -> str:
+    """K6: a table of the session catalogue that outlives the query, created or replaced.
+
+    Rows are bucketed by the series columns ``by`` and sorted by them and time,
+    so that grouping or joining by series moves nothing. Each write is a table
+    of its own under ``path``; ``name`` is a view that is pointed at the new one
+    in a single step once it is complete. A failed write leaves the old table,
+    and readers never see half of a new one. Returns the name of the new version.
+    """
+    spark, by = df.sparkSession, [by] if isinstance(by, str) else list(by)
+    version = f"{name}_{uuid.uuid4().hex[:12]}"
+    old = _version_of(spark, name)
+    # a bucket is written by one task, so that it is one sorted file
+    (df.repartition(buckets, *[F.col(q(c)) for c in by]).write.bucketBy(buckets, *by).sortBy(*by, ts).format("parquet")
+       .option("path", f"{path.rstrip('/')}/{version}").saveAsTable(version))
+    spark.sql(f"CREATE OR REPLACE VIEW {q(name)} AS SELECT * FROM {q(version)}")
+    if old:
+        spark.sql(f"DROP TABLE IF EXISTS {q(old)}")  # its files stay for readers that have begun
+    return version
+
+
+def _version_of(spark: SparkSession, name: str) -> str | None:
+    """The version that a saved table's view reads."""
+    if not spark.catalog.tableExists(name):
+        return None
+    text = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {q(name)}").collect()}.get("View Text", "")
+    found = re.search(r"FROM `([^`]+)`$", text)
+    return found[1] if found else None
+
+
+def write_lake(readings: DataFrame, path: str, key: str = "uid", ts: str = "TimeStamp", buckets: int = 64,
+               mode: str = "overwrite") -> None:
+    """Readings laid out by a hash of their series id (folders ``bucket=0`` and so on), so that
+    a selection of series reads only their folders (see ``read_lake`` and ``extract_job``).
+
+    Rows are range-partitioned on (bucket, series, time): a hot series becomes
+    several files, and files are few.
+    """
+    out = readings.withColumn("bucket", lake_bucket(key, buckets))
+    order = ["bucket", key, ts]
+    out.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def lake_bucket(key: str, buckets: int = 64):
+    """Bucket of a series id; the number of buckets is a property of the lake."""
+    return F.expr(f"CAST(pmod(xxhash64(CAST({q(key)} AS STRING)), {int(buckets)}) AS INT)")
+
+
+def write_per_site(long: DataFrame, path: str, site: str = "Site", ts: str | None = None, mode: str = "overwrite",
+                   rows_per_file: int = 1_000_000) -> None:
+    """R5 sink: one folder per site, with a file for about every ``rows_per_file`` rows.
+
+    Sites are counted first; a site's rows are dealt over as many parts as it
+    needs files, so a hot site is written by several tasks and a small one by a
+    single task into a single file.
+    """
+    from ..operators.joins import join_keyed, materialise
+    files = materialise(long.groupBy(site).agg(F.expr(f"ceil(count(*) / {int(rows_per_file)})").alias("__files")))
+    by = "xxhash64(" + ", ".join(q(c) for c in long.columns) + ")"
+    out = join_keyed(long, files, [site]).withColumn("__part", F.expr(f"pmod({by}, __files)")).drop("__files")
+    out = out.repartition(F.col(q(site)), F.col("__part"))
+    out = out.sortWithinPartitions(*[F.col(q(c)) for c in ([site, ts] if ts else [site])]).drop("__part")
+    # several parts of a site may meet in one task; its files stay as small all the same
+    out.write.mode(mode).option("maxRecordsPerFile", int(rows_per_file)).partitionBy(site).parquet(path)
 
 
 def _uid_hyphen(uid):

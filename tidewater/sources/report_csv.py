@@ -6,10 +6,11 @@ A report file holds one series: a free-text preamble, a description line
 
 The files are read with the text source (splittable, so a very large file
 is spread over tasks). Lines are classified by pattern instead of by line
-number. One pass reduces each file to a row (header, description, counts of
-lines that cannot be read), a second parses the readings and joins them to
-those rows on the file path, as Spark finds best from their size. No file is
-parsed by a single Python process.
+number. The text is parsed once, into a columnar stage in the shared scratch
+folder: readings as times and numbers, other lines as they are. From there each
+file is reduced to a row (header, description, counts of lines that cannot be
+read), and the readings are joined to those rows on the file path, as Spark
+finds best from their size. No file is parsed by a single Python process.
 
 Nothing is dropped silently: a time or value that cannot be read, a file
 without header and text lines beyond the preamble are rejects. Scans raise
@@ -19,18 +20,21 @@ leave the rest to :func:`report_rejects` (``on_reject="keep"``).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import (ANY_HEADER_LINE, DATA_LINE, DESC_LINE, HEADER_LINE, PREAMBLE_LINES,
                                compact_uid, series_id, split_series_name)
-from ..functions.timecols import nan_to_null
+from ..functions.timecols import micros_sql, nan_to_null
 from ..operators.joins import enrich, materialise, one_per_key, sized_broadcast
+from ..session import scratch_path
 
 
 def scan_lines(spark: SparkSession, root: str, recursive: bool = False,
-               glob: str | None = None) -> DataFrame:
-    """(path, line) of every report file under ``root``.
+               glob: str | None = None, place: bool = False) -> DataFrame:
+    """(path, line) of every report file under ``root``; ``place``: and ``block``, where its split begins.
 
     ``recursive=False`` (S1): every file, any extension, of each direct
     sub-folder of ``root``. ``recursive=True`` (S2): all files below
@@ -42,7 +46,7 @@ def scan_lines(spark: SparkSession, root: str, recursive: bool = False,
     if found is None:
         raise FileNotFoundError(f"report folder {root!r} does not exist")
     if not found:  # only empty folders: nothing to read
-        return spark.createDataFrame([], "path string, line string")
+        return spark.createDataFrame([], "path string, line string" + (", block long" if place else ""))
     if recursive:
         reader = spark.read.option("recursiveFileLookup", "true").option(
             "pathGlobFilter", glob or "*.csv")
@@ -50,7 +54,8 @@ def scan_lines(spark: SparkSession, root: str, recursive: bool = False,
     else:
         reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
         df = reader.text(f"{root}/*/*")
-    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    more = [F.col("_metadata.file_block_start").alias("block")] if place else []
+    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), *more)
 
 
 def _exists(spark: SparkSession, root: str, pattern: str):
@@ -107,9 +112,19 @@ def _classified(lines: DataFrame) -> DataFrame:
     return out.withColumn("reason", reason)
 
 
-def _per_file(lines: DataFrame) -> DataFrame:
-    """One row per file: its header and description lines, and why it cannot be read."""
-    c = _classified(lines)
+def staged_lines(lines: DataFrame) -> DataFrame:
+    """The classified lines, parsed once and written to the scratch folder: path, kind, line (of
+    what is not a reading), TimeStamp, Value, reason."""
+    spark = lines.sparkSession
+    path = scratch_path(spark, "report-lines")
+    out = _classified(lines).filter("kind <> 'blank'").selectExpr(
+        "path", "kind", "IF(kind = 'data' AND reason IS NULL, NULL, line) AS line", "TimeStamp", "Value", "reason")
+    out.write.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def _per_file(c: DataFrame) -> DataFrame:
+    """One row per file of the staged lines: its header and description lines, and why it cannot be read."""
 
     def line_of(kind):
         return F.max(F.when(F.col("kind") == kind, F.col("line")))
@@ -128,8 +143,8 @@ def _per_file(lines: DataFrame) -> DataFrame:
 def report_rejects(spark: SparkSession, root: str, recursive: bool = False,
                    glob: str | None = None) -> DataFrame:
     """What cannot be read: path, folder, CSV, line (NULL for a whole file) and reason."""
-    lines = scan_lines(spark, root, recursive, glob)
-    bad = _classified(lines).filter("reason IS NOT NULL").select("path", "line", "reason")
+    lines = staged_lines(scan_lines(spark, root, recursive, glob))
+    bad = lines.filter("reason IS NOT NULL").select("path", "line", "reason")
     files = _per_file(lines).filter("__fault IS NOT NULL").select(
         "path", F.lit(None).cast("string").alias("line"), F.col("__fault").alias("reason"))
     lin = file_lineage("path")
@@ -137,7 +152,7 @@ def report_rejects(spark: SparkSession, root: str, recursive: bool = False,
 
 
 def _checked(lines: DataFrame, on_reject: str):
-    """The per-file table, computed once; raises on rejects unless they are kept."""
+    """The per-file table of the staged lines, computed once; raises on rejects unless they are kept."""
     if on_reject not in ("raise", "keep"):
         raise ValueError("on_reject must be 'raise' or 'keep'")
     files = materialise(_per_file(lines))
@@ -152,7 +167,7 @@ def _checked(lines: DataFrame, on_reject: str):
 
 def report_headers(lines: DataFrame) -> DataFrame:
     """S3: one row per file: path, folder, CSV, Parameter, Plate, Label, uid, ts_id, Description."""
-    return _headers(_per_file(lines))
+    return _headers(_per_file(_classified(lines)))
 
 
 def _headers(per_file: DataFrame) -> DataFrame:
@@ -176,9 +191,45 @@ def _headers(per_file: DataFrame) -> DataFrame:
     return x.withColumn("ts_id", series_id("Parameter", "Label", "Plate"))
 
 
-def report_readings(lines: DataFrame) -> DataFrame:
+def report_order(spark: SparkSession, root: str, recursive: bool = False, glob: str | None = None) -> DataFrame:
+    """T1 / O3 on files as they are: ``path, folder, CSV, out_of_order``, the readings whose
+    time is earlier than that of the reading before them in the file; files without any are left out.
+
+    Text is read in splits. Within one, lines come in the order of the file, so a
+    running minimum is not needed: a split is reduced, as it is read and without
+    a shuffle, to its first and last time and its number of steps back; the
+    edges of the splits are compared in order of their place in the file.
+    """
+    lines = scan_lines(spark, root, recursive, glob, place=True)
+    c = _classified(lines).filter("kind = 'data' AND reason IS NULL").selectExpr("path", "block", f"{micros_sql('TimeStamp')} AS t")
+
+    def run(batches):
+        number = 0  # batches of a task are in order
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            path, block, t = (batch.column(batch.schema.get_field_index(c)) for c in ("path", "block", "t"))
+            code = path.dictionary_encode().indices.to_numpy()
+            at, t = block.to_numpy(), t.to_numpy()
+            same = (code[1:] == code[:-1]) & (at[1:] == at[:-1])
+            first = np.flatnonzero(np.concatenate(([True], ~same)))
+            back = np.concatenate(([0], same & (t[1:] < t[:-1]))).astype(np.int64)
+            last = np.concatenate((first[1:], [len(t)])) - 1
+            number += 1
+            yield pa.RecordBatch.from_arrays(
+                [path.take(pa.array(first)), pa.array(at[first]), pa.array(np.full(len(first), number)), pa.array(t[first]),
+                 pa.array(t[last]), pa.array(np.add.reduceat(back, first))], ["path", "block", "number", "first", "last", "back"])
+
+    pieces = c.mapInArrow(run, "path string, block long, number long, first long, last long, back long")
+    edges = pieces.selectExpr("path", "back", "first < lag(last) OVER (PARTITION BY path ORDER BY block, number) AS edge")
+    per = edges.groupBy("path").agg((F.sum("back") + F.count_if("edge")).alias("out_of_order")).filter("out_of_order > 0")
+    lin = file_lineage("path")
+    return per.select("path", lin["folder"].alias("folder"), lin["CSV"].alias("CSV"), "out_of_order")
+
+
+def report_readings(staged: DataFrame) -> DataFrame:
     """(path, TimeStamp, Value) of every readable data line; empty and NaN values are NULL."""
-    return _classified(lines).filter("kind = 'data' AND reason IS NULL").select("path", "TimeStamp", "Value")
+    return staged.filter("kind = 'data' AND reason IS NULL").select("path", "TimeStamp", "Value")
 
 
 LONG_COLUMNS = ["TimeStamp", "Value", "Unit", "ts_id", "Parameter", "Label", "Plate", "Name",
@@ -194,7 +245,7 @@ def report_csv_scan(spark: SparkSession, root: str, params: DataFrame | None = N
     dimension; unmatched lookups give NULL. ``with_files=True`` also
     returns the per-file header table (files without data rows included).
     """
-    lines = scan_lines(spark, root, recursive, glob)
+    lines = staged_lines(scan_lines(spark, root, recursive, glob))
     heads = _headers(_checked(lines, on_reject))
     long = report_readings(lines).join(heads, "path", "left")
     long = _attach_dims(long, params, plates).select(*LONG_COLUMNS)
@@ -226,7 +277,7 @@ def long_table_scan(spark: SparkSession, root: str, params: DataFrame | None = N
     NULL readings dropped (as UNPIVOT does); columns
     TimeStamp, Value, Unit, Parameter, Plate, Name, folder, uid.
     """
-    lines = scan_lines(spark, root, True, glob)
+    lines = staged_lines(scan_lines(spark, root, True, glob))
     param, plate = split_series_name(F.regexp_extract("__h", "^[^,]*,(.*)$", 1))
     lin = file_lineage("path")
     heads = _checked(lines, on_reject).select("path", param.alias("Parameter"), plate.alias("Plate"),
