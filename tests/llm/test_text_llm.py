@@ -192,7 +192,7 @@ def test_chat_windows(spark):
     df = spark.createDataFrame([(*r, "w", 1, "b") for r in rows], CONVERSATIONS)
     windows = chat_format.format_conversations(df)
     mine = [r for r in windows.orderBy("window").collect() if r["conv_id"] == 1]
-    assert len(mine) > 5 and all(r["n_tokens"] <= chat_format.BUDGET + 300 for r in mine)
+    assert len(mine) > 5 and all(r["n_tokens"] <= chat_format.BUDGET for r in mine)
     assert all(r["text"].startswith("<system>be kind</s>") for r in mine) and all(r["copies"] >= 2 for r in mine[1:])
     targets = [r["text"][s["start"]:s["end"]] for r in mine for s in r["loss"]]
     assert targets == [t for _, _, role, t in sorted(long, key=lambda r: r[1]) if role == "assistant"]
@@ -283,3 +283,62 @@ def test_bpe_small_caches_change_nothing(monkeypatch):
         ids = encoder.encode(text).tolist()
         assert ids == _PUBLIC.encode_ordinary(text) and decoder.decode(ids) == text
         assert len(encoder) <= 20 and len(encoder.older) <= 20 and len(transducer._fits) <= 40
+
+
+def test_chat_windows_keep_the_budget(spark):
+    """No window is over the budget unless one turn, or the system turn, is too long by itself."""
+    rng = random.Random(8)
+    rows = [(c, t, "system" if t == 0 and c % 2 else "user", "x" * rng.choice([1, 20, 200, 700, 1500, 2600 if c > 9 else 9]))
+            for c in range(20) for t in range(60)]
+    rows += [(100, t, "user", "x" * (4 * n - 16)) for t, n in enumerate([5, 765] + [50] * 15)]
+    df = spark.createDataFrame([(*r, "w", 1, "b") for r in rows], CONVERSATIONS)
+    got = chat_format.format_conversations(df).collect()
+    longest = {c: max(len(r[3]) for r in rows if r[0] == c) // 4 + 5 for c in {r[0] for r in rows}}
+    for r in got:
+        assert r["n_tokens"] <= chat_format.BUDGET or longest[r["conv_id"]] > 256
+    assert all(r["n_tokens"] <= chat_format.BUDGET for r in got if r["conv_id"] < 10)
+
+
+def test_leaks_of_an_id_with_several_rows(spark):
+    ws = [f"w{k}" for k in range(40)]
+    docs = [(1, " ".join(ws[:14])), (1, " ".join(ws[10:24])), (2, " ".join(ws[:14])), (3, " ".join(ws[:24]))]
+    found = decontaminate.contained_items(spark.createDataFrame(docs, "doc_id long, text string"),
+                                          spark.createDataFrame([(7, " ".join(ws[:24]))], "item_id long, text string"))
+    assert sorted((r["doc_id"], r["containment"]) for r in found.collect()) == [(1, 1.0), (3, 1.0)]
+
+
+ODD_PAGES = ["<![ endif]>", "<![foo[", "<![CDATA[x]]>", "<!", "<!-", "<!DOCTYPE", "<!doctype [<!ENTITY x>]>", "<!ELEMENT", "<?php x", "</", "<", "<a",
+             "</>", "&#xfffffff;", "&#0;", "<p <b", "<svg><![CDATA[a>b]]></svg>", "<!--", "<!-->", "--!>", "<textarea><p>", "<plaintext>x"]
+
+
+def test_no_page_stops_extraction():
+    model, rng = html_extract.fit(), random.Random(4)
+    article = "<article><h1>Rivers</h1><p>The water rose in March and stayed high for a whole week.</p></article>"
+    for odd in ODD_PAGES[:2]:
+        assert "The water rose" in html_extract.main_text(model, f"<body>{odd}{article}</body>")
+    for odd in ODD_PAGES:
+        html_extract.main_text(model, odd)
+        html_extract.main_text(model, f"<body>{odd}{article}")
+    parts = [*ODD_PAGES, "<div>", "</div>", "<p>", "text ", "<form>", "</form>", "<a href=x>", "</a>", "<head>", "<body>", "\x00", "é", "<td>", "<li>", "]]>"]
+    for _ in range(1500):
+        html_extract.main_text(model, "".join(rng.choice(parts) for _ in range(rng.randrange(12))))
+
+
+def test_forms_and_bare_text_hold_articles():
+    model = html_extract.fit()
+    text = "The water rose in March and stayed high for a whole week, and farmers moved their herds to the hills."
+    page = f"<body><form id=aspnetForm><nav><a href=1>Home</a></nav><article><h1>Rivers</h1><p>{text}</p></article></form></body>"
+    assert html_extract.main_text(model, page) == f"Rivers\n{text}"
+    assert html_extract.main_text(model, text + "  " + text) == f"{text} {text}"
+    assert text in html_extract.main_text(model, f'<body><div class="response-body"><p>{text}</p><p>{text}</p></div></body>')
+    assert html_extract.main_text(model, "") == ""
+
+
+def test_extraction_is_linear_in_depth():
+    import time
+    model, took = html_extract.fit(), []
+    for n in (4000, 16000):
+        start = time.perf_counter()
+        html_extract.main_text(model, "<div>x" * n + "</i>" * n + "</div>" * n)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 9 * took[0]

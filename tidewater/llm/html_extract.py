@@ -40,10 +40,10 @@ ENDS_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em e
 CONTAINERS = frozenset("ul ol dl table tbody thead tfoot div section article main aside nav body html".split())
 
 # Words that class and id attributes are searched for: exact words, then beginnings of words.
-BOILER_WORDS = frozenset("ad ads adv nav sns toc tags bar".split())
+BOILER_WORDS = frozenset("ad ads adv nav sns toc tags bar respond".split())
 BOILER_STARTS = ("advert", "banner", "bottom", "breadcrumb", "byline", "comment", "consent", "cookie", "copyright", "disqus", "foot",
                  "gdpr", "header", "login", "menu", "masthead", "meta", "modal", "navi", "newsletter", "notice", "pager",
-                 "paginat", "paywall", "popup", "promo", "recommend", "related", "reply", "respon", "search", "share", "sharing",
+                 "paginat", "paywall", "popup", "promo", "recommend", "related", "reply", "search", "share", "sharing",
                  "sidebar", "signup", "social", "sponsor", "subscri", "toolbar", "widget", "alert", "warning", "skip")
 CONTENT_STARTS = ("article", "body", "content", "entry", "main", "post", "story", "text", "prose")
 
@@ -65,6 +65,13 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.page, self.stack, self.block = Page(), [("root", 0)], 0
         self.foreign = [False]  # of each open element: is its inside not HTML?
+        self.linked = [False]  # of each open element: is it in a link?
+        self.open: dict[str, int] = {}  # open elements by tag
+
+    def parse_marked_section(self, i, report=1):
+        """``<![...`` is a comment up to ``>``, as browsers have it."""
+        end = self.rawdata.find(">", i + 3)
+        return end + 1 if end >= 0 else -1
 
     def handle_starttag(self, tag, attrs):
         if tag in ENDS_FOREIGN:
@@ -94,6 +101,8 @@ class _Builder(HTMLParser):
         if tag not in INLINE:
             self.block += 1
         self.stack.append((tag, node))
+        self.open[tag] = self.open.get(tag, 0) + 1
+        self.linked.append(tag == "a" or self.linked[-1])
         self.foreign.append(tag in FOREIGN or self.foreign[-1] and tag not in HOLDS_HTML)
 
     def handle_startendtag(self, tag, attrs):
@@ -101,8 +110,13 @@ class _Builder(HTMLParser):
         if tag not in VOID and (tag in FOREIGN or self.foreign[-2:-1] == [True]):
             self.handle_endtag(tag)
 
+    def _pop(self, k):
+        for tag, _ in self.stack[k:]:
+            self.open[tag] -= 1
+        del self.stack[k:], self.foreign[k:], self.linked[k:]
+
     def _cut(self, k):
-        del self.stack[k:], self.foreign[k:]
+        self._pop(k)
         self.block += 1
 
     def _end_head(self, tag):
@@ -115,6 +129,8 @@ class _Builder(HTMLParser):
             self._cut(k)
 
     def _close(self, tags, until):
+        if not any(self.open.get(t) for t in tags):
+            return
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k][0] in tags:
                 self._cut(k)
@@ -123,25 +139,42 @@ class _Builder(HTMLParser):
                 return
 
     def handle_endtag(self, tag):
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:], self.foreign[k:]
-                break
+        if self.open.get(tag):
+            for k in range(len(self.stack) - 1, 0, -1):
+                if self.stack[k][0] == tag:
+                    self._pop(k)
+                    break
         if tag not in INLINE:
             self.block += 1
 
     def handle_data(self, data):
         if self.stack[-1][0] == "head" and data.strip():
             self._end_head("")
-        linked = any(t == "a" for t, _ in self.stack)
-        self.page.pieces.append((self.stack[-1][1], self.block, data, linked))
+        self.page.pieces.append((self.stack[-1][1], self.block, data, self.linked[-1]))
 
 
 def parse(html: str) -> Page:
     builder = _Builder()
     builder.feed(html)
     builder.close()
-    return builder.page
+    page = builder.page
+    if "form" in page.tag:
+        _unwrap(page)
+    return page
+
+
+def _unwrap(page: Page) -> None:
+    """A form around the page's headline or article, with most of its text, is a frame like any other."""
+    n = len(page.parent)
+    chars, holds = [0] * n, [t in ("h1", "article", "main") for t in page.tag]
+    for node, _, text, _ in page.pieces:
+        chars[node] += len(text.strip()) * (page.tag[node] not in ("script", "style"))
+    for k in range(n - 1, 0, -1):
+        chars[page.parent[k]] += chars[k]
+        holds[page.parent[k]] |= holds[k]
+    for k in range(n):
+        if page.tag[k] == "form" and holds[k] and 2 * chars[k] > chars[0]:
+            page.tag[k] = "div"
 
 
 def _words(named: str) -> list[str]:
@@ -327,7 +360,10 @@ def fit(pages: list[str] = LABELLED, rounds: int = 400, rate: float = 0.15, deca
 def main_text(model: Model, html: str) -> str:
     """Blocks of content nodes in page order, white space in a block as one blank, joined by line ends."""
     page = parse(html)
-    prob, _ = marginals(model, page, node_features(page))
+    if "<" not in html:  # text alone
+        prob = [1.0]
+    else:
+        prob, _ = marginals(model, page, node_features(page))
     muted = [False] * len(page.parent)
     for k in range(1, len(muted)):
         muted[k] = muted[page.parent[k]] or page.tag[k] in MUTE
