@@ -63,7 +63,10 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = WORDS, percen
 
     probe = docs.selectExpr("doc_id", f"{_words('text')} AS ws").selectExpr(
         "doc_id", "size(ws) AS n", f"explode({hashed}) AS h")
-    hits = probe.join(sketch, "h").where(f"greatest(n - {size - 1}, 1) * 100 >= q * {percent}")
+    # an id with several rows has the shingles of all of them, so none of its rows is too short by itself
+    several = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id", F.lit(True).alias("several"))
+    hits = probe.join(sketch, "h").join(several, "doc_id", "left").where(
+        f"coalesce(several, false) OR greatest(n - {size - 1}, 1) * 100 >= q * {percent}")
     candidates = keep(hits.groupBy("doc_id", "item_id").agg(
         F.countDistinct("h").alias("hits"), F.first("q").alias("q"), F.first("k").alias("k"))
         .where(f"hits >= k - (q - ceil(q * {percent} / 100))").select("doc_id", "item_id"), "leak-candidates")
