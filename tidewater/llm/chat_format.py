@@ -32,12 +32,14 @@ def format_conversations(conversations: DataFrame, budget: int = BUDGET, history
     targets in ``text``) and ``n_tokens``.
 
     A turn is written ``<role>text</s>`` with ``&``, ``<`` and ``>`` escaped
-    as in HTML, which is undone without loss. A turn belongs to the window in
-    which its last token falls when windows hold ``budget`` less the system
-    turn and the history; nothing is cut, so a turn longer than that makes a
-    longer window. Only a leading system turn is retained. Null roles and
-    texts count as empty; a null conv_id is a conversation; rows of one turn
-    number stand in order of role and text, repeated rows repeat the turn.
+    as in HTML, which is undone without loss. The room of a window is ``budget``
+    less the system turn and the history (a quarter of the budget at least).
+    Turns that start in the same half of a room share a window, but one of more
+    than half a room has its own, so no window is over ``budget`` unless one turn,
+    or the system turn, is too long for it by itself; nothing is cut. Only a
+    leading system turn is retained. Null roles and texts count as empty; a null
+    conv_id is a conversation; rows of one turn number stand in order of role and
+    text, repeated rows repeat the turn.
 
     Sums run along a conversation in sorted order and keep no rows; only the
     turns of one window are gathered.
@@ -52,7 +54,9 @@ def format_conversations(conversations: DataFrame, budget: int = BUDGET, history
     made = made.withColumn("system_turn", F.first(F.when(F.col("system"), F.struct("mark", "body", "tokens"))).over(so_far))
     made = made.withColumn("room", F.expr(
         f"greatest({budget} - {history} - coalesce(system_turn.tokens, 0), {budget} div 4)"))
-    made = made.withColumn("own", F.expr("(total - coalesce(system_turn.tokens, 0) - 1) div room"))
+    made = made.withColumn("own", F.expr(
+        "2 * ((total - tokens - coalesce(system_turn.tokens, 0)) div (room div 2)) + IF(tokens > room div 2, 1, 0)"))
+    made = made.withColumn("again", F.expr(f"greatest(0, least({history}, {budget} - room - coalesce(system_turn.tokens, 0)))"))
     made = made.withColumn("next_own", F.lead("own", 1).over(along)).withColumn("window", F.expr(
         "IF(system, coalesce(next_own, 0), own)"))
     made = made.withColumn("w1", F.lead("window", 1).over(along)).withColumn(
@@ -64,8 +68,8 @@ def format_conversations(conversations: DataFrame, budget: int = BUDGET, history
     system = entry.format("window", "0", "true", "false", "system_turn.mark", "system_turn.body", "system_turn.tokens")
     rows = made.select("conv_id", F.expr(
         f"filter(array({own}, "
-        f"IF(NOT system AND w1 <> window AND tokens <= {history}, {again.format('w1')}, NULL), "
-        f"IF(NOT system AND w2 <> w1 AND tokens + t1 <= {history}, {again.format('w2')}, NULL), "
+        f"IF(NOT system AND w1 <> window AND tokens <= again, {again.format('w1')}, NULL), "
+        f"IF(NOT system AND w2 <> w1 AND tokens + t1 <= again, {again.format('w2')}, NULL), "
         "IF(w0 <> window AND system_turn IS NOT NULL, " + system + ", NULL)), x -> x IS NOT NULL)").alias("made"))
     rows = rows.select("conv_id", F.explode("made").alias("e")).select("conv_id", "e.*")
     turns = rows.groupBy("conv_id", "window").agg(F.sort_array(F.collect_list(
@@ -114,7 +118,9 @@ n AS (SELECT *, row_number() OVER w AS n, sum(tokens) OVER (w ROWS UNBOUNDED PRE
 s AS (SELECT *, n = 1 AND role = 'system' AS system,
     coalesce(max(CASE WHEN n = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id), 0) AS st,
     max(CASE WHEN n = 1 AND role = 'system' THEN chars END) OVER (PARTITION BY conv_id) AS sc FROM n),
-o AS (SELECT *, (total - st - 1) // greatest({BUDGET} - {HISTORY} - st, {BUDGET} // 4) AS own FROM s),
+v AS (SELECT *, greatest({BUDGET} - {HISTORY} - st, {BUDGET} // 4) AS room FROM s),
+o AS (SELECT *, 2 * ((total - tokens - st) // (room // 2)) + CASE WHEN tokens > room // 2 THEN 1 ELSE 0 END AS own,
+    greatest(0, least({HISTORY}, {BUDGET} - room - st)) AS again FROM v),
 p AS (SELECT *, CASE WHEN system THEN coalesce(lead(own) OVER (PARTITION BY conv_id ORDER BY n), 0) ELSE own END AS win FROM o),
 l AS (SELECT *, lead(win) OVER w AS w1, lead(win, 2) OVER w AS w2, lag(win) OVER w AS w0, lead(tokens) OVER w AS t1 FROM p
   WINDOW w AS (PARTITION BY conv_id ORDER BY n))
@@ -122,8 +128,8 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(chars + CASE WHEN NOT system AND w1 <> win AND tokens <= {HISTORY} THEN chars ELSE 0 END
-    + CASE WHEN NOT system AND w2 <> w1 AND tokens + t1 <= {HISTORY} THEN chars ELSE 0 END
+  CAST(sum(chars + CASE WHEN NOT system AND w1 <> win AND tokens <= again THEN chars ELSE 0 END
+    + CASE WHEN NOT system AND w2 <> w1 AND tokens + t1 <= again THEN chars ELSE 0 END
     + CASE WHEN w0 <> win THEN coalesce(sc, 0) ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM l GROUP BY conv_id
 """
