@@ -94,6 +94,10 @@ def _vectors(batches):
     """Vectors that can be compared: id, label, digest of label and components, unit vector."""
     for batch in batches:
         flat, row, sizes = _rows(batch)
+        # less a power of two, which is exact, so that no square is too large or too small
+        largest = np.zeros(batch.num_rows)
+        np.maximum.at(largest, row, np.abs(flat))
+        flat = np.ldexp(flat, -np.frexp(np.where(np.isfinite(largest), largest, 1.0))[1][row])
         norm = np.sqrt(np.bincount(row, flat * flat, batch.num_rows))
         label = batch.column(batch.schema.get_field_index("label"))
         ids = batch.column(batch.schema.get_field_index("id"))
