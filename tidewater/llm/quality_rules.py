@@ -21,7 +21,7 @@ from .common import keep
 #: Share of words in repeated windows (percent) and number of words that fail a text.
 REPEAT_PERCENT, LEAST_WORDS, WINDOW_WORDS = 20, 10, 5
 #: Words of a language with a bin of their own.
-COMMON = 50
+COMMON = 30
 #: Characters and words below which the histograms are not judged.
 LEAST_CHARS, LEAST_COMMON_WORDS = 200, 50
 #: Distances from which a text is rejected, before the allowance for its length.
@@ -59,8 +59,9 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
     total = " + ".join(f"c{k}" for k in range(len(CLASSES) + 1))
     classes = classes.selectExpr("__lang", "array(" + ", ".join(
         f"c{k} / greatest({total}, 1)" for k in range(len(CLASSES) + 1)) + ") AS class_share")
-    words = rows.select("__lang", F.explode(F.split(F.lower("__text"), _BLANK)).alias("w")).where("w <> ''")
-    counted = keep(words.groupBy("__lang", "w").agg(F.count("*").alias("n")), "quality-words")
+    words = rows.select("__lang", F.explode(F.split("__text", _BLANK)).alias("w")).where("w <> ''")
+    words = words.groupBy("__lang", "w").agg(F.count("*").alias("n")).select("__lang", F.lower("w").alias("w"), "n")
+    counted = keep(words.groupBy("__lang", "w").agg(F.sum("n").alias("n")), "quality-words")
     all_words = counted.groupBy("__lang").agg(F.sum("n").alias("total"))
     top = counted.withColumn("place", F.row_number().over(
         Window.partitionBy("__lang").orderBy(F.desc("n"), "w"))).where(F.col("place") <= common)
@@ -112,8 +113,9 @@ def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", car
               f"(s, i) -> struct(s.n + least({w}, i - s.at) AS n, i AS at), s -> s.n))")
     rows = rows.withColumn("lines", F.expr(f"filter(split(__text, '\\n'), l -> l RLIKE {_sql('[^ \\x09-\\x0D]')})"))
     rows = rows.join(references, "__lang", "left")
-    # blanks doubled, so that every word has its own on both sides
-    rows = rows.withColumn("spaced", F.expr("concat(' ', lower(array_join(ws, '  ')), ' ')"))
+    # the common words alone, with blanks doubled, so that each has its own on both sides
+    rows = rows.withColumn("spaced", F.expr(
+        f"IF(size(ws) >= {LEAST_COMMON_WORDS}, concat(' ', lower(array_join(filter(ws, w -> array_contains(common, lower(w))), '  ')), ' '), '')"))
     found = "(octet_length(spaced) - octet_length(replace(spaced, concat(' ', w, ' '), ''))) div (octet_length(w) + 2)"
     rows = rows.selectExpr(
         *[f"`{n}`" for n in hidden.values()], "classes", "class_share", "word_share",
@@ -123,11 +125,11 @@ def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", car
         f"IF(size(ws) >= {LEAST_COMMON_WORDS}, transform(common, w -> {found}), NULL) AS found",
         "cast(length(__text) AS bigint) AS n_chars")
     rows = rows.withColumn("char_distance", F.expr(
-        f"IF(n_chars >= {LEAST_CHARS}, sqrt(greatest(0D, aggregate(zip_with(classes, class_share, (c, q) -> "
+        f"IF(n_chars >= {LEAST_CHARS} AND class_share IS NOT NULL, sqrt(greatest(0D, aggregate(zip_with(classes, class_share, (c, q) -> "
         f"{_divergence('(c / n_chars)', 'q')}), 0D, (s, x) -> s + x))), NULL)"))
     other = _divergence("(1 - aggregate(found, 0L, (s, x) -> s + x) / n_words)", "greatest(0D, 1 - aggregate(word_share, 0D, (s, x) -> s + x))")
     rows = rows.withColumn("word_distance", F.expr(
-        f"IF(n_words >= {LEAST_COMMON_WORDS}, sqrt(greatest(0D, aggregate(zip_with(found, word_share, (c, q) -> "
+        f"IF(n_words >= {LEAST_COMMON_WORDS} AND word_share IS NOT NULL, sqrt(greatest(0D, aggregate(zip_with(found, word_share, (c, q) -> "
         f"{_divergence('(c / n_words)', 'q')}), 0D, (s, x) -> s + x) + {other})), NULL)"))
     rows = rows.withColumn("base_failed", F.expr(
         f"n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words"))
