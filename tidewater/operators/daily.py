@@ -50,9 +50,9 @@ def hourly_2_daily(df: DataFrame, keys=(), ts: str | None = None, value: str | N
     """
     if not isinstance(day_starts_at, int) or isinstance(day_starts_at, bool) \
             or not 0 <= day_starts_at <= 23:
-        raise ValueError("`day_starts_at` must be an integer in [0, 23]")
+        raise ValueError(f"a day starts at a whole hour from 0 to 23, not {day_starts_at!r}")
     if not 0 <= prop <= 1:
-        raise ValueError("`prop` must be in [0, 1]")
+        raise ValueError(f"the share of hours a day needs lies between 0 and 1, not {prop!r}")
     keys = list(keys)
     ts, values = discover_roles(df, keys, ts, value)
     value = values[0]
