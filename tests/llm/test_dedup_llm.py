@@ -248,3 +248,28 @@ def test_vectors_match_brute_force(spark, monkeypatch):
     assert [got[i + k]["n_links"] for k in (3, 4, 5, 6, 7, 8)] == [0] * 6
     assert got[i + 10]["component"] == i + 9
     assert embedding_dedup.near_duplicate_vectors(table.limit(0)).count() == 0
+
+
+def test_suffix_an_id_with_several_texts_loses_nothing(spark):
+    rng = random.Random(21)
+    a, b, c = ("".join(rng.choice("abcdefgh") for _ in range(400)) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a), (3, b), (1, "short"), (1, a), (4, b[:200] + c), (4, c[50:300]), (4, None)]
+    got = suffix_dedup.remove_repeats(frame(spark, rows), carry=("text",), as_text=True).collect()
+    kept = sorted(((r["doc_id"], r["text"], r["kept"]) for r in got if r["doc_id"] != 4), key=str)
+    assert kept == sorted([(1, a, a), (1, a, a), (1, b, b), (1, "short", "short"), (2, a, ""), (3, b, "")], key=str)
+    four = {r["text"]: r["kept"] for r in got if r["doc_id"] == 4}
+    assert four[None] is None
+    assert {four[b[:200] + c], four[c[50:300]]} in ({c, ""}, {c[:50] + c[300:], c[50:300]})
+
+
+def test_minhash_a_hub_is_confirmed_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "VERIFY", 3)
+    rng = random.Random(31)
+    check_minhash(spark, near_copies(rng, 3, 14))
+
+
+def test_vectors_of_extreme_size(spark):
+    rows = [(k, [x * scale for x in (1.0, 2.0, -3.0, 0.5)], 1) for k, scale in enumerate([1e200, 1e200, 1e-200, 1e-200, 1.0, 5e-324])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["id"]: (r["n_links"], r["component"]) for r in embedding_dedup.near_duplicate_vectors(frame).collect()}
+    assert [got[k] for k in range(6)] == [(5, 0)] * 6

@@ -86,9 +86,10 @@ def _anchor_rows(length: int, piece: int):
         for batch, data, starts in pieces(batches, ["doc"], "text"):
             doc, h, x, lo, more = anchors(data, starts, length, piece)
             ids = batch.column(batch.schema.get_field_index("doc"))
+            base = batch.column(batch.schema.get_field_index("base")).to_numpy()
             yield pa.RecordBatch.from_arrays([
                 pa.array(h.view(np.int64)), pa.array(x.view(np.int64)), ids.take(pa.array(doc)),
-                pa.array(lo.astype(np.int32)), pa.array(more.astype(np.int16))], ["h", "x", "doc", "lo", "more"])
+                pa.array(lo + base[doc]), pa.array(more.astype(np.int16))], ["h", "x", "doc", "lo", "more"])
 
     return run
 
@@ -141,24 +142,28 @@ def suffix_array(data: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndar
     the known prefix, whose length doubles. Equal suffixes stand in order of place.
     """
     n = len(data)
-    place = np.arange(n)
-    padded = np.concatenate((data, np.zeros(7, np.uint8)))
-    key = np.zeros(n, np.uint64)
-    left = np.minimum(end - place, 7)
+    key, place = np.zeros(n, np.uint64), np.arange(n, dtype=np.int32)
+    left = np.minimum(end - place, 7).astype(np.uint8)
     for k in range(7):
-        key = (key << np.uint64(8)) | np.where(k < left, padded[k:k + n], 0).astype(np.uint64)
-    key = (key << np.uint64(8)) | left.astype(np.uint64)
-    sa = np.argsort(key, kind="stable")
-    starts = np.concatenate(([True], key[sa[1:]] != key[sa[:-1]]))
-    rank = np.empty(n, np.int64)
+        here = np.zeros(n, np.uint8)
+        here[:max(n - k, 0)] = data[k:]
+        here[k >= left] = 0
+        key <<= np.uint64(8)
+        key |= here
+    key <<= np.uint64(8)
+    key |= left
+    sa = np.argsort(key, kind="stable").astype(np.int32)
+    sorted_key = key[sa]
+    starts = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
+    del sorted_key, here, left
+    rank = np.empty(n, np.int32)
     rank[sa] = np.maximum.accumulate(np.where(starts, place, 0))
     known = 7
-    active = np.flatnonzero(~(starts & np.concatenate((starts[1:], [True]))))
+    active = np.flatnonzero(~(starts & np.concatenate((starts[1:], [True])))).astype(np.int32)
     while len(active):
         p = sa[active]
         ended = p + known >= end[p]
-        follow = np.where(ended, 0, rank[np.minimum(p + known, n - 1)] + 1)
-        pair = rank[p] * (n + 1) + follow
+        pair = rank[p].astype(np.int64) * (n + 1) + np.where(ended, 0, rank[np.minimum(p + known, n - 1)] + 1)
         order = np.argsort(pair, kind="stable")
         p, pair, ended = p[order], pair[order], ended[order]
         sa[active] = p
@@ -178,9 +183,9 @@ def common_prefixes(data: np.ndarray, end: np.ndarray, sa: np.ndarray, key: np.n
     only the other places are compared, 7 bytes at a time.
     """
     n = len(data)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     first = np.zeros(n, bool)
     first[0] = True
     first[1:] = end[1:] != end[:-1]
@@ -189,7 +194,7 @@ def common_prefixes(data: np.ndarray, end: np.ndarray, sa: np.ndarray, key: np.n
     own[1:] |= data[:-1] != data[np.maximum(before[1:], 1) - 1]
     p = np.flatnonzero(own)
     q = before[p]
-    got = np.zeros(len(p), np.int64)
+    got = np.zeros(len(p), np.int32)
     on = np.flatnonzero(q >= 0)
     seven = (key & np.uint64(255)) == 7
     while len(on):
@@ -205,7 +210,7 @@ def common_prefixes(data: np.ndarray, end: np.ndarray, sa: np.ndarray, key: np.n
             got[rest] += 1
         got[on[full]] += 7
         on = on[full]
-    common = np.zeros(n, np.int64)
+    common = np.zeros(n, np.int32)
     common[p] = got
     base = np.maximum.accumulate(np.where(own, place, 0))
     common = common[base] - (place - base)
@@ -223,7 +228,7 @@ def _repeats(data: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-_OUT = "doc long, lo int, more int, bucket int, keys binary, docs binary, places binary"
+_OUT = "doc long, lo long, more int, bucket int, keys binary, docs binary, places binary"
 
 
 def _shard_search(length: int, buckets: int):
@@ -234,10 +239,10 @@ def _shard_search(length: int, buckets: int):
         hot = np.array([r[2] for r in rows]) | split
         sizes = np.array([len(r[3]) for r in rows])
         data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
-        stop = np.cumsum(sizes)
-        of = np.repeat(np.arange(len(rows)), sizes)
+        stop = np.cumsum(sizes).astype(np.int32)  # a block has few bytes
+        of = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
         end = stop[of]
-        place = np.arange(len(data))
+        place = np.arange(len(data), dtype=np.int32)
         window = place + length <= end
         again = _repeats(data, end, length) & window
         where = lo[of] + place - (stop - sizes)[of]
@@ -256,9 +261,9 @@ def _shard_search(length: int, buckets: int):
             for a, b in zip(cuts[:-1], cuts[1:]):
                 for c, v in (("doc", None), ("lo", None), ("more", None), ("bucket", int(bucket[a])),
                              ("keys", keys[a:b].tobytes()), ("docs", doc[of[kept[a:b]]].astype(np.int64).tobytes()),
-                             ("places", where[kept[a:b]].astype(np.int32).tobytes())):
+                             ("places", where[kept[a:b]].astype(np.int64).tobytes())):
                     found[c].append(v)
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(found[c], t) for c, t in zip(found, types)], list(found))
 
     def run(batches):
@@ -298,23 +303,42 @@ def _merge(a: tuple, b: tuple, lost: list) -> tuple:
 
 
 def _merge_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    runs = [(np.frombuffer(k, np.uint64), np.frombuffer(d, np.int64).copy(), np.frombuffer(p, np.int32).copy())
+    runs = [(np.frombuffer(k, np.uint64), np.frombuffer(d, np.int64).copy(), np.frombuffer(p, np.int64).copy())
             for k, d, p in zip(pdf["keys"], pdf["docs"], pdf["places"])]
     lost: list = []
     while len(runs) > 1:
         runs = [_merge(runs[i], runs[i + 1], lost) if i + 1 < len(runs) else runs[i] for i in range(0, len(runs), 2)]
     doc = np.concatenate([x for x, _ in lost]) if lost else np.zeros(0, np.int64)
-    lo = np.concatenate([x for _, x in lost]) if lost else np.zeros(0, np.int32)
+    lo = np.concatenate([x for _, x in lost]) if lost else np.zeros(0, np.int64)
     return pd.DataFrame({"doc": doc, "lo": lo, "more": np.zeros(len(lo), np.int32)})
 
 
+def _based(rows: DataFrame) -> DataFrame:
+    """Adds ``base``, where a text starts among the texts of its ``doc``: 0 unless an id has several.
+
+    The different texts of one id count as one document, in order of a hash,
+    though no string reaches from one into the next. Equal ones share their place.
+    """
+    texts = rows.selectExpr("doc", "xxhash64(text) AS th", "cast(octet_length(text) AS bigint) AS n").where("doc IS NOT NULL AND n > 0").distinct()
+    several = texts.groupBy("doc").agg(F.count("*").alias("texts")).where("texts > 1").select("doc")
+    several = keep(texts.join(several, "doc", "left_semi").selectExpr(
+        "doc", "th", "sum(n) OVER (PARTITION BY doc ORDER BY th ROWS UNBOUNDED PRECEDING) - n AS base"), "suffix-several")
+    if several.isEmpty():
+        return rows.withColumn("base", F.lit(0).cast("long"))
+    return rows.withColumn("th", F.xxhash64("text")).join(several, ["doc", "th"], "left").withColumn(
+        "base", F.coalesce("base", F.lit(0).cast("long"))).drop("th")
+
+
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      length: int = LENGTH, piece: int = PIECE) -> DataFrame:
     """Runs of repeated windows: ``doc``, first place ``lo`` and number of further windows ``more``."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text")).where(
-        f"doc IS NOT NULL AND octet_length(text) >= {length}")
-    row = "h long, x long, doc long, lo int, more short"
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    return _windows(_based(docs), length, piece)
+
+
+def _windows(docs: DataFrame, length: int, piece: int) -> DataFrame:
+    docs = docs.select("doc", "text", "base").where(f"doc IS NOT NULL AND octet_length(text) >= {length}")
+    row = "h long, x long, doc long, lo long, more short"
     rows = docs.mapInArrow(_anchor_rows(length, piece), row)
     sampled = docs.where(f"pmod(xxhash64(doc), {SAMPLE}) = 0")
     common = sampled.mapInArrow(_anchor_rows(length, piece), row).groupBy("h").agg(F.count("*").alias("n"))
@@ -325,7 +349,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "part", F.expr(f"IF(hot, pmod(xxhash64(doc), {PARTS}), 0)"))
     order = ["h", "part", "x", "doc", "lo"]
     marked = keep(rows.repartition("h", "part").sortWithinPartitions(*order).mapInArrow(
-        _sort_contexts, "h long, part long, doc long, lo int, more short, hot boolean, compare boolean"), "suffix-marked")
+        _sort_contexts, "h long, part long, doc long, lo long, more short, hot boolean, compare boolean"), "suffix-marked")
 
     ask = marked.where("compare")
     span = F.col("more") + length
@@ -344,19 +368,22 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             flat = at.flatten()
             lo, more = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "more"))
             row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(at).to_numpy(zero_copy_only=False))
-            raw, first = data.tobytes(), starts[row] + lo
+            base = batch.column(batch.schema.get_field_index("base")).to_numpy()[row]
+            own = (lo >= base) & (lo < base + np.diff(starts)[row])  # not those of another text of the id
+            mine, row = pa.array(own), row[own]
+            raw, first = data.tobytes(), starts[row] + (lo - base)[own]
             yield pa.RecordBatch.from_arrays([
-                flat.field("shard"), batch.column(batch.schema.get_field_index("doc")).take(pa.array(row)),
-                flat.field("lo"), flat.field("hot"),
-                pa.array([raw[a:a + m] for a, m in zip(first.tolist(), (more + length).tolist())], pa.binary())],
+                flat.field("shard").filter(mine), batch.column(batch.schema.get_field_index("doc")).take(pa.array(row)),
+                flat.field("lo").filter(mine), flat.field("hot").filter(mine),
+                pa.array([raw[a:a + m] for a, m in zip(first.tolist(), (more[own] + length).tolist())], pa.binary())],
                 ["shard", "doc", "lo", "hot", "data"])
 
-    contexts = docs.join(places, "doc").select("doc", "text", "at").mapInArrow(
-        cut_out, "shard long, doc long, lo int, hot boolean, data binary")
+    contexts = docs.join(places, "doc").select("doc", "text", "base", "at").mapInArrow(
+        cut_out, "shard long, doc long, lo long, hot boolean, data binary")
     found = keep(contexts.repartition(shards, "shard").sortWithinPartitions("shard", "doc", "lo").mapInArrow(
         _shard_search(length, buckets), _OUT), "suffix-found")
     merged = found.where("bucket IS NOT NULL").select("bucket", "keys", "docs", "places").groupBy("bucket").applyInPandas(
-        _merge_bucket, "doc long, lo int, more int")
+        _merge_bucket, "doc long, lo long, more int")
     out = marked.where("NOT compare").selectExpr("doc", "lo", "cast(more AS int) AS more")
     return out.unionByName(found.where("bucket IS NULL").select("doc", "lo", "more")).unionByName(merged)
 
@@ -369,14 +396,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Every byte of a string of ``length`` bytes that also starts earlier goes;
     strings are judged on the input. A null text has no bytes. Texts shorter
-    than ``length`` stay whole, and so do rows without an id. An id with
-    several rows counts as one text if they are equal (each row is returned).
+    than ``length`` stay whole, and so do rows without an id. Ids are whole
+    numbers. Of an id's rows, equal texts count as one (each row is returned, cut
+    alike); different texts stand one after the other, in order of a hash.
     """
-    runs = repeated_windows(docs, id_col, text_col, length, piece).groupBy("doc").agg(
-        F.collect_list(F.struct("lo", "more")).alias("runs"))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{text_col}`").alias("__text"),
-                       *[F.col(f"`{c}`") for c in carry])
-    joined = rows.join(runs.withColumnRenamed("doc", "__id").withColumnRenamed("runs", "__runs"), "__id", "left")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"),
+                       *[F.col(f"`{c}`").alias(f"__carried_{k}") for k, c in enumerate(carry)])
+    rows = _based(rows)
+    runs = _windows(rows, length, piece).groupBy("doc").agg(F.collect_list(F.struct("lo", "more")).alias("runs"))
+    joined = rows.join(runs, "doc", "left").selectExpr(
+        "doc AS __id", "text AS __text", "base AS __base", "runs AS __runs", *[f"__carried_{k}" for k in range(len(carry))])
 
     def cut(batches):
         for batch, data, starts in pieces(batches, [], "__text"):
@@ -384,6 +413,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             flat = runs.flatten()
             row = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False))
             lo, more = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "more"))
+            lo -= batch.column(batch.schema.get_field_index("__base")).to_numpy()[row]
+            own = (lo >= 0) & (lo < np.diff(starts)[row])  # not those of another text of the id
+            row, lo, more = row[own], lo[own], more[own]
             edge = np.zeros(len(data) + 1, np.int64)
             np.add.at(edge, np.minimum(starts[row] + lo, starts[row + 1]), 1)
             np.add.at(edge, np.minimum(starts[row] + lo + more + length, starts[row + 1]), -1)
@@ -405,7 +437,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("__id")), pa.array(np.diff(starts)), pa.array(removed),
                  pa.array(spans[starts[1:]] - spans[starts[:-1]]), kept,
-                 *[batch.column(batch.schema.get_field_index(c)) for c in carry]],
+                 *[batch.column(batch.schema.get_field_index(f"__carried_{k}")) for k in range(len(carry))]],
                 [id_col, "n_bytes", "n_removed", "n_spans", "kept", *carry])
 
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
