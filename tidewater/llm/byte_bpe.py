@@ -40,7 +40,8 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
 class Transducer:
     """Encodes one piece of bytes at a time; shared by all pieces of a worker."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], share: float = 1.0):
+        self.share = share  # of the bounds above
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
         # the prefixes of all tokens as nodes (0: no bytes), by 256 * node + byte, and the token that a node is
@@ -92,7 +93,7 @@ class Transducer:
                 until = self.ranks[part]
                 part = self._last_merge(part)[right]
             have.reverse()
-            if len(self._spines) >= MAX_SPINES:
+            if len(self._spines) >= self.share * MAX_SPINES:
                 self._spines.clear()
             self._spines[(token, right)] = have
         return have
@@ -115,7 +116,7 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            if len(self._fits) >= MAX_FITS:
+            if len(self._fits) >= self.share * MAX_FITS:
                 self._fits.clear()
             self._fits[left << 32 | right] = have
         return have
@@ -172,13 +173,13 @@ class Transducer:
         return to
 
     def encode(self, piece: bytes) -> array:
-        if len(self._states) > MAX_STATES:
+        if len(self._states) > self.share * MAX_STATES:
             self._reset()
         state, out, after, emits = 0, array("i"), self._next, self._emits
         for byte in piece:
             to = after.get(state << 8 | byte)
             if to is None:
-                if len(self._states) > 2 * MAX_STATES:  # one very long piece
+                if len(self._states) > 2 * self.share * MAX_STATES:  # one very long piece
                     here = self._states[state]
                     self._reset()
                     state = self._add(here)
@@ -205,7 +206,7 @@ class PieceEncoder(dict):
         if ids is None:
             ids = self.transducer.encode(piece.encode()).tobytes()
         if len(piece) <= 64:
-            if len(self) >= MAX_PIECES // 2:
+            if len(self) >= self.transducer.share * MAX_PIECES / 2:
                 self.older = dict(self)
                 self.clear()
             self[piece] = ids
@@ -275,11 +276,11 @@ class StreamDecoder:
 _workers: dict[tuple, tuple[PieceEncoder, StreamDecoder]] = {}
 
 
-def _worker(content: bytes, pattern: str) -> tuple[PieceEncoder, StreamDecoder]:
+def _worker(content: bytes, pattern: str, share: float) -> tuple[PieceEncoder, StreamDecoder]:
     """One encoder and decoder for a Python worker, whatever number of tasks it runs."""
-    key = (hash(content), len(content), pattern)
+    key = (hash(content), len(content), pattern, share)
     if key not in _workers:
-        transducer = Transducer(read_ranks(content))
+        transducer = Transducer(read_ranks(content), share)
         _workers[key] = PieceEncoder(transducer, pattern), StreamDecoder(transducer.bytes_of)
     return _workers[key]
 
@@ -303,15 +304,17 @@ DIGESTS = "ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 stri
 
 def bpe_encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
                then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
-               columns: str = "ids array<int>, decoded string", take: tuple[str, ...] | None = None) -> DataFrame:
+               columns: str = "ids array<int>, decoded string", take: tuple[str, ...] | None = None,
+               share: float = 1.0) -> DataFrame:
     """Per document: the id, ``ids`` array<int> and ``decoded``, the text decoded from them.
 
     ``ranks`` is the path of a rank file on the driver (under 2 MB for 50,000
     tokens; sent to the workers once as a broadcast), ``pattern`` splits a
     text into pieces that are encoded one by one. ``then`` maps each batch of
     that result to another one, whose columns behind the id are ``columns``,
-    while it is still with the worker; ``take`` names those that go on. Null
-    text is encoded like an empty one: no ids, decoded to the empty text. Rows
+    while it is still with the worker; ``take`` names those that go on. ``share``
+    of the bounds above is what a worker remembers: less takes less memory and
+    more time. Null text is encoded like an empty one: no ids, decoded to the empty text. Rows
     are independent: repeated rows give repeated results, other columns are
     not read. A very long text is one row of one task; its tokens are the
     memory it takes.
@@ -320,7 +323,7 @@ def bpe_encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
         content = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches):
-        encoder, decoder = _worker(content.value, pattern)
+        encoder, decoder = _worker(content.value, pattern, share)
         collects = gc.isenabled()
         gc.disable()  # states and pieces hold no cycles, and there are many
         try:

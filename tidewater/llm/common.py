@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,32 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What one batch holds where texts are long: bytes sent to Python, rows read from Parquet. Spark's
+#: own settings are 64 MB and 4,096 rows.
+SMALL = {"spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4m"),
+         "spark.sql.parquet.columnarReaderBatchSize": ("4096", "512")}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets ``SMALL``, unless the session says otherwise.
+
+    A batch is held several times over by each task, in the JVM and in its
+    worker, which with long texts is most of an executor's memory.
+    """
+    for key, (usual, small) in SMALL.items():
+        if spark.conf.get(key) == usual:
+            spark.conf.set(key, small)
+
+
+def give_back() -> None:
+    """Returns free memory to the system: a worker stays for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def pieces(batches, columns: list[str], text: str, limit: int = PIECE_BYTES):
     """Cut Arrow batches into runs of rows holding about ``limit`` bytes of text.
 
@@ -48,6 +76,7 @@ def pieces(batches, columns: list[str], text: str, limit: int = PIECE_BYTES):
             hi = min(max(hi, lo + 1), n)
             yield (batch.slice(lo, hi - lo), data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
             lo = hi
+    give_back()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
