@@ -29,6 +29,8 @@ SCREEN = 1024
 SCREEN_SIGMAS = 5.0
 #: Buckets up to this size are compared by a join, larger ones in blocks of at most so many rows a side.
 JOIN_SIZE, BLOCK = 48, 1024
+#: Pairs of one document confirmed in one task.
+VERIFY = 1000
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
@@ -88,38 +90,45 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int,
 
 
 def _verifier(size: int, percent: int):
+    """Rows in order of ``a``, part and side: the text of ``a`` (side 0; an id may have
+    several), then the texts compared with it."""
+    def close(x, y):
+        if not len(x) or not len(y) or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+            return False
+        both = len(x) + len(y) - len(np.union1d(x, y))
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
     def run(batches):
+        now, heads = None, {}
         for batch in batches:
-            both = []
-            for side in ("ta", "tb"):
-                at = batch.schema.get_field_index(side)
-                one = pa.RecordBatch.from_arrays([batch.column(at)], ["t"])
-                seen: dict[str, np.ndarray] = {}  # a hub's text comes many times in a row
-                ids = batch.column(batch.schema.get_field_index("a" if side == "ta" else "b")).to_numpy()
-                fresh = np.concatenate(([True], ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, bool)
-                sets = [s for _, data, starts in pieces([one.filter(pa.array(fresh))], [], "t")
-                        for s in shingle_sets(data, starts, size)]
-                both.append((sets, np.cumsum(fresh) - 1))
-            (sa, ia), (sb, ib) = both
-            ok = np.zeros(batch.num_rows, bool)
-            for k in range(batch.num_rows):
-                x, y = sa[ia[k]], sb[ib[k]]
-                if not len(x) or not len(y) or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                both_n = len(x) + len(y) - len(np.union1d(x, y))
-                ok[k] = 100 * both_n >= percent * (len(x) + len(y) - both_n)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(c)).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
+            for part, data, starts in pieces([batch], [], "text"):
+                side, a, b, no = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("side", "a", "b", "part"))
+                ok = np.zeros(part.num_rows, bool)
+                for k, s in enumerate(shingle_sets(data, starts, size)):
+                    if side[k] == 0:
+                        if now != (a[k], no[k]):
+                            now, heads = (a[k], no[k]), {}
+                        heads[s.tobytes()] = s
+                    else:
+                        ok[k] = any(close(h, s) for h in heads.values())
+                yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], ["a", "b"])
 
     return run
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full shingle sets are similar enough."""
-    ta = docs.selectExpr("id AS a", "text AS ta")
-    tb = docs.selectExpr("id AS b", "text AS tb")
-    return pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(
-        _verifier(size, percent), "a long, b long")
+    """The pairs (``a``, ``b``) whose full shingle sets are similar enough.
+
+    The text of ``a`` travels once for ``VERIFY`` pairs, not with each of them.
+    """
+    many = pairs.groupBy("a").agg(F.expr(f"ceil(count(*) / {VERIFY})").alias("parts"))
+    pairs = keep(pairs.join(many, "a").selectExpr("a", "b", "pmod(xxhash64(b), parts) AS part"), "minhash-pairs")
+    text = docs.select("id", "text")
+    heads = pairs.select("a", "part").distinct().join(text.withColumnRenamed("id", "a"), "a").selectExpr(
+        "a", "part", "0 AS side", "a AS b", "text")
+    others = pairs.join(text.withColumnRenamed("id", "b"), "b").selectExpr("a", "part", "1 AS side", "b", "text")
+    return heads.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", "side", "b").mapInArrow(
+        _verifier(size, percent), "a long, b long").distinct()
 
 
 def _screens(docs: DataFrame, size: int) -> DataFrame:
@@ -211,7 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tasks, so that pairs far below the threshold never become rows. Every
     pair of one bucket and two components is compared.
 
-    Null or empty text: no shingles, linked with nothing, kept. Null id:
+    Ids are whole numbers. Null or empty text: no shingles, linked with nothing, kept. Null id:
     linked with nothing, ``component`` null, kept. Repeated rows: one result
     row. One id with several texts: linked if any of the texts is.
     """
