@@ -84,29 +84,38 @@ def test_language_edges(spark):
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
-    model = toxicity.fit(*toxicity.training_sample(docs, labels, "crc32(cast(doc_id AS string)) % 5 <> 0"))
+    model = toxicity.learn(docs, labels, "crc32(cast(doc_id AS string)) % 5 <> 0")
     rows = toxicity.toxicity(docs, model).join(labels, "doc_id").where("crc32(cast(doc_id AS string)) % 5 = 0").collect()
     bad = [r for r in rows if r["toxic"] == 1]
     clean = [r for r in rows if r["toxic"] == 0]
-    assert len(bad) > 30 and sum(r["predicted"] for r in bad) >= 0.75 * len(bad)
+    assert len(bad) > 30 and sum(r["predicted"] for r in bad) >= 0.8 * len(bad)
     assert sum(r["predicted"] for r in clean) <= 0.03 * len(clean)
 
 
+def test_toxicity_learned_on_executors_is_the_model_of_the_texts(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.training_sample(docs, labels).orderBy("order", "doc_id").collect()
+    one, other = toxicity.fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows])), toxicity.learn(docs.repartition(5), labels)
+    assert len(one.features) > 20 and list(one.features) == list(other.features)
+    assert np.allclose(one.weights, other.weights, atol=1e-6) and abs(one.bias - other.bias) < 1e-6
+
+
 def test_toxicity_finds_the_sentence(spark):
     clean = [f"A quiet day number {i}. The river is calm." for i in range(40)]
     rude = [f"A quiet day number {i}. You foul rat. The river is calm." for i in range(40)]
     docs = docs_of(spark, clean + rude + [None, "", "..."])
     labels = spark.createDataFrame([(i, int(i >= 40), 5) for i in range(80)] + [(None, 1, 5), (1, None, 5)],
                                    "doc_id long, toxic int, text int")
-    model = toxicity.fit(*toxicity.training_sample(docs, labels))
+    model = toxicity.learn(docs, labels)
     got = {r["doc_id"]: r for r in toxicity.toxicity(docs, model).collect()}
     assert all(got[i]["predicted"] == int(i >= 40) for i in range(80))
     text = rude[0].encode()
     assert [text[s["start"]:s["end"]].decode() for s in got[40]["sentences"]] == ["You foul rat"]
     assert [got[i]["score"] for i in (80, 81, 82)] == [0.0] * 3
-    one = toxicity.fit(*toxicity.training_sample(docs, labels.where("toxic = 0")))
+    one = toxicity.learn(docs, labels.where("toxic = 0"))
     assert {r["predicted"] for r in toxicity.toxicity(docs, one).collect()} == {0}
-    assert toxicity.fit(*toxicity.training_sample(docs, labels.limit(0))).bias < 0
+    assert toxicity.learn(docs, labels.limit(0)).bias < 0
     assert toxicity.toxicity(docs.limit(0), model).count() == 0
 
 
@@ -123,8 +132,8 @@ def test_training_samples_take_an_id_once(spark):
     docs = docs_of(spark, ["a b", "c d", "e f"])
     docs = docs.unionByName(docs.where("doc_id = 1").withColumn("text", F.lit("c e"))).unionByName(docs).unionByName(docs)
     labels = spark.createDataFrame([(0, 0), (1, 1), (2, 0)], "doc_id long, toxic int")
-    texts, toxic = toxicity.training_sample(docs, labels)
-    assert sorted(zip(texts, toxic)) == [("a b", 0), ("c d", 1), ("e f", 0)]
+    sample = toxicity.training_sample(docs, labels).collect()
+    assert sorted((r["text"], r["toxic"]) for r in sample) == [("a b", 0), ("c d", 1), ("e f", 0)]
     x, lang = language_id.training_sample(docs.unionByName(docs.withColumn("doc_id", F.expr("cast(null AS long)"))))
     assert len(x) == len(lang) == 3 + 4  # three ids, and four texts without one
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format, conversation_repair, language_id, phrase_mining, quality_rules, toxicity
 from .byte_bpe import DIGESTS, bpe_encode, digest_columns
-from .common import table
+from .common import small_batches, table
 from .decontaminate import ORACLE as LEAKS, contained_items
 from .embedding_dedup import near_duplicate_vectors
 from .html_extract import extract
@@ -72,7 +73,7 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = "crc32(cast(doc_id AS string)) % 5 = 0"
-    model = toxicity.fit(*toxicity.training_sample(docs, labels, f"NOT {held_out}"))
+    model = toxicity.learn(docs, labels, f"NOT {held_out}")
     return toxicity.toxicity(docs, model).selectExpr(
         "doc_id", f"coalesce({held_out}, false) AS held_out", "score", "predicted", "sentences")
 
@@ -95,8 +96,17 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_conversations(conversation_repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def _query(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (
+    f.__name__: _query(f) for f in (
         op1_minhash_near_dedup, op2_byte_bpe, op3_embedding_near_dedup, op4_url_filter, op5_chat_format,
         op6_language_id, op7_suffix_dedup, op8_html_extract, op9_toxicity, op10_decontaminate,
         op11_phrase_collocations, op12_quality_rules, op13_conversation_repair)
