@@ -27,7 +27,7 @@ from .shingles import _power_tables, span_hasher, spans
 #: Least number of occurrences, most words, and phrases returned for a language.
 LEAST, MOST_WORDS, TOP = 100, 5, 2000
 #: Bytes of text hashed at a time, and bits of a map of frequent phrases (4 MB).
-PIECE_BYTES, MAP_BITS = 1_000_000, 1 << 25
+PIECE_BYTES, MAP_BITS = 300_000, 1 << 25
 _PRIME = (1 << 31) - 1
 _BASE_CHECK = 1_103_515_245
 _PER_SIZE = mix64(np.arange(1, MOST_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -243,9 +243,10 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     docs = docs.select(F.col(f"`{text_col}`").alias("text"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"))
     langs = docs.select("lang").distinct().selectExpr("lang", "xxhash64(lang) AS key")
     docs = docs.where("octet_length(text) > 0").selectExpr("text", "lang", "xxhash64(text, lang) AS text_hash", "xxhash64(lang) AS lang_hash")
+    least = int(least)
     found, known, totals = None, None, None
     for sizes in ((1, 2), (3,), tuple(range(4, MOST_WORDS + 1))):
-        counted = keep(_counted(docs, sizes, known, bits).where(f"n >= {int(least)} OR size = 0"), f"phrase-{sizes[-1]}")
+        counted = keep(_counted(docs, sizes, known, bits).where(f"n >= {least} OR size = 0"), f"phrase-{sizes[-1]}")
         if totals is None:
             totals = keep(counted.where("size = 0").selectExpr("key", "n AS total").join(langs, "key").select("lang", "total"), "phrase-totals")
             counted = counted.where("size > 0")
@@ -258,7 +259,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     if not several.isEmpty():  # counted again, by their words
         again = _bitmap(spark, several, map_bits)
         by_words = _spelled(docs, again, False, bits).join(several, ["size", "key"], "left_semi").groupBy(
-            "lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= int(least))
+            "lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         plain = plain.unionByName(by_words)
     return keep(plain, "phrase-frequent"), totals
 
