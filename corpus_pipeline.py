@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import toxicity
 from tidewater.llm.byte_bpe import DIGESTS, bpe_encode, digest_columns
-from tidewater.llm.common import keep, table
+from tidewater.llm.common import keep, small_batches, table
 from tidewater.llm.decontaminate import contained_items
 from tidewater.llm.minhash_dedup import near_duplicates
 from tidewater.llm.suffix_dedup import remove_repeats
@@ -28,20 +28,23 @@ def _aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5."""
-    model = toxicity.fit(*toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
+    small_batches(spark)
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     hidden, names = _aside(docs)
-    scored = toxicity.toxicity(hidden, model, ("text", *names.values())).where("predicted = 0")
-    return scored.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
+    clean = hidden.withColumn("__toxic", toxicity.scorer(spark, model)(F.col("text"))).where("__toxic < 0.5")
+    return clean.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group; rows of one id stay together."""
+    small_batches(spark)
     gone = near_duplicates(docs).where("NOT kept").selectExpr("id AS doc_id")
     return docs.join(keep(gone, "pipeline-copies"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier text has; texts of which nothing is left go."""
+    small_batches(spark)
     hidden, names = _aside(docs)
     left = remove_repeats(hidden, carry=tuple(names.values()), as_text=True).where("n_removed = 0 OR trim(kept) <> ''")
     made = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
@@ -50,6 +53,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item; a row without an id is judged by its own text."""
+    small_batches(spark)
     hidden, names = _aside(docs)
     keyed = hidden.withColumn("__key", F.expr("IF(doc_id IS NULL, concat('text ', sha2(text, 256)), cast(doc_id AS string))"))
     leaks = contained_items(keyed.selectExpr("__key AS doc_id", "text"), table(spark, sf_dir, "benchmark")).selectExpr(
@@ -60,8 +64,10 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with counts and digests."""
+    small_batches(spark)
     import public_tokenizers as vocabulary
-    return bpe_encode(docs, vocabulary.path("byte_bpe_50k.tiktoken"), vocabulary.PATTERN, then=digest_columns, columns=DIGESTS)
+    return bpe_encode(docs, vocabulary.path("byte_bpe_50k.tiktoken"), vocabulary.PATTERN, then=digest_columns, columns=DIGESTS,
+                      share=0.4)  # the workers hold what earlier stages left, too
 
 
 STAGES = [
