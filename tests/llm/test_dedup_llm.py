@@ -1,12 +1,14 @@
 """MinHash, suffix-array and embedding deduplication against brute force on small tables."""
 
+import contextlib
+import io
 import random
 import re
 
 import numpy as np
 import pytest
 
-from tidewater.llm import embedding_dedup, minhash_dedup, suffix_dedup
+from tidewater.llm import common, embedding_dedup, minhash_dedup, suffix_dedup
 from tidewater.llm.shingles import shingle_sets
 
 DOCS = "doc_id long, text string, id long, n long, `kept` boolean, h string"  # clashing names on purpose
@@ -268,6 +270,53 @@ def test_minhash_a_hub_is_confirmed_in_parts(spark, monkeypatch):
     check_minhash(spark, near_copies(rng, 3, 14))
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Tables as if they were too large to be broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, usual)
+
+
+def test_minhash_only_texts_of_pairs_are_shuffled(spark, no_broadcast):
+    rng = random.Random(41)
+    text = {i: " ".join(f"w{rng.randrange(4000)}" for _ in range(20)) for i in range(3000)}
+    text[7], text[2001] = text[5], text[5] + " more"
+    docs = spark.createDataFrame(list(text.items()), "id long, text string")
+    pairs = spark.createDataFrame([(5, 7), (5, 2001), (5, 9)], "a long, b long")
+    found = minhash_dedup._confirmed(pairs, docs, 4, 80)
+    assert sorted(map(tuple, found.collect())) == [(5, 7), (5, 2001)]
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        found.explain("formatted")
+    shuffled = [float(n) for n in re.findall(r"ShuffleQueryStage.*rowCount=([\d.E+]+)", plan.getvalue())]
+    assert shuffled and max(shuffled) < 500
+
+
+@pytest.mark.parametrize("join_size", [48, 2])
+def test_minhash_matches_brute_force_without_broadcasts(spark, monkeypatch, no_broadcast, join_size):
+    monkeypatch.setattr(minhash_dedup, "JOIN_SIZE", join_size)
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 16)
+    rows = near_copies(random.Random(6), 3, 30)
+    check_minhash(spark, rows + [(90, rows[3][1]), (None, rows[1][1]), (1000, None), (1001, " ")])
+
+
+@pytest.mark.parametrize("most", [1 << 28, 1 << 15])
+def test_a_sieve_loses_nothing_wanted(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "SIEVE_MOST", most)
+    ids = [(k * 7919 - 10 ** 6,) for k in range(6000)] + [(-2 ** 63,), (2 ** 63 - 1,), (0,)]
+    wanted = ids[::3] + [(0,), (0,), (None,)]
+    rows = spark.createDataFrame([(i, str(i)) for (i,) in ids + [(None,), (0,)]], "id long, text string")
+    left = common.sieve(spark.createDataFrame(wanted, "q long"), "test")(rows, "id")
+    assert left.columns == ["id", "text"]
+    got = [r["id"] for r in left.collect()]
+    assert {i for (i,) in wanted} <= set(got) and got.count(0) == 2
+    assert len(got) < len(wanted) + 0.1 * len(ids)
+    none = common.sieve(spark.createDataFrame([], "q long"), "test")(rows, "id")
+    assert none.count() == 0
+
+
 def test_vectors_of_extreme_size(spark):
     rows = [(k, [x * scale for x in (1.0, 2.0, -3.0, 0.5)], 1) for k, scale in enumerate([1e200, 1e200, 1e-200, 1e-200, 1.0, 5e-324])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,35 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a sieve for each wanted number, and at most (32 MB).
+SIEVE_BITS, SIEVE_MOST = 32, 1 << 28
+
+
+def sieve(wanted: DataFrame, name: str) -> Callable[[DataFrame, str], DataFrame]:
+    """A function that keeps the rows of a table whose ``column`` may be among ``wanted``.
+
+    ``wanted`` has one column of whole numbers; repeats are allowed. They travel
+    to all executors as a map of bits by hash, 4 bytes a number, so that the rest
+    of a wide table is dropped where it is read, before an exact join shuffles it.
+    No wanted row is lost; of the others at most one in 32 stays (more where the
+    map has its largest size), which costs rows, not results.
+    """
+    wanted = keep(wanted.toDF("v").selectExpr("cast(v AS long) AS v").distinct(), name)
+    bits = min(max(SIEVE_BITS * wanted.count(), 1 << 15), SIEVE_MOST)
+    maps = wanted.selectExpr(f"pmod(xxhash64(v), {bits}L) AS h").selectExpr(
+        "bitmap_bucket_number(h) AS bucket", "bitmap_bit_position(h) AS bit").repartition("bucket").groupBy("bucket").agg(
+        F.expr("bitmap_construct_agg(bit)").alias("bits"))
+
+    def sifted(rows: DataFrame, column: str) -> DataFrame:
+        h = F.pmod(F.xxhash64(rows[column].cast("long")), F.lit(bits))
+        bit = F.bitmap_bit_position(h)
+        byte = F.conv(F.hex(F.substring(maps["bits"], (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+        return rows.join(F.broadcast(maps), (F.bitmap_bucket_number(h) == maps["bucket"])
+                         & (F.getbit(byte, (bit % 8).cast("int")) == 1), "left_semi")
+
+    return sifted
+
+
 #: What one batch holds where texts are long: bytes sent to Python, rows read from Parquet. Spark's
 #: own settings are 64 MB and 4,096 rows.
 SMALL = {"spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4m"),

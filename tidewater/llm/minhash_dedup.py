@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_named, keep, mix64, pieces
+from .common import column_named, keep, mix64, pieces, sieve
 from .components import components
 from .shingles import shingle_sets
 
@@ -119,15 +119,16 @@ def _verifier(size: int, percent: int):
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose full shingle sets are similar enough.
 
-    The text of ``a`` travels once for ``VERIFY`` pairs, not with each of them.
+    The text of ``a`` travels once for ``VERIFY`` pairs, not with each of them,
+    and texts that are in no pair do not travel.
     """
     many = pairs.groupBy("a").agg(F.expr(f"ceil(count(*) / {VERIFY})").alias("parts"))
     pairs = keep(pairs.join(many, "a").selectExpr("a", "b", "pmod(xxhash64(b), parts) AS part"), "minhash-pairs")
-    text = docs.select("id", "text")
-    heads = pairs.select("a", "part").distinct().join(text.withColumnRenamed("id", "a"), "a").selectExpr(
-        "a", "part", "0 AS side", "a AS b", "text")
-    others = pairs.join(text.withColumnRenamed("id", "b"), "b").selectExpr("a", "part", "1 AS side", "b", "text")
-    return heads.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", "side", "b").mapInArrow(
+    rows = pairs.select("a", "part").distinct().selectExpr("a", "part", "0 AS side", "a AS id").unionByName(
+        pairs.selectExpr("a", "part", "1 AS side", "b AS id"))
+    text = sieve(rows.select("id"), "minhash-text")(docs.select("id", "text"), "id")
+    rows = rows.join(text, "id").selectExpr("a", "part", "side", "id AS b", "text")
+    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "side", "b").mapInArrow(
         _verifier(size, percent), "a long, b long").distinct()
 
 
@@ -245,8 +246,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     count = here.groupBy("key").agg(F.count("*").alias("c"), F.expr("count_if(loose)").alias("l")).where("l > 0")
     here = keep(here.where("id > pivot").join(count.where("c > 2"), "key"), "minhash-open")
     if not here.isEmpty():
-        screen = keep(_screens(text.join(here.select("id").distinct(), "id", "left_semi"), size), "minhash-screen")
-        pairs = _apart(here, screen, classes.selectExpr("rep AS id", "bands"), near, percent)
+        ids = here.select("id").distinct()
+        open_only = sieve(ids, "minhash-open-ids")
+        screen = keep(_screens(open_only(text, "id").join(ids, "id", "left_semi"), size), "minhash-screen")
+        pairs = _apart(here, screen, open_only(classes.selectExpr("rep AS id", "bands"), "id"), near, percent)
         links = keep(links.unionByName(_confirmed(pairs, text, size, percent)), "minhash-link")
         comp = components(links, "a", "b", "minhash-cc")
     found = classes.select("digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
